@@ -40,6 +40,47 @@ seqs AS (SELECT {"".join(f"s.{c}, " for c in by)}s.{id_col}, s.cleaned, coalesce
 
 def with_fixtures(*names: str, extra: str = "") -> str:
     head = fixture_ctes(*names).rstrip()
+    if "walk AS (" in extra:
+        head = "WITH RECURSIVE " + head[len("WITH "):]
     if extra:
         head += ",\n" + extra.strip()
     return head + "\n"
+
+
+def token_codes(lst: str, union: str) -> str:
+    """ASCII code string of ``lst``, tokens numbered by position in ``union`` (<= 94 tokens)."""
+    return f"array_to_string(list_transform({lst}, lambda t: chr(33 + list_position({union}, t))), '')"
+
+
+def token_sim(a: str, b: str) -> str:
+    u = f"list_sort(list_distinct(list_concat({a}, {b})))"
+    d = f"levenshtein({token_codes(a, u)}, {token_codes(b, u)})"
+    return f"(CASE WHEN greatest(len({a}), len({b})) = 0 THEN 1.0 ELSE 1 - {d} / greatest(len({a}), len({b})) END)"
+
+
+def char_sim(a: str, b: str) -> str:
+    return f"(CASE WHEN greatest(length({a}), length({b})) = 0 THEN 1.0 ELSE 1 - levenshtein({a}, {b}) / greatest(length({a}), length({b})) END)"
+
+
+def leader_ctes(accuracy: float = 0.8) -> str:
+    """CTEs ``groups``, ``ranked``, ``pairs``, ``walk``, ``assign`` after ``seqs``: the
+    sequential leader loop restated as a recursive walk over priority order."""
+    return f"""
+groups AS (SELECT hash, count(*) AS cluster_size, min(msg_id) AS first_id, arg_min(sequence, msg_id) AS sequence
+           FROM seqs GROUP BY hash),
+ranked AS (SELECT *, row_number() OVER (ORDER BY cluster_size DESC, hash) AS rk FROM groups),
+pairs AS (SELECT a.rk AS hi, b.rk AS lo, {token_sim('a.sequence', 'b.sequence')} AS similarity
+          FROM ranked a JOIN ranked b ON a.rk < b.rk
+          WHERE {token_sim('a.sequence', 'b.sequence')} >= {accuracy}),
+walk AS (
+  SELECT 0::BIGINT AS i, []::BIGINT[] AS leaders
+  UNION ALL
+  SELECT i + 1, CASE WHEN EXISTS (SELECT 1 FROM pairs p WHERE p.lo = i + 1 AND list_contains(leaders, p.hi))
+                     THEN leaders ELSE list_append(leaders, i + 1) END
+  FROM walk WHERE i < (SELECT max(rk) FROM ranked)),
+leader_set AS (SELECT unnest(leaders) AS rk FROM (SELECT leaders FROM walk ORDER BY i DESC LIMIT 1)),
+assign AS (SELECT r.*, CASE WHEN r.rk IN (SELECT rk FROM leader_set) THEN r.rk
+                            ELSE (SELECT min(p.hi) FROM pairs p WHERE p.lo = r.rk AND p.hi IN (SELECT rk FROM leader_set)) END AS leader_rk
+           FROM ranked r),
+assigned AS (SELECT a.*, l.hash AS leader_hash FROM assign a JOIN ranked l ON l.rk = a.leader_rk)
+"""
