@@ -13,3 +13,100 @@ def training_sequences(df: DataFrame, target: str = "error_message", tokenizer_t
     """Clean, distinct lines, tokenize, drop the spacer."""
     lines = df.select(clean_message(target).alias("line")).distinct()
     return lines.select(F.array_remove(tokenize_message("line", tokenizer_type), SPACER).alias("tokens"))
+
+
+# ------------------------------------------------------------------ word vectors
+from pyspark.ml.feature import PCA, Word2Vec, Word2VecModel  # noqa: E402
+
+
+def word2vec_create(
+    df: DataFrame,
+    tokens: str = "sequence",
+    size: int = 300,
+    window: int = 7,
+    min_count: int = 1,
+    iterations: int = 10,
+    seed: int = 42,
+    partitions: int | None = None,
+    max_sentence_length: int = 1000,
+) -> Word2VecModel:
+    """V1: train word vectors (skip-gram in Spark; the reference's library trains CBOW)."""
+    n_part = partitions or max(1, df.sparkSession.sparkContext.defaultParallelism)
+    w2v = Word2Vec(
+        vectorSize=size,
+        windowSize=window,
+        minCount=min_count,
+        maxIter=iterations,
+        seed=seed,
+        numPartitions=n_part,
+        maxSentenceLength=max_sentence_length,
+        inputCol=tokens,
+        outputCol="vector",
+    )
+    return w2v.fit(df.select(tokens))
+
+
+def word2vec_update(spark, corpus_path: str, new: DataFrame, tokens: str = "sequence", iterations: int = 30, **kw) -> Word2VecModel:
+    """V2: Spark cannot continue training a model; the training corpus is kept
+    as a table, the new sequences are appended, and the model is refitted."""
+    new.select(F.col(tokens).alias("tokens")).write.mode("append").parquet(corpus_path)
+    corpus = spark.read.parquet(corpus_path).withColumnRenamed("tokens", tokens)
+    return word2vec_create(corpus, tokens, iterations=iterations, **kw)
+
+
+def save_model(model, path: str) -> str:
+    """Persist a fitted model (vectors, PCA) by name."""
+    model.write().overwrite().save(path)
+    return path
+
+
+def word2vec_apply(path: str) -> Word2VecModel:
+    """V3: load a stored model for use without training."""
+    return Word2VecModel.load(path)
+
+
+def sentence_vectors(model: Word2VecModel, df: DataFrame, tokens: str = "sequence", out: str = "vector") -> DataFrame:
+    """V4: mean of word vectors; unknown words count as zeros; empty -> zeros."""
+    return model.setInputCol(tokens).setOutputCol(out).transform(df)
+
+
+def embedding_size(vocab: DataFrame, cap: int = 300):
+    """V5: ``min(cap, round(sqrt(vocabulary size)))`` (round half to even) as a scalar Column."""
+    n = vocab.agg(F.count("*")).scalar()
+    return F.least(F.lit(cap), F.bround(F.sqrt(n), 0).cast("int"))
+
+
+def vector_vocabulary_counts(df: DataFrame, tokens: str = "sequence", min_count: int = 1) -> DataFrame:
+    """Word -> training count, words under ``min_count`` dropped."""
+    return (
+        df.select(F.explode(tokens).alias("word"))
+        .groupBy("word")
+        .agg(F.count("*").alias("count"))
+        .where(F.col("count") >= min_count)
+    )
+
+
+def pca_reduce(df: DataFrame, k: int, vec: str = "vector", out: str = "reduced", min_dims: int = 10):
+    """V7: exact PCA to ``k`` dimensions when the vectors are wider than ``min_dims``.
+
+    Spark's PCA fits from the ``d x d`` covariance (bounded by the width, not
+    the rows) and does not centre on transform; distances are unaffected.
+    Returns (frame, fitted model or None)."""
+    width = len(df.select(vec).first()[0]) if df.select(vec).first() else 0
+    if width <= min_dims:
+        return df.withColumn(out, F.col(vec)), None
+    model = PCA(k=k, inputCol=vec, outputCol=out).fit(df.select(vec))
+    return model.transform(df), model
+
+
+def document_vectors(model: Word2VecModel, docs: DataFrame, doc_col: str, tokens: str = "sequence") -> DataFrame:
+    """V6 substitute (Spark has no doc2vec): IDF-weighted mean of the word
+    vectors of each document (``Summarizer`` mean with a weight column)."""
+    from pyspark.ml.stat import Summarizer
+
+    words = model.getVectors().withColumnRenamed("word", "token")
+    ex = docs.select(doc_col, F.explode(tokens).alias("token"))
+    n_docs = docs.agg(F.count("*")).scalar()
+    dfreq = ex.distinct().groupBy("token").agg(F.count("*").alias("df"))
+    w = ex.join(dfreq, "token").withColumn("idf", F.log(n_docs.cast("double") / F.col("df")) + 1).join(words, "token")
+    return w.groupBy(doc_col).agg(Summarizer.mean(F.col("vector"), F.col("idf")).alias("doc_vector"))
