@@ -1,17 +1,18 @@
 """Neighbour searches and density clustering on vectors.
 
-Exact Euclidean searches without a cross join. Points are assigned to the
-nearest of ``m`` pivots (a fixed-size sample). A query point ``q`` can only
-have a neighbour ``p`` of cell ``b`` within ``eps`` if
-``d(q, pivot_b) <= radius_b + eps``, and ``|d(q, pivot_b) - d(p, pivot_b)| <= eps``
-(triangle inequality); the same holds for a second, global pivot ``g``. So
-``q`` is replicated only into candidate cells and into the 3 x 3 rings of
-width ``eps`` around its own distances, and joined by equality on
-``(cell, ring_b, ring_g)``; candidates are then verified exactly.
+Exact Euclidean searches without a cross join. The distance over any subset
+of coordinates is a lower bound of the full distance, so two points within
+``eps`` lie in the same or adjacent cells of a grid of width ``eps`` over the
+leading coordinates (after PCA these carry the most spread). Each query point
+is replicated into the 3^g neighbouring cells and joined by equality on the
+cell; candidates are verified with the exact distance. Hot cells are split by
+AQE's skew-join handling, so no single task receives a whole dense region.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -32,105 +33,104 @@ def sq_dist(a, b):
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, v: acc + v)
 
 
-def choose_pivots(points: DataFrame, m: int = 32, id_col: str = "id", vec: str = "vec") -> np.ndarray:
-    """``m`` pivots: the points with the smallest id hash (a bounded sample, m x dims)."""
-    rows = points.select(F.xxhash64(id_col).alias("_h"), id_col, vec).orderBy("_h", id_col).limit(m).collect()
-    return np.array([list(r[vec]) for r in rows], dtype=np.float64)
-
+def as_points(df: DataFrame, id_col: str, vec: str) -> DataFrame:
+    """(id, vec array<double>) in the shape the searches expect."""
+    return df.select(F.col(id_col).alias("id"), F.col(vec).cast("array<double>").alias("vec"))
 
-def assign_cells(points: DataFrame, pivots: np.ndarray, id_col: str = "id", vec: str = "vec") -> DataFrame:
-    """(id, vec, cell, dp array<double>): nearest pivot and distances to all pivots."""
-    piv = pivots
-    schema = T.StructType(
-        [
-            T.StructField(id_col, points.schema[id_col].dataType),
-            T.StructField(vec, T.ArrayType(T.DoubleType())),
-            T.StructField("cell", T.IntegerType()),
-            T.StructField("dp", T.ArrayType(T.DoubleType())),
-        ]
-    )
 
-    def run(batches):
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            x = np.array([np.asarray(v, dtype=np.float64) for v in pdf[vec]])
-            d = np.sqrt(np.maximum(((x[:, None, :] - piv[None, :, :]) ** 2).sum(axis=2), 0.0))
-            yield pd.DataFrame(
-                {id_col: pdf[id_col], vec: list(x), "cell": d.argmin(axis=1).astype("int32"), "dp": list(d)}
-            )
+def _offsets(g: int) -> list[list[int]]:
+    out = [[]]
+    for _ in range(g):
+        out = [o + [d] for o in out for d in (-1, 0, 1)]
+    return out
 
-    return points.select(id_col, F.col(vec).cast("array<double>").alias(vec)).mapInPandas(run, schema)
 
+def _pair_schema(points: DataFrame, id_col: str) -> T.StructType:
+    t = points.schema[id_col].dataType
+    return T.StructType(
+        [T.StructField("id_q", t), T.StructField("id_p", t), T.StructField("dist", T.DoubleType())]
+    )
 
-def radius_join(cells: DataFrame, eps: float, id_col: str = "id", vec: str = "vec", queries: DataFrame | None = None) -> DataFrame:
-    """All pairs (id_q, id_p, dist) with ``dist <= eps``, ``id_q != id_p``.
 
-    ``cells`` comes from ``assign_cells``; ``queries`` (default: all points)
-    restricts the query side. Both orientations of a pair are returned."""
+def radius_join(
+    points: DataFrame,
+    eps: float,
+    id_col: str = "id",
+    vec: str = "vec",
+    queries: DataFrame | None = None,
+    lead_dims: int = 3,
+    block: int = 2000,
+) -> DataFrame:
+    """All pairs (id_q, id_p, dist) with ``dist <= eps`` and ``id_q != id_p``.
+
+    Candidates meet in grid cells; each cell is cut into ``S x S`` blocks
+    (member hash x query hash) so a task never holds more than about
+    ``block`` points of either side, and distances of a block are computed
+    with one matrix product. ``queries`` (default: all points) restricts the
+    query side; both orientations of a pair are returned."""
     eps = float(eps)
     if eps <= 0:
         raise ValueError("eps must be positive")
-    radius = cells.groupBy("cell").agg(F.max(F.col("dp")[F.col("cell")]).alias("_r"))
-    m = cells.select(F.size("dp")).first()[0]
-    radii = F.broadcast(radius)  # one row per pivot
-    members = cells.select(
-        F.col(id_col).alias("id_p"),
-        F.col(vec).alias("v_p"),
-        "cell",
-        F.floor(F.col("dp")[F.col("cell")] / eps).alias("ring"),
-        F.floor(F.col("dp")[0] / eps).alias("ring_g"),
-        F.col("dp")[F.col("cell")].alias("d_own"),
-        F.col("dp")[0].alias("d_g"),
-    )
-    q = (queries if queries is not None else cells).select(id_col, vec, "dp")
+    width = points.select(F.size(vec)).first()
+    g = max(1, min(lead_dims, width[0] if width else 1))
+    cell = lambda c: F.transform(F.slice(c, 1, g), lambda x: F.floor(x / F.lit(eps)))
+    members = points.select(F.col(id_col).alias("id"), F.col(vec).alias("v"), cell(F.col(vec)).alias("cell"))
+    members = _ckpt(members)
+    biggest = members.groupBy("cell").count().agg(F.max("count")).first()[0] or 1
+    S = max(1, math.ceil(biggest / block))
+    salts = F.sequence(F.lit(0), F.lit(S - 1))
+    offs = F.array(*[F.array(*[F.lit(d) for d in o]) for o in _offsets(g)])
+    m = members.select("cell", "id", "v", F.pmod(F.xxhash64("id"), F.lit(S)).alias("ms"), F.explode(salts).alias("qs"))
+    src = queries if queries is not None else points
+    q = src.select(F.col(id_col).alias("id"), F.col(vec).alias("v"))
+    q = q.select("id", "v", cell(F.col("v")).alias("_base"), F.explode(offs).alias("_off"))
     q = q.select(
-        F.col(id_col).alias("id_q"), F.col(vec).alias("v_q"), "dp", F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias("cell")
-    ).join(radii, "cell")
-    q = q.where(F.col("dp")[F.col("cell")] <= F.col("_r") + eps)
-    shifts = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    q = q.select(
-        "id_q",
-        "v_q",
-        "cell",
-        F.col("dp")[F.col("cell")].alias("dq_own"),
-        F.col("dp")[0].alias("dq_g"),
-        F.explode(shifts).alias("_s1"),
-    ).select(
-        "*", F.explode(shifts).alias("_s2")
-    ).select(
-        "id_q",
-        "v_q",
-        "cell",
-        "dq_own",
-        "dq_g",
-        (F.floor(F.col("dq_own") / eps) + F.col("_s1")).alias("ring"),
-        (F.floor(F.col("dq_g") / eps) + F.col("_s2")).alias("ring_g"),
-    )
-    j = q.join(members, ["cell", "ring", "ring_g"]).where(
-        (F.col("id_q") != F.col("id_p"))
-        & (F.abs(F.col("dq_own") - F.col("d_own")) <= eps)
-        & (F.abs(F.col("dq_g") - F.col("d_g")) <= eps)
+        F.zip_with("_base", "_off", lambda a, b: a + b).alias("cell"),
+        "id",
+        "v",
+        F.explode(salts).alias("ms"),
+        F.pmod(F.xxhash64("id"), F.lit(S)).alias("qs"),
     )
-    j = j.withColumn("dist", F.sqrt(sq_dist(F.col("v_q"), F.col("v_p")))).where(F.col("dist") <= eps)
-    return j.select("id_q", "id_p", "dist")
-
-
-def knn(cells: DataFrame, k: int, id_col: str = "id", vec: str = "vec", start_eps: float | None = None, max_rounds: int = 64) -> DataFrame:
+    schema = _pair_schema(points.withColumnRenamed(id_col, "id"), "id")
+    r2 = eps * eps
+
+    def block_pairs(mem: pd.DataFrame, qry: pd.DataFrame) -> pd.DataFrame:
+        if len(mem) == 0 or len(qry) == 0:
+            return pd.DataFrame({"id_q": qry["id"].iloc[0:0], "id_p": mem["id"].iloc[0:0], "dist": np.zeros(0)})
+        a = np.vstack(qry["v"].to_numpy()).astype(np.float64)
+        b = np.vstack(mem["v"].to_numpy()).astype(np.float64)
+        d2 = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * a @ b.T
+        np.maximum(d2, 0.0, out=d2)
+        qi, pi = np.nonzero(d2 <= r2 * (1 + 1e-9) + 1e-12)
+        # exact re-check of the kept pairs (the expansion above can round)
+        diff = a[qi] - b[pi]
+        dist = np.sqrt((diff * diff).sum(1))
+        idq, idp = qry["id"].to_numpy()[qi], mem["id"].to_numpy()[pi]
+        keep = (dist <= eps) & (idq != idp)
+        return pd.DataFrame(
+            {"id_q": pd.Series(idq[keep], dtype=qry["id"].dtype), "id_p": pd.Series(idp[keep], dtype=mem["id"].dtype), "dist": dist[keep]}
+        )
+
+    keys = ["cell", "ms", "qs"]
+    return m.groupBy(*keys).cogroup(q.groupBy(*keys)).applyInPandas(block_pairs, schema)
+
+
+def knn(cells: DataFrame, k: int, id_col: str = "id", vec: str = "vec", start_eps: float | None = None, max_rounds: int = 64, lead_dims: int = 3) -> DataFrame:
     """Exact k nearest neighbours of every point, itself included
     (id_q, j, id_p, dist) with j = 1..k. Radius grows (doubling) only for
     points that still have fewer than k points inside it."""
     n = cells.count()
     k = int(min(k, n))
     if start_eps is None:
-        typical = cells.agg(F.expr("percentile_approx(dp[cell], 0.5)")).first()[0] or 1.0
+        # a quarter of the typical spread along the first coordinate
+        typical = cells.agg(F.stddev_pop(F.col(vec)[0])).first()[0] or 1.0
         start_eps = max(float(typical) / 4.0, 1e-9)
     eps = start_eps
     todo = cells
     done = None
     self_rows = cells.select(F.col(id_col).alias("id_q"), F.col(id_col).alias("id_p"), F.lit(0.0).alias("dist"))
     for _ in range(max_rounds):
-        found = radius_join(cells, eps, id_col, vec, queries=todo)
+        found = radius_join(cells, eps, id_col, vec, queries=todo, lead_dims=lead_dims)
         found = found.unionByName(self_rows.join(todo.select(F.col(id_col).alias("id_q")), "id_q", "left_semi"))
         cnt = found.groupBy("id_q").agg(F.count("*").alias("_c"))
         resolved_ids = cnt.where(F.col("_c") >= k).select("id_q")

@@ -62,15 +62,18 @@ def char_sim(a: str, b: str) -> str:
     return f"(CASE WHEN greatest(length({a}), length({b})) = 0 THEN 1.0 ELSE 1 - levenshtein({a}, {b}) / greatest(length({a}), length({b})) END)"
 
 
-def leader_ctes(accuracy: float = 0.8) -> str:
-    """CTEs ``groups``, ``ranked``, ``pairs``, ``walk``, ``assign`` after ``seqs``: the
-    sequential leader loop restated as a recursive walk over priority order."""
+def leader_ctes(accuracy: float = 0.8, by: tuple = ()) -> str:
+    """CTEs ``groups``, ``ranked``, ``pairs``, ``walk``, ``assign``, ``assigned``
+    after ``seqs``: the sequential leader loop restated as a recursive walk
+    over priority order (per ``by`` key; one walk over all keys)."""
+    b = "".join(f"{c}, " for c in by)
+    same = "".join(f"a.{c} = b.{c} AND " for c in by)
     return f"""
-groups AS (SELECT hash, count(*) AS cluster_size, min(msg_id) AS first_id, arg_min(sequence, msg_id) AS sequence
-           FROM seqs GROUP BY hash),
-ranked AS (SELECT *, row_number() OVER (ORDER BY cluster_size DESC, hash) AS rk FROM groups),
+groups AS (SELECT {b}hash, count(*) AS cluster_size, min(msg_id) AS first_id, arg_min(sequence, msg_id) AS sequence
+           FROM seqs GROUP BY {b}hash),
+ranked AS (SELECT *, row_number() OVER (ORDER BY {b}cluster_size DESC, hash) AS rk FROM groups),
 pairs AS (SELECT a.rk AS hi, b.rk AS lo, {token_sim('a.sequence', 'b.sequence')} AS similarity
-          FROM ranked a JOIN ranked b ON a.rk < b.rk
+          FROM ranked a JOIN ranked b ON {same}a.rk < b.rk
           WHERE {token_sim('a.sequence', 'b.sequence')} >= {accuracy}),
 walk AS (
   SELECT 0::BIGINT AS i, []::BIGINT[] AS leaders
@@ -84,3 +87,11 @@ assign AS (SELECT r.*, CASE WHEN r.rk IN (SELECT rk FROM leader_set) THEN r.rk
            FROM ranked r),
 assigned AS (SELECT a.*, l.hash AS leader_hash FROM assign a JOIN ranked l ON l.rk = a.leader_rk)
 """
+
+
+def uuid_sql(expr: str) -> str:
+    h = f"md5({expr})"
+    return (
+        f"substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-' || substr({h}, 13, 4) || '-' || "
+        f"substr({h}, 17, 4) || '-' || substr({h}, 21, 12)"
+    )

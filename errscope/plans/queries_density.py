@@ -35,9 +35,7 @@ pairs AS (SELECT id_q, id_p, dist FROM dd WHERE id_q <> id_p AND dist <= (SELECT
 
 
 def _cells(spark, sf):
-    pts = fx.vectors(spark, sf).select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
-    pivots = D.choose_pivots(pts, 16)
-    return D._ckpt(D.assign_cells(pts, pivots))
+    return D._ckpt(D.as_points(fx.vectors(spark, sf), "vec_id", "embedding"))
 
 
 def _knn(spark, sf):
@@ -71,7 +69,7 @@ def q_knee_epsilon(spark, sf):
 
 @register("radius_join", K_SQL + "SELECT id_q, id_p, round(dist, 6) AS dist FROM pairs")
 def q_radius_join(spark, sf):
-    """All pairs within the knee epsilon (exact, pivot cells + rings)."""
+    """All pairs within the knee epsilon (exact, grid over leading coordinates)."""
     cells, nb = _knn(spark, sf)
     eps = D.knee_epsilon(D.k_distance_curve(nb))
     pairs = D.radius_join(cells, eps)

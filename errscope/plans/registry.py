@@ -28,4 +28,4 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from . import queries_basic, queries_cluster, queries_density, queries_patterns, queries_vectors, queries_weights  # noqa: F401
+    from . import queries_basic, queries_cluster, queries_density, queries_jobs, queries_patterns, queries_vectors, queries_weights  # noqa: F401
