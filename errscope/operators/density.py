@@ -73,43 +73,46 @@ def radius_join(
         raise ValueError("eps must be positive")
     width = points.select(F.size(vec)).first()
     g = max(1, min(lead_dims, width[0] if width else 1))
-    cell = lambda c: F.transform(F.slice(c, 1, g), lambda x: F.floor(x / F.lit(eps)))
-    members = points.select(F.col(id_col).alias("id"), F.col(vec).alias("v"), cell(F.col(vec)).alias("cell"))
+    cell = lambda c: F.transform(F.slice(c, 1, g), lambda x: F.floor(x / F.lit(eps)).cast("long"))
+    key = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
+    members = points.select(F.col(id_col).alias("id"), F.col(vec).alias("v"), key(cell(F.col(vec))).alias("cell"))
     members = _ckpt(members)
     biggest = members.groupBy("cell").count().agg(F.max("count")).first()[0] or 1
     S = max(1, math.ceil(biggest / block))
     salts = F.sequence(F.lit(0), F.lit(S - 1))
     offs = F.array(*[F.array(*[F.lit(d) for d in o]) for o in _offsets(g)])
-    m = members.select("cell", "id", "v", F.pmod(F.xxhash64("id"), F.lit(S)).alias("ms"), F.explode(salts).alias("qs"))
+    # the two sides share no column names except the keys
+    m = members.select(
+        "cell", F.col("id").alias("id_p"), F.col("v").alias("v_p"), F.pmod(F.xxhash64("id"), F.lit(S)).alias("ms"), F.explode(salts).alias("qs")
+    )
     src = queries if queries is not None else points
     q = src.select(F.col(id_col).alias("id"), F.col(vec).alias("v"))
     q = q.select("id", "v", cell(F.col("v")).alias("_base"), F.explode(offs).alias("_off"))
     q = q.select(
-        F.zip_with("_base", "_off", lambda a, b: a + b).alias("cell"),
-        "id",
-        "v",
+        key(F.zip_with("_base", "_off", lambda a, b: a + b.cast("long"))).alias("cell"),
+        F.col("id").alias("id_q"),
+        F.col("v").alias("v_q"),
         F.explode(salts).alias("ms"),
         F.pmod(F.xxhash64("id"), F.lit(S)).alias("qs"),
     )
     schema = _pair_schema(points.withColumnRenamed(id_col, "id"), "id")
     r2 = eps * eps
+    empty = pd.DataFrame({"id_q": pd.Series([], dtype=object), "id_p": pd.Series([], dtype=object), "dist": pd.Series([], dtype="float64")})
 
     def block_pairs(mem: pd.DataFrame, qry: pd.DataFrame) -> pd.DataFrame:
-        if len(mem) == 0 or len(qry) == 0:
-            return pd.DataFrame({"id_q": qry["id"].iloc[0:0], "id_p": mem["id"].iloc[0:0], "dist": np.zeros(0)})
-        a = np.vstack(qry["v"].to_numpy()).astype(np.float64)
-        b = np.vstack(mem["v"].to_numpy()).astype(np.float64)
+        if len(mem) == 0 or len(qry) == 0 or "v_q" not in qry or "v_p" not in mem:
+            return empty
+        a = np.vstack(qry["v_q"].to_numpy()).astype(np.float64)
+        b = np.vstack(mem["v_p"].to_numpy()).astype(np.float64)
         d2 = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * a @ b.T
         np.maximum(d2, 0.0, out=d2)
         qi, pi = np.nonzero(d2 <= r2 * (1 + 1e-9) + 1e-12)
         # exact re-check of the kept pairs (the expansion above can round)
         diff = a[qi] - b[pi]
         dist = np.sqrt((diff * diff).sum(1))
-        idq, idp = qry["id"].to_numpy()[qi], mem["id"].to_numpy()[pi]
+        idq, idp = qry["id_q"].to_numpy()[qi], mem["id_p"].to_numpy()[pi]
         keep = (dist <= eps) & (idq != idp)
-        return pd.DataFrame(
-            {"id_q": pd.Series(idq[keep], dtype=qry["id"].dtype), "id_p": pd.Series(idp[keep], dtype=mem["id"].dtype), "dist": dist[keep]}
-        )
+        return pd.DataFrame({"id_q": idq[keep], "id_p": idp[keep], "dist": dist[keep]})
 
     keys = ["cell", "ms", "qs"]
     return m.groupBy(*keys).cogroup(q.groupBy(*keys)).applyInPandas(block_pairs, schema)
