@@ -64,7 +64,7 @@ def detokenize_pattern(tokens) -> Column:
     x = _col(tokens)
     kept = F.filter(
         x,
-        lambda t, i: ~((t == SPACER) & (i + 1 < F.size(x)) & (x.getItem(i + 1) == F.lit(PLACEHOLDER))),
+        lambda t, i: ~((t == SPACER) & (i + 1 < F.size(x)) & (F.try_element_at(x, i + 2) == F.lit(PLACEHOLDER))),
     )
     return F.array_join(F.transform(kept, lambda t: F.when(t == SPACER, F.lit(" ")).otherwise(t)), "")
 
@@ -72,7 +72,7 @@ def detokenize_pattern(tokens) -> Column:
 def dedup_adjacent_tokens(tokens) -> Column:
     """Collapse runs of equal neighbouring tokens."""
     x = _col(tokens)
-    return F.filter(x, lambda t, i: (i == 0) | (t != x.getItem(i - 1)))
+    return F.filter(x, lambda t, i: (i == 0) | (t != F.try_element_at(x, F.greatest(i, F.lit(1)))))
 
 
 def lower_tokens(tokens) -> Column:

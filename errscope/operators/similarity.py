@@ -93,8 +93,10 @@ def similarity_join(
         try:
             g = encode_sequences(g, [*by, key], seq)
             per_pair_codes = False
-        except OverflowError:
+        except OverflowError:  # vocabulary beyond the code space: number tokens per pair
             per_pair_codes = True
+    elif not per_pair_codes:
+        g = encode_sequences(g, [*by, key], seq)
     ga = g.select(*by, F.col(key).alias("key_a"), *([F.col(seq).alias("seq_a")] + ([] if per_pair_codes else [F.col("codes").alias("ca")])))
     gb = g.select(*by, F.col(key).alias("key_b"), *([F.col(seq).alias("seq_b")] + ([] if per_pair_codes else [F.col("codes").alias("cb")])))
     j = cand.join(ga, [*by, "key_a"]).join(gb, [*by, "key_b"])

@@ -1,0 +1 @@
+from .daily_stream import stream_group_counts  # noqa: F401

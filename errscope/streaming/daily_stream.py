@@ -1,0 +1,38 @@
+"""The daily scan as a Structured Streaming query.
+
+The reference is a batch job; this is the same scan -> project -> filter ->
+clean -> hash step for records that keep arriving in the dated folders.
+Counts per content hash are kept as streaming state. The rare-token rule
+needs corpus-wide counts and the clustering needs all groups, so both stay
+in the batch job (``plans.daily``), which can read this query's output.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.text import clean_message, content_hash, split_tokens
+from ..sources.readers import TRANSFER_SCHEMA, non_empty, project_transfer_records
+
+
+def stream_messages(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Records of every day folder below ``root`` as a stream (fixed schema, no inference)."""
+    reader = spark.readStream.schema(TRANSFER_SCHEMA).option("recursiveFileLookup", "true")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return non_empty(project_transfer_records(reader.json(root)))
+
+
+def stream_group_counts(spark: SparkSession, root: str) -> DataFrame:
+    """Streaming aggregate: messages per cleaned-content hash, with the first
+    cleaned text seen for it (state = one row per hash)."""
+    msgs = stream_messages(spark, root)
+    cleaned = msgs.select(clean_message("error_message").alias("cleaned"))
+    hashed = cleaned.select(content_hash(split_tokens("cleaned")).alias("hash"), "cleaned")
+    return hashed.groupBy("hash").agg(F.count("*").alias("n"), F.min("cleaned").alias("cleaned"))
+
+
+def run_to_table(df: DataFrame, name: str, checkpoint: str):
+    """Start the aggregate into an in-memory table (complete mode); returns the query."""
+    return df.writeStream.outputMode("complete").format("memory").queryName(name).option("checkpointLocation", checkpoint).start()

@@ -1,0 +1,17 @@
+import os
+
+from errscope.session import scratch_path
+from errscope.sources import fixtures as fx
+from errscope.sources import readers as R
+from errscope.streaming.daily_stream import run_to_table, stream_group_counts
+from tests.conftest import SF_SMALL
+
+
+def test_stream_counts_equal_batch(spark):
+    root = R.write_daily_json(spark, fx.raw_records(spark, SF_SMALL).drop("event_id"))
+    q = run_to_table(stream_group_counts(spark, root), "stream_counts", scratch_path(spark, "stream-ckpt"))
+    q.processAllAvailable()
+    q.stop()
+    total = spark.sql("SELECT sum(n) AS n FROM stream_counts").first().n
+    batch = R.non_empty(R.project_transfer_records(R.read_transfer_days(spark, root, ["*/*/*"]))).count()
+    assert total == batch
