@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_message, content_hash, split_tokens, tokenize_message
-from .tokens import drop_rare_tokens
+from .tokens import frequent_token_sequences
 
 
 def prepare_sequences(
@@ -18,13 +18,13 @@ def prepare_sequences(
     by: Sequence[str] = (),
     min_count: int = 2,
 ) -> DataFrame:
-    """T1 -> T2 -> T3 -> T4: (by..., id, cleaned, sequence, hash).
+    """T1 -> T2 -> T3 -> T4: (by..., id, sequence, hash).
 
     Rare-token counts are taken per ``by`` key, as if each key were its own run.
+    Every cleaned message splits into at least one token, so no message is lost.
     """
-    base = df.select(*by, id_col, clean_message(F.coalesce(F.col(target), F.lit(""))).alias("cleaned"))
-    base = base.withColumn("_raw_tokens", split_tokens("cleaned"))
-    seq = drop_rare_tokens(base, "_raw_tokens", id_col, by=by, min_count=min_count, out="sequence").drop("_raw_tokens")
+    base = df.select(*by, id_col, split_tokens(clean_message(F.coalesce(F.col(target), F.lit("")))).alias("_raw_tokens"))
+    seq = frequent_token_sequences(base, "_raw_tokens", id_col, by=by, min_count=min_count, out="sequence")
     return seq.withColumn("hash", content_hash("sequence"))
 
 

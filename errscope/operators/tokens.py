@@ -32,22 +32,35 @@ def reassemble(exploded: DataFrame, keys: Sequence[str], out: str, token_col: st
     ).select(*keys, F.col("_pt.t").alias(out))
 
 
+def frequent_token_sequences(
+    df: DataFrame, tokens: str, id_col: str, by: Sequence[str] = (), min_count: int = 2, out: str = "sequence"
+) -> DataFrame:
+    """(by..., id, out): tokens whose corpus count is >= ``min_count``, in order.
+
+    Every row must hold at least one token (``split`` always yields one), so
+    marking tokens with a left join and reassembling keeps every row without
+    joining back. The frequent-token table is the small side: AQE broadcasts
+    it when its measured size allows and splits hot tokens otherwise."""
+    keys = [*by, id_col]
+    ex = explode_tokens(df, tokens, keys)
+    frequent = (
+        term_frequency(df, tokens, by).where(F.col("frequency") >= min_count).select(*by, "token", F.lit(True).alias("_keep"))
+    )
+    marked = ex.join(frequent, [*by, "token"], "left")
+    kept = F.when(F.col("_keep"), F.struct("pos", F.col("token").alias("t")))
+    return marked.groupBy(*keys).agg(F.sort_array(F.collect_list(kept)).alias("_pt")).select(*keys, F.col("_pt.t").alias(out))
+
+
 def drop_rare_tokens(
     df: DataFrame, tokens: str, id_col: str, by: Sequence[str] = (), min_count: int = 2, out: str | None = None
 ) -> DataFrame:
     """T3 (with J8): keep tokens whose total count over the corpus is >= ``min_count``.
 
-    Order is kept; a row whose tokens are all rare keeps an empty array (left
-    join back, Q19). The frequent-token table is joined by token; AQE turns it
-    into a broadcast when its measured size is small and splits hot tokens
-    otherwise.
-    """
+    Order is kept; a row whose tokens are all rare (or that has none) keeps an
+    empty array (left join back, Q19)."""
     out = out or tokens
     keys = [*by, id_col]
-    ex = explode_tokens(df, tokens, keys)
-    frequent = term_frequency(df, tokens, by).where(F.col("frequency") >= min_count).select(*by, "token")
-    kept = ex.join(frequent, [*by, "token"], "left_semi")
-    rebuilt = reassemble(kept, keys, "_kept")
+    rebuilt = frequent_token_sequences(df, tokens, id_col, by, min_count, "_kept")
     return (
         df.join(rebuilt, keys, "left")
         .withColumn(out, F.coalesce(F.col("_kept"), F.array().cast("array<string>")))
