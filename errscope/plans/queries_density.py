@@ -92,3 +92,12 @@ def q_dbscan(spark, sf):
     cells, nb = _knn(spark, sf)
     eps = D.knee_epsilon(D.k_distance_curve(nb))
     return D.dbscan(cells, eps)
+
+
+@register("agglomerative")
+def q_agglomerative(spark, sf):
+    """Ward merging of the embeddings below linkage distance 1.0 (the
+    chain's default for PCA-reduced sentence vectors is 0.1)."""
+    from ..operators.agglomerative import ward_clusters
+
+    return ward_clusters(_cells(spark, sf), 1.0)

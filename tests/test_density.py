@@ -58,3 +58,32 @@ def test_dbscan_components(cloud):
     want = {i: min(m) for m in comp.values() for i in m}
     got = {r.id: r.component for r in D.dbscan(df, eps).collect()}
     assert got == want
+
+
+def sequential_ward(x, threshold):
+    clusters = {i: [i] for i in range(len(x))}
+    while True:
+        best = None
+        keys = sorted(clusters)
+        for ai, a in enumerate(keys):
+            for b in keys[ai + 1:]:
+                na, nb = len(clusters[a]), len(clusters[b])
+                d = np.sqrt(2 * na * nb / (na + nb)) * np.linalg.norm(x[clusters[a]].mean(0) - x[clusters[b]].mean(0))
+                if d < threshold and (best is None or d < best[0]):
+                    best = (d, a, b)
+        if best is None:
+            return {i: min(m) for m in clusters.values() for i in m}
+        _, a, b = best
+        clusters[min(a, b)] = clusters[a] + clusters[b]
+        del clusters[max(a, b)]
+
+
+def test_ward_rounds_equal_sequential(spark, cloud):
+    from errscope.operators.agglomerative import ward_clusters
+
+    x, df = cloud
+    sub = x[:24]
+    sdf = df.where("id < 24")
+    for threshold in (1.5,):
+        got = {r.id: r.component for r in ward_clusters(sdf, threshold).collect()}
+        assert got == sequential_ward(sub, threshold)
