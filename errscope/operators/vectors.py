@@ -109,4 +109,9 @@ def document_vectors(model: Word2VecModel, docs: DataFrame, doc_col: str, tokens
     n_docs = docs.agg(F.count("*")).scalar()
     dfreq = ex.distinct().groupBy("token").agg(F.count("*").alias("df"))
     w = ex.join(dfreq, "token").withColumn("idf", F.log(n_docs.cast("double") / F.col("df")) + 1).join(words, "token")
-    return w.groupBy(doc_col).agg(Summarizer.mean(F.col("vector"), F.col("idf")).alias("doc_vector"))
+    means = w.groupBy(doc_col).agg(Summarizer.mean(F.col("vector"), F.col("idf")).alias("_m"))
+    # a document without known words gets the zero vector (as in V4)
+    from pyspark.ml.functions import array_to_vector
+
+    zero = array_to_vector(F.array_repeat(F.lit(0.0), model.getVectorSize()))
+    return docs.select(doc_col).join(means, doc_col, "left").select(doc_col, F.coalesce("_m", zero).alias("doc_vector"))
