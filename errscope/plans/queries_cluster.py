@@ -140,8 +140,9 @@ SELECT hash, round({token_sim('g.sequence', 'top.top_seq')}, 9) AS similarity FR
 def q_token_similarity(spark, sf):
     """Each group's similarity to the most frequent sequence (per-pair token codes)."""
     groups = G.group_equal_messages(G.prepare_sequences(fx.templated_messages(spark, sf)))
-    top = G.most_frequent_sequence(groups).select(F.col("sequence").alias("top_seq"))
-    j = groups.join(F.broadcast(top), how="inner")  # one row
+    # the most frequent sequence enters as a scalar subquery (one value, no join)
+    top = G.most_frequent_sequence(groups).select("sequence").scalar()
+    j = groups.withColumn("top_seq", top)
     ca, cb = S._pair_codes(F.col("sequence"), F.col("top_seq"))
     return j.select("hash", F.round(token_similarity(ca, cb), 9).alias("similarity"))
 
