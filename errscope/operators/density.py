@@ -125,12 +125,14 @@ def knn(cells: DataFrame, k: int, id_col: str = "id", vec: str = "vec", start_ep
     n = cells.count()
     k = int(min(k, n))
     if start_eps is None:
-        # a quarter of the typical spread along the first coordinate
-        typical = cells.agg(F.stddev_pop(F.col(vec)[0])).first()[0] or 1.0
-        start_eps = max(float(typical) / 4.0, 1e-9)
+        # a quarter of the typical pairwise distance sqrt(2 * total variance)
+        sq = cells.agg(F.avg(F.aggregate(F.col(vec), F.lit(0.0), lambda acc, x: acc + x * x))).first()[0] or 0.0
+        means = cells.select(F.posexplode(vec).alias("_j", "_x")).groupBy("_j").agg(F.avg("_x").alias("_m"))
+        msq = means.agg(F.sum(F.col("_m") * F.col("_m"))).first()[0] or 0.0
+        start_eps = max(0.25 * math.sqrt(max(2.0 * (sq - msq), 0.0)), 1e-9)
     eps = start_eps
     todo = cells
-    done = None
+    parts: list[DataFrame] = []
     self_rows = cells.select(F.col(id_col).alias("id_q"), F.col(id_col).alias("id_p"), F.lit(0.0).alias("dist"))
     for _ in range(max_rounds):
         found = radius_join(cells, eps, id_col, vec, queries=todo, lead_dims=lead_dims)
@@ -139,10 +141,12 @@ def knn(cells: DataFrame, k: int, id_col: str = "id", vec: str = "vec", start_ep
         resolved_ids = cnt.where(F.col("_c") >= k).select("id_q")
         w = Window.partitionBy("id_q").orderBy("dist", "id_p")
         top = found.join(resolved_ids, "id_q", "left_semi").withColumn("j", F.row_number().over(w)).where(F.col("j") <= k)
-        top = _ckpt(top)
-        done = top if done is None else _ckpt(done.unionByName(top))
+        parts.append(_ckpt(top))
         todo = _ckpt(todo.join(resolved_ids.withColumnRenamed("id_q", id_col), id_col, "left_anti"))
         if todo.isEmpty():
+            done = parts[0]
+            for p in parts[1:]:
+                done = done.unionByName(p)
             return done.select("id_q", "j", "id_p", "dist")
         eps *= 2.0
     raise RuntimeError("knn radius did not converge")
