@@ -69,12 +69,16 @@ WORD_RUN = r"[\p{L}\p{N}_]+"
 
 def site_tfidf(site_docs: DataFrame, site_col: str, text_col: str) -> DataFrame:
     """one document per site; lower-cased words of >= 2 characters, raw
-    counts, smoothed idf ln((1+N)/(1+df)) + 1, L2 norm per site."""
+    counts, smoothed idf ln((1+N)/(1+df)) + 1, L2 norm per site.
+
+    ``site_docs`` may hold many rows per site (e.g. one per group sequence):
+    words never span rows, so counting per row and summing per site equals
+    counting the site's concatenated text, without building that text."""
     words = site_docs.select(
         site_col, F.explode(F.regexp_extract_all(F.lower(text_col), F.lit(WORD_RUN), 0)).alias("term")
     ).where(F.length("term") >= 2)
     counts = words.groupBy(site_col, "term").agg(F.count("*").alias("count"))
-    n_docs = site_docs.agg(F.count("*")).scalar()
+    n_docs = site_docs.select(site_col).distinct().agg(F.count("*")).scalar()
     dfreq = document_frequency(counts)
     idf = F.log((1 + n_docs.cast("double")) / (1 + F.col("df"))) + 1
     w = counts.join(dfreq, "term").withColumn("_w", F.col("count") * idf)

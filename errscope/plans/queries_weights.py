@@ -141,13 +141,11 @@ sw AS (SELECT src_site, term, w / nrm AS weight FROM w JOIN nrm USING (src_site)
 
 
 def _site_docs(spark, sf):
-    """One text per source site: its groups' sequences (per-site rare-token rule)."""
+    """Per source site, one row per group sequence (per-site rare-token rule)."""
     tm = fx.templated_messages(spark, sf)
     seqs = G.prepare_sequences(tm, by=["src_site"])
     groups = G.group_equal_messages(seqs, by=["src_site"])
-    return G.cluster_text(groups.withColumn("_site", F.col("src_site")), "_site", by=[]).select(
-        F.col("_site").alias("src_site"), "text"
-    )
+    return groups.select("src_site", F.array_join("sequence", " ").alias("text"))
 
 
 @register("site_tfidf", SITE_SQL + "SELECT src_site, term, round(weight, 9) AS weight FROM sw")
