@@ -79,11 +79,12 @@ def radius_join(
     members = _ckpt(members)
     biggest = members.groupBy("cell").count().agg(F.max("count")).first()[0] or 1
     S = max(1, math.ceil(biggest / block))
-    salts = F.sequence(F.lit(0), F.lit(S - 1))
+    # every key column has the same type on both sides (co-partitioning hashes by type)
+    salts = F.sequence(F.lit(0).cast("long"), F.lit(S - 1).cast("long"))
     offs = F.array(*[F.array(*[F.lit(d) for d in o]) for o in _offsets(g)])
     # the two sides share no column names except the keys
     m = members.select(
-        "cell", F.col("id").alias("id_p"), F.col("v").alias("v_p"), F.pmod(F.xxhash64("id"), F.lit(S)).alias("ms"), F.explode(salts).alias("qs")
+        "cell", F.col("id").alias("id_p"), F.col("v").alias("v_p"), F.pmod(F.xxhash64("id"), F.lit(S).cast("long")).cast("long").alias("ms"), F.explode(salts).alias("qs")
     )
     src = queries if queries is not None else points
     q = src.select(F.col(id_col).alias("id"), F.col(vec).alias("v"))
@@ -93,7 +94,7 @@ def radius_join(
         F.col("id").alias("id_q"),
         F.col("v").alias("v_q"),
         F.explode(salts).alias("ms"),
-        F.pmod(F.xxhash64("id"), F.lit(S)).alias("qs"),
+        F.pmod(F.xxhash64("id"), F.lit(S).cast("long")).cast("long").alias("qs"),
     )
     schema = _pair_schema(points.withColumnRenamed(id_col, "id"), "id")
     r2 = eps * eps

@@ -87,3 +87,12 @@ def test_ward_rounds_equal_sequential(spark, cloud):
     for threshold in (1.5,):
         got = {r.id: r.component for r in ward_clusters(sdf, threshold).collect()}
         assert got == sequential_ward(sub, threshold)
+
+
+def test_radius_join_with_salted_blocks_is_monotone_and_exact(cloud):
+    x, df = cloud
+    d = brute(x)
+    for eps in (2.0, 50.0):  # at 50 one cell holds every point -> several salted blocks
+        want = {(i, j) for i, j in zip(*np.nonzero(d <= eps)) if i != j}
+        got = {(r.id_q, r.id_p) for r in D.radius_join(df, eps, block=30).collect()}
+        assert got == want
