@@ -55,37 +55,44 @@ def exact_dedup(
     prefix_chars: int = 256,
     filter_bits: int = 1 << 22,
     carry: Sequence[str] = (),
+    digest_col: str | None = None,
 ) -> DataFrame:
     """One row per document: (id, ``keep_id``, ``group_size``, ``kept``, ``decided_by``, carry...).
 
     Of equal texts the row with the largest id stays. ``decided_by`` names the
-    step that settled the row: length, prefix or full."""
-    base = docs.select(F.col(id_col), normalised(text_col).alias("_text"), *carry)
-    by_length = base.withColumn("_k1", F.xxhash64(F.length("_text")))
+    step that settled the row: length, prefix or full. ``digest_col`` asks for
+    the SHA-256 of every normalised text as a column, which the last step then
+    uses instead of hashing the open rows alone."""
+    base = docs.select(F.col(id_col), F.coalesce(text_col, F.lit("")).alias("_text"), *carry)
+    by_length = base.withColumn("_k1", F.xxhash64(F.length("_text")))  # case does not change the length
     lengths = _bitmap(_repeated(by_length, "_k1"), "_k1", filter_bits)
 
-    prefix_key = F.when(F.col("_m1"), F.xxhash64(F.length("_text"), F.substring("_text", 1, prefix_chars)))
+    prefix_key = F.when(F.col("_m1"), F.xxhash64(F.length("_text"), normalised(F.substring("_text", 1, prefix_chars))))
     by_prefix = _marked(by_length, "_k1", lengths, filter_bits, "_m1").withColumn("_k2", prefix_key)
     prefixes = _bitmap(_repeated(by_prefix.where("_m1"), "_k2"), "_k2", filter_bits)
 
     by_full = _marked(by_prefix, "_k2", prefixes, filter_bits, "_m2")
+    is_open = F.col("_m1") & F.coalesce("_m2", F.lit(False))
+    digest = F.sha2(normalised("_text"), 256)
     rows = by_full.select(
         id_col,
         *carry,
-        F.when(F.col("_m1") & F.col("_m2"), F.sha2(F.col("_text"), 256)).alias("_full"),
-        F.when(~F.col("_m1"), "length").when(~F.col("_m2"), "prefix").otherwise("full").alias("decided_by"),
+        is_open.alias("_open"),
+        (digest if digest_col else F.when(is_open, digest)).alias("_full"),
+        F.when(~F.col("_m1"), "length").when(~is_open, "prefix").otherwise("full").alias("decided_by"),
     )
     rows = materialise(rows, "exact-dedup")
+    extra = [*carry, *([F.col("_full").alias(digest_col)] if digest_col else [])]
 
-    alone = rows.where("_full is null").select(id_col, F.col(id_col).alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "decided_by", *carry)
-    open_rows = rows.where("_full is not null").dropDuplicates([id_col, "_full"])
+    alone = rows.where("not _open").select(id_col, F.col(id_col).alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "decided_by", *extra)
+    open_rows = rows.where("_open").dropDuplicates([id_col, "_full"])
     groups = open_rows.groupBy("_full").agg(F.max(id_col).alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     settled = open_rows.join(groups.where("group_size > 1"), "_full", "left").select(
         id_col,
         F.when(F.col("group_size").isNull(), F.col(id_col)).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
         "decided_by",
-        *carry,
+        *extra,
     )
     out = alone.unionByName(settled).withColumn("kept", F.col(id_col).eqNullSafe(F.col("keep_id")))
-    return out.select(id_col, "keep_id", "group_size", "kept", "decided_by", *carry)
+    return out.select(id_col, "keep_id", "group_size", "kept", "decided_by", *carry, *([digest_col] if digest_col else []))

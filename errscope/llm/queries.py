@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .common import table
-from .exact_dedup import exact_dedup, normalised
+from .exact_dedup import exact_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,6 +35,5 @@ def register(name: str, oracle: str | None = None):
     """,
 )
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.sha2(normalised("text"), 256).alias("text_sha256"))
-    out = exact_dedup(docs, carry=["text_sha256"])
+    out = exact_dedup(table(spark, sf_dir, "documents"), digest_col="text_sha256")
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
