@@ -5,9 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import settings
+from .best_fit_packing import best_fit_packing
 from .common import table
 from .exact_dedup import exact_dedup
+from .html_text import extract_text
+from .license_scan import license_scan
+from .line_dedup import line_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,3 +43,44 @@ def register(name: str, oracle: str | None = None):
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup(table(spark, sf_dir, "documents"), digest_col="text_sha256")
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@register("op2_html_extraction")
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
+@register("op3_best_fit_packing")
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing(table(spark, sf_dir, "documents"), settings.packing_tokenizer())
+
+
+@register("op4_license_scan")
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@register(
+    "op9_line_dedup",
+    r"""
+    with lines as (
+      select doc_id, pos, line, regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') as core
+      from (select doc_id, unnest(generate_series(1, len(parts))) as pos, unnest(parts) as line
+            from (select doc_id, string_split(coalesce(text, ''), chr(10)) as parts from documents))
+    ), keyed as (
+      select *, case when length(core) >= 40
+        then translate(core, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') end as key
+      from lines
+    ), common as (
+      select key, max(doc_id) as owner from keyed where key is not null group by key having count(distinct doc_id) >= 5
+    ), marked as (
+      select k.*, c.key is not null and k.doc_id <> c.owner as dropped from keyed k left join common c on k.key = c.key
+    )
+    select doc_id, count(*) as n_lines, cast(sum(case when dropped then 1 else 0 end) as bigint) as n_dropped,
+      sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not dropped), '')) as kept_sha256
+    from marked group by doc_id
+    """,
+)
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
