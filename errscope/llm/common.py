@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import checkpoint_root, scratch_path
+from ..session import scratch_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -68,17 +68,18 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.Record
     return df.mapInArrow(run, schema)
 
 
-__all__ = [
-    "checkpoint_root",
-    "scratch_path",
-    "table",
-    "materialise",
-    "arrow_rows",
-    "ascii_lower",
-    "map_batches",
-    "words_of",
-    "text_slices",
-]
+def append_columns(df: DataFrame, text_col: str, fn: Callable[[pa.Array], list], fields: list[T.StructField], keep: list[str] | None = None) -> DataFrame:
+    """``df`` (or its columns ``keep``) with columns computed from one text
+    column, batch by batch. Columns that have the name of a new one give way."""
+    names = [f.name for f in fields]
+    kept = [c for c in (df.columns if keep is None else keep) if c not in names]
+    at = len(kept)
+    source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").alias("_text_"))
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([*batch.columns[:at], *fn(batch.column(at))], names=[*kept, *names])
+
+    return map_batches(source, run, T.StructType([*(source.schema[c] for c in kept), *fields]))
 
 
 # ------------------------------------------------------------------ inside tasks

@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_batches, materialise, scratch_path, shuffle_partitions
+from ..session import scratch_path
+from .common import map_batches, materialise, shuffle_partitions
 
 SPACES = " \t\n\x0b\x0c\r"
 _KEY = ["hi", "lo"]

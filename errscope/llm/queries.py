@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from . import settings
 from .best_fit_packing import best_fit_packing
-from .common import table
+from .common import in_fold, table
 from .exact_dedup import exact_dedup
 from .html_text import extract_text
 from .license_scan import license_scan
 from .line_dedup import line_dedup
+from .lm_scoring import lm_scoring
+from .toxicity import toxicity, train_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -60,6 +62,22 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents")).drop("spans")
 
 
+@register("op5_toxicity")
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = in_fold(F.col("doc_id"), 0)
+    labels = table(spark, sf_dir, "labels").where(~held_out)
+    model = train_toxicity(docs, labels)
+    return toxicity(docs, model, keep=["doc_id"]).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@register("op7_lm_scoring")
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = in_fold(F.col("doc_id"), 1)
+    return lm_scoring(docs, ~held_out).withColumn("held_out", held_out)
+
+
 @register(
     "op9_line_dedup",
     r"""
