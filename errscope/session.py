@@ -13,9 +13,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # a side is broadcast only when its measured runtime size is below this
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
-    "spark.sql.autoBroadcastJoinThreshold": "32MB",
+    # a side is broadcast only when its estimated or measured size is below this
+    "spark.sql.autoBroadcastJoinThreshold": "16MB",
 }
 
 
