@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import settings
+from .ann_search import ann_search
 from .best_fit_packing import best_fit_packing
 from .common import in_fold, table
 from .exact_dedup import exact_dedup
@@ -78,6 +79,11 @@ def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring(docs, ~held_out).withColumn("held_out", held_out)
 
 
+@register("op8_ann_search")
+def op8_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @register(
     "op9_line_dedup",
     r"""
