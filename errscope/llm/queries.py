@@ -16,6 +16,7 @@ from .html_text import extract_text
 from .license_scan import license_scan
 from .line_dedup import line_dedup
 from .lm_scoring import lm_scoring
+from .near_dedup import near_duplicates
 from .toxicity import toxicity, train_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +109,8 @@ def op8_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@register("op10_near_dedup")
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
