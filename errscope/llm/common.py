@@ -35,6 +35,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def broadcast_if_few(df: DataFrame, name: str, rows: int = 500_000) -> DataFrame:
+    """A narrow table, written and counted; marked for broadcast if it has at
+    most ``rows`` rows, else left to an ordinary join."""
+    written = materialise(df, name)
+    return F.broadcast(written) if written.count() <= rows else written
+
+
 def arrow_rows(df: DataFrame, limit: int, what: str) -> pa.Table:
     """Bring a table of proven size to the driver; more than ``limit`` rows is an error."""
     out = df.limit(limit + 1).toArrow()
@@ -57,6 +64,17 @@ def in_fold(id_col: Column, remainder: int, folds: int = 5) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % folds == remainder
 
 
+def label_sample(labels: DataFrame, id_col: str, label_col: str, sizes: dict) -> DataFrame:
+    """(_id, _label) of a bounded sample: per label value the ids with the
+    smallest hashes. Several labels of one id count as the largest."""
+    one_each = labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).alias("_label"))
+    picked = None
+    for value, size in sizes.items():
+        some = one_each.where(F.col("_label") == value).orderBy(F.xxhash64("_id"), "_id").limit(size)
+        picked = some if picked is None else picked.unionByName(some)
+    return picked
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` over single record batches."""
 
@@ -121,8 +139,7 @@ def hash_words(words: list[str]) -> np.ndarray:
     if not words:
         return np.zeros(0, dtype=np.uint64)
     data = " ".join(words).encode()
-    got = _words_in(np.frombuffer(data, dtype=np.uint8), np.array([0, len(data)]), NON_SPACE)
-    return got.hash
+    return words_in(np.frombuffer(data, dtype=np.uint8), np.array([0, len(data)]), NON_SPACE)[0].hash
 
 
 @dataclass
@@ -141,10 +158,13 @@ class Words:
         return np.repeat(np.arange(self.rows), np.diff(self.bounds))
 
 
-def _words_in(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> Words:
+def words_in(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray, breaks: np.ndarray | None = None) -> tuple[Words, np.ndarray, np.ndarray]:
+    """(words, first bytes, bytes behind the last) of a slice. Words end where
+    rows end and at ``breaks``."""
     n = len(data)
     if n == 0:
-        return Words(0, np.zeros(len(offsets), dtype=np.int64), np.zeros(0, dtype=np.uint64))
+        none = np.zeros(0, dtype=np.int64)
+        return Words(0, np.zeros(len(offsets), dtype=np.int64), np.zeros(0, dtype=np.uint64)), none, none
     inside = is_word[data]
     before = np.empty(n, dtype=bool)
     before[0] = False
@@ -153,6 +173,8 @@ def _words_in(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> Wor
     after[-1] = False
     after[:-1] = inside[1:]
     cuts = offsets[(offsets > 0) & (offsets < n)]
+    if breaks is not None:
+        cuts = np.concatenate([cuts, breaks])
     before[cuts] = False
     after[cuts - 1] = False
     start = np.flatnonzero(inside & ~before)
@@ -160,7 +182,7 @@ def _words_in(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> Wor
     total = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(_FOLD[data] * _power_table(_BASE, "up", n)[:n], out=total[1:])
     h = (total[end] - total[start]) * _power_table(_INVERSE, "down", n)[start]
-    return Words(0, np.searchsorted(start, offsets), mix(h))
+    return Words(0, np.searchsorted(start, offsets), mix(h)), start, end
 
 
 def _slices(offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
@@ -191,7 +213,7 @@ def text_slices(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, n
 def words_of(column: pa.Array, is_word: np.ndarray, limit: int = 1 << 20) -> Iterator[Words]:
     """Hashed words of a string column, a bounded number of bytes at a time."""
     for row, data, offsets in text_slices(column, limit):
-        got = _words_in(data, offsets, is_word)
+        got = words_in(data, offsets, is_word)[0]
         got.first_row = row
         yield got
 

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import ALNUM, Words, map_batches, materialise, mix, signed, words_of
+from .common import ALNUM, Words, broadcast_if_few, map_batches, materialise, mix, signed, words_of
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -303,9 +303,20 @@ def near_duplicates(
 
 
 def _texts_of(docs: DataFrame, id_col: str, text_col: str, ids: DataFrame, broadcast_rows: int) -> DataFrame:
-    """(id, text) of the wanted ids; one text for an id that is repeated. The
-    ids are broadcast if they were counted to be few."""
-    ids = materialise(ids, "bucket-ids")
-    if ids.count() <= broadcast_rows:
-        ids = F.broadcast(ids)
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(ids, "id", "left_semi").dropDuplicates(["id"])
+    """(id, text) of the wanted ids; one text for an id that is repeated."""
+    wanted = broadcast_if_few(ids, "bucket-ids", broadcast_rows)
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted, "id", "left_semi").dropDuplicates(["id"])
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = 500_000, **settings) -> DataFrame:
+    """The documents that stay: one of each class of near-duplicates, and one
+    row of those that repeat an id. Rows with a null id all stay."""
+    found = near_duplicates(docs, id_col, text_col, broadcast_rows=broadcast_rows, **settings)
+    gone = broadcast_if_few(found.where(~F.col("kept")).select(id_col), "near-copies", broadcast_rows)
+    left = docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    repeated = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(id_col)
+    repeated = broadcast_if_few(repeated, "repeated-ids", broadcast_rows)
+    if not repeated.limit(1).count():
+        return left
+    once = left.join(repeated, id_col, "left_semi").dropDuplicates([id_col])
+    return left.join(repeated, id_col, "left_anti").unionByName(once).select(*docs.columns)

@@ -16,6 +16,7 @@ from .html_text import extract_text
 from .license_scan import license_scan
 from .line_dedup import line_dedup
 from .lm_scoring import lm_scoring
+from .mixing import mixing_rates
 from .near_dedup import near_duplicates
 from .toxicity import toxicity, train_toxicity
 
@@ -73,6 +74,13 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(docs, model, keep=["doc_id"]).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+@register("op6_source_mixing")
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rated, mixture = mixing_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), settings.MIX_WEIGHTS, keep=["doc_id"])
+    domains = F.array(*[F.lit(None if d is None else str(d)).cast("string") for d in mixture.domains])
+    return rated.select("doc_id", "n_tokens", domains.alias("domains"), "posterior", "rate", "copies")
+
+
 @register("op7_lm_scoring")
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

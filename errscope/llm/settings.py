@@ -1,4 +1,4 @@
-"""Where the public tokenizer files lie. Every operator takes the path as a parameter."""
+"""Production parameters of the queries and the pipeline: tokenizer files and mixing targets."""
 
 from __future__ import annotations
 
@@ -17,3 +17,7 @@ def tokenizer_path(name: str) -> str:
 
 def packing_tokenizer() -> str:
     return tokenizer_path("word_bpe_49k.json")
+
+
+#: Wanted shares of tokens by value of ``labels.quality``.
+MIX_WEIGHTS = {1: 0.9, 0: 0.1}
