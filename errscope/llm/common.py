@@ -91,8 +91,10 @@ def append_columns(df: DataFrame, text_col: str, fn: Callable[[pa.Array], list],
     column, batch by batch. Columns that have the name of a new one give way."""
     names = [f.name for f in fields]
     kept = [c for c in (df.columns if keep is None else keep) if c not in names]
-    at = len(kept)
-    source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").alias("_text_"))
+    at, text_name = len(kept), "_text"
+    while text_name in kept:
+        text_name += "_"
+    source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").alias(text_name))
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:at], *fn(batch.column(at))], names=[*kept, *names])

@@ -160,11 +160,10 @@ class LineRuns:
 def drop_lines(docs: DataFrame, drops: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
     """Texts without the lines listed in ``drops`` (id, hi, lo); adds
     ``n_lines`` and ``n_dropped`` and replaces the text."""
-    lists = drops.groupBy(F.col("id").alias("_drop_id")).agg(F.collect_list(F.struct("hi", "lo")).alias("_drops"))
+    lists = drops.groupBy("id").agg(F.collect_list(F.struct("hi", "lo")).alias("drops")).withColumnRenamed("id", "drop_id")
     rest = [c for c in docs.columns if c not in (text_col, "n_lines", "n_dropped")]
-    joined = docs.join(lists, F.col(id_col).eqNullSafe(F.col("_drop_id")), "left").select(
-        F.struct(*rest).alias("rest"), F.coalesce(text_col, F.lit("")).alias("text"), F.col("_drops.hi").alias("hi"), F.col("_drops.lo").alias("lo")
-    )
+    whole = docs.select(F.col(id_col).alias("id"), F.struct(*rest).alias("rest"), F.coalesce(text_col, F.lit("")).alias("text"))
+    joined = whole.join(lists, F.col("id").eqNullSafe(F.col("drop_id")), "left").select("rest", "text", F.col("drops.hi").alias("hi"), F.col("drops.lo").alias("lo"))
 
     def run(batch: pa.RecordBatch):
         texts, lines, dropped = [], [], []

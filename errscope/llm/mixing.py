@@ -95,7 +95,8 @@ def train_domains(docs: DataFrame, labels: DataFrame, domains: list, id_col: str
     if not found:
         return None
     picked = label_sample(labels, id_col, label_col, {d: max_rows for d in found})
-    rows = docs.join(F.broadcast(picked), F.col(id_col) == F.col("_id")).select(F.xxhash64("_id").alias("order"), F.col("_label").cast("string").alias("label"), F.col(text_col).alias("text"))
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
+    rows = texts.join(F.broadcast(picked), "_id").select(F.xxhash64("_id").alias("order"), F.col("_label").cast("string").alias("label"), "text")
 
     def run(batch: pa.RecordBatch):
         x = features(batch.column(2))[1].astype(np.float32)
