@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import clean_message, content_hash, split_tokens, tokenize_message
+from ..functions.text import clean_message, collapse_placeholders, content_hash, detokenize_pattern, split_tokens
+from .patterns import common_pattern
 from .tokens import frequent_token_sequences
 
 
@@ -28,11 +29,6 @@ def prepare_sequences(
     return seq.withColumn("hash", content_hash("sequence"))
 
 
-def with_tokenized_pattern(df: DataFrame, target: str = "error_message", tokenizer_type: str = "conservative") -> DataFrame:
-    """T5 applied to the raw message."""
-    return df.withColumn("tokenized_pattern", tokenize_message(target, tokenizer_type))
-
-
 def group_equal_messages(seqs: DataFrame, id_col: str = "msg_id", by: Sequence[str] = ()) -> DataFrame:
     """A1: one row per content hash. Message ids stay in ``seqs`` (the bridge
     table by ``hash``); only size, first id and the first sequence are kept
@@ -44,11 +40,6 @@ def group_equal_messages(seqs: DataFrame, id_col: str = "msg_id", by: Sequence[s
     )
 
 
-def group_indices(seqs: DataFrame, id_col: str = "msg_id", by: Sequence[str] = ()) -> DataFrame:
-    """Sorted id lists per group, only for callers that need the array form."""
-    return seqs.groupBy(*by, "hash").agg(F.sort_array(F.collect_list(id_col)).alias("indices"))
-
-
 def most_frequent_sequence(groups: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """A4: the sequence carrying the most messages; ties broken by hash."""
     return groups.groupBy(*by).agg(
@@ -56,6 +47,16 @@ def most_frequent_sequence(groups: DataFrame, by: Sequence[str] = ()) -> DataFra
     ).select(*by, "_top.sequence", "_top.hash", "_top.cluster_size")
 
 
+def group_patterns(messages: DataFrame, tokens: str = "tk", key: str = "hash", by: Sequence[str] = (), add_placeholder: bool = False) -> DataFrame:
+    """A1, second part: (by..., hash, tokenized_pattern, pattern) mined from the
+    raw tokens of the messages of each group."""
+    keys = [*by, key]
+    mined = common_pattern(messages, keys, tokens, add_placeholder=add_placeholder)
+    return mined.select(
+        *keys, F.col("pattern").alias("tokenized_pattern"), collapse_placeholders(detokenize_pattern("pattern")).alias("pattern")
+    )
+
+
 def merge_groups(assigned: DataFrame, cluster_col: str = "cluster_id", by: Sequence[str] = ()) -> DataFrame:
     """A5: groups -> clusters with total size and number of groups."""
     return assigned.groupBy(*by, cluster_col).agg(

@@ -1,9 +1,8 @@
 """Pattern mining per cluster.
 
-M2-M4 and M6 are plain aggregations and joins. M1/M5 fold sequences with
-``difflib`` inside ``applyInPandas``; only *distinct* sequences enter, and
-they are split into hash buckets of at most ``max_group`` rows whose partial
-patterns are folded again, so no task ever receives an unbounded group.
+All are aggregations and joins. M1/M5 align each distinct sequence with its
+cluster's heaviest one by ``difflib`` in a vectorised function over pairs of
+sequences; which positions survive is an aggregation.
 """
 
 from __future__ import annotations
@@ -12,11 +11,11 @@ import difflib
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.constants import PHRASE_SENTENCE_SPLIT, PHRASE_STOP_WORDS, PLACEHOLDER, PUNCTUATION, SPACER, WILDCARD
+from ..functions.constants import PHRASE_SENTENCE_SPLIT, PHRASE_STOP_WORDS, PUNCTUATION, SPACER, WILDCARD
 from ..functions.text import dedup_adjacent_tokens
 from .tokens import reassemble
 
@@ -67,10 +66,12 @@ def positional_alternatives(df: DataFrame, cluster_cols: Sequence[str], tokens:
     shortest, ex = _positions(df, cl, tokens)
     d = ex.select(*cl, "pos", "token").distinct()
     k = [*cl, "pos"]
-    s1 = d.groupBy(*k).agg(F.min("token").alias("m1"), F.count("*").alias("n"))
-    s2 = d.join(s1, k).where(F.col("token") > F.col("m1")).groupBy(*k).agg(F.min("token").alias("m2"))
-    s3 = d.join(s2, k).where(F.col("token") > F.col("m2")).groupBy(*k).agg(F.min("token").alias("m3"))
-    per_pos = s1.join(s2, k, "left").join(s3, k, "left")
+    number = d.groupBy(*k).agg(F.count("*").alias("n"))
+    # the limit on the row number is applied before the shuffle as well, so a
+    # position with many alternatives sends three rows per task
+    three = d.withColumn("r", F.row_number().over(Window.partitionBy(*k).orderBy("token"))).where("r <= 3")
+    smallest = three.groupBy(*k).agg(*[F.max(F.when(F.col("r") == i, F.col("token"))).alias(f"m{i}") for i in (1, 2, 3)])
+    per_pos = number.join(smallest, k)
     alt = F.concat(F.concat_ws("|", "m1", "m2", "m3"), F.lit("{"), F.col("n").cast("string"), F.lit("}"))
     per_pos = per_pos.withColumn("_t", F.when(F.col("n") == 1, F.col("m1")).otherwise(alt))
     rebuilt = reassemble(per_pos, cl, "_p", token_col="_t")
@@ -78,47 +79,21 @@ def positional_alternatives(df: DataFrame, cluster_cols: Sequence[str], tokens:
 
 
 # ------------------------------------------------------------------ M1 / M5
-_EMPTY_TOKENS = set(PUNCTUATION) | {WILDCARD, SPACER}
-
-
-def _is_empty(pattern: list) -> bool:
-    return all(t in _EMPTY_TOKENS for t in pattern)
-
-
-def _fold(start: list, others: list, add_placeholder: bool, gated: bool) -> list:
-    pattern = list(start)
-    for seq in others:
-        m = difflib.SequenceMatcher(None, pattern, seq)
-        if gated and not m.ratio() > 0.5:
-            continue
-        blocks = [pattern[b.a : b.a + b.size] for b in m.get_matching_blocks() if b.size > 0]
-        out: list = []
-        for i, blk in enumerate(blocks):
-            out.extend(blk)
-            if add_placeholder and i < len(blocks) - 1:
-                out.append(WILDCARD)
-        pattern = out
-    return pattern
-
-
-def fold_sequences(seqs: list, weights: list, add_placeholder: bool = False, gated: bool = True, max_attempts: int = 3) -> list:
-    """Deterministic M1 on distinct sequences: start at the heaviest (tie:
-    smallest), fold the others in sorted order; if only punctuation,
-    spacers or wildcards remain, retry from the next start (bounded), then
-    fall back to the heaviest sequence itself."""
-    if not seqs:
-        return []
-    order = sorted(range(len(seqs)), key=lambda i: (-weights[i], seqs[i]))
-    if len(seqs) == 1:
-        return list(seqs[0])
-    sorted_all = sorted(seqs)
-    for attempt in range(min(max_attempts, len(order))):
-        start = seqs[order[attempt]]
-        others = [s for s in sorted_all if s != start]
-        pattern = _fold(start, others, add_placeholder, gated)
-        if not gated or not _is_empty(pattern):
-            return pattern
-    return list(seqs[order[0]])
+_EMPTY_TOKENS = [*PUNCTUATION, WILDCARD, SPACER]
+
+
+_ALIGNMENT = T.StructType([T.StructField("ratio", T.DoubleType()), T.StructField("matched", T.ArrayType(T.IntegerType()))])
+
+
+def _alignment(start: pd.Series, seq: pd.Series) -> pd.DataFrame:
+    """Similarity ratio of two token sequences and the positions of the first
+    one that their matching blocks cover."""
+    ratios, matched = [], []
+    for a, b in zip(start, seq):
+        m = difflib.SequenceMatcher(None, list(a), list(b))
+        ratios.append(m.ratio())
+        matched.append([i for block in m.get_matching_blocks() for i in range(block.a, block.a + block.size)])
+    return pd.DataFrame({"ratio": ratios, "matched": matched})
 
 
 def common_pattern(
@@ -128,33 +103,39 @@ def common_pattern(
     weight: str | None = None,
     add_placeholder: bool = False,
     gated: bool = True,
-    max_group: int = 5000,
 ) -> DataFrame:
-    """M1 (gated) / M5 (ungated): (cluster..., pattern array<string>)."""
+    """M1 (gated) / M5 (ungated): (cluster..., pattern array<string>).
+
+    The heaviest distinct sequence of a cluster (tie: the smallest) is aligned
+    with each other one in that one's own row. The pattern keeps the positions
+    that all of them match (M1: all with a ratio over 0.5), counted by an
+    ordinary aggregation, so neither the order of rows nor the size of a cluster
+    matters. With ``add_placeholder`` the wildcard stands where positions between
+    kept ones were lost. If nothing but punctuation is left, the pattern is the
+    heaviest sequence itself."""
     cl = list(cluster_cols)
     w = F.sum(weight) if weight else F.count("*")
-    level = df.groupBy(*cl, F.col(tokens).alias("_s")).agg(w.cast("long").alias("_w"))
-    key_schema = df.select(*cl).schema
-    out_schema = T.StructType(list(key_schema.fields) + [T.StructField("_b", T.LongType()), T.StructField("_s", T.ArrayType(T.StringType())), T.StructField("_w", T.LongType())])
-
-    def fold_group(pdf: pd.DataFrame) -> pd.DataFrame:
-        seqs = [list(s) if s is not None else [] for s in pdf["_s"]]
-        weights = [int(x) for x in pdf["_w"]]
-        pat = fold_sequences(seqs, weights, add_placeholder, gated)
-        row = {c: pdf[c].iloc[0] for c in cl}
-        row.update({"_b": int(pdf["_b"].iloc[0]), "_s": pat, "_w": int(sum(weights))})
-        return pd.DataFrame([row])
-
-    while True:
-        sizes = level.groupBy(*cl).agg(F.count("*").alias("_n"))
-        biggest = sizes.agg(F.max("_n")).first()[0] or 0
-        buckets = sizes.select(*cl, F.ceil(F.col("_n") / F.lit(max_group)).cast("long").alias("_nb"))
-        lv = level.join(buckets, cl).withColumn("_b", F.pmod(F.xxhash64("_s"), F.col("_nb")))
-        folded = lv.select(*cl, "_b", "_s", "_w").groupBy(*cl, "_b").applyInPandas(fold_group, out_schema)
-        level = folded.select(*cl, "_s", "_w")
-        if biggest <= max_group:
-            break
-    return level.select(*cl, F.col("_s").alias("pattern"))
+    level = df.groupBy(*cl, F.coalesce(F.col(tokens), F.array().cast("array<string>")).alias("_s")).agg(w.cast("long").alias("_w"))
+    start = level.groupBy(*cl).agg(F.min_by("_s", F.struct(-F.col("_w"), F.col("_s"))).alias("_start"))
+    aligned = level.join(start, cl).select(*cl, F.pandas_udf(_alignment, _ALIGNMENT)("_start", "_s").alias("_a"))
+    aligned = aligned.where(F.col("_a.ratio") > 0.5) if gated else aligned
+    # position -1 counts the sequences themselves
+    counts = aligned.select(*cl, F.explode(F.concat(F.array(F.lit(-1)), "_a.matched")).alias("_p")).groupBy(*cl, "_p").agg(F.count("*").alias("_n"))
+    kept = counts.groupBy(*cl).agg(F.sort_array(F.collect_list(F.struct("_p", "_n"))).alias("_l"))
+    everywhere = F.filter("_l", lambda x: (x["_p"] >= 0) & (x["_n"] == F.element_at("_l", 1)["_n"]))
+    kept = kept.select(*cl, F.transform(everywhere, lambda x: x["_p"]).alias("_kept"))
+    both = start.join(kept, cl)  # the start matches itself, so every cluster is here
+
+    def token(i):
+        return F.element_at("_start", i + 1)
+
+    def with_gap(p, i):
+        lost = (i > 0) & (p > F.element_at("_kept", F.greatest(i, F.lit(1))) + 1)
+        return F.when(lost, F.array(F.lit(WILDCARD), token(p))).otherwise(F.array(token(p)))
+
+    pattern = F.flatten(F.transform("_kept", with_gap)) if add_placeholder else F.transform("_kept", token)
+    empty = F.forall("_pattern", lambda t: t.isin(_EMPTY_TOKENS))
+    return both.withColumn("_pattern", pattern).select(*cl, F.when(empty & F.lit(gated), F.col("_start")).otherwise(F.col("_pattern")).alias("pattern"))
 
 
 # ------------------------------------------------------------------ M6
@@ -193,6 +174,12 @@ def common_phrases(
     return per_word.groupBy(*cl, "phrase").agg(F.sum("_ws").alias("score"))
 
 
+def ranked_phrases(phrases: DataFrame, cluster_cols: Sequence[str]) -> DataFrame:
+    """Phrases with their rank in the cluster, best first (ties by phrase)."""
+    best = Window.partitionBy(*cluster_cols).orderBy(F.desc("score"), "phrase")
+    return phrases.withColumn("rank", F.row_number().over(best))
+
+
 def phrases_array(phrases: DataFrame, cluster_cols: Sequence[str]) -> DataFrame:
     """Best-first phrase list per cluster, for callers that want the array column."""
     cl = list(cluster_cols)

@@ -1,10 +1,11 @@
 """C1 ``cluster_messages``: the whole chain as one DataFrame job.
 
 tokenize -> clean -> drop rare tokens -> hash -> group equal messages, then
-leader clustering when the similarity path is chosen and the number of
-groups (per key) is within ``threshold``, else the vector path (word vectors,
-PCA, density clustering). Every step keeps the optional ``by`` key columns,
-so several sites are clustered in one job (C3).
+leader clustering (``clustering_type`` SIMILARITY) or the vector path (ML: word
+vectors, PCA, density clustering). The setting alone chooses, whatever the
+number of groups. Every step keeps the optional ``by`` key columns, so several
+sites are clustered in one job (C3). Patterns are mined in two levels: one per
+group of equal messages, then one per cluster from those of its groups.
 """
 
 from __future__ import annotations
@@ -23,10 +24,10 @@ from ..operators import similarity as S
 @dataclass
 class ChainSettings:
     tokenizer_type: str = "conservative"
-    threshold: int = 5000  # largest number of groups for the similarity path
     matching_accuracy: float = 0.8
     clustering_type: str = "SIMILARITY"  # or "ML"
     algorithm: str = "dbscan"  # dbscan | hierarchical
+    epsilon: float | None = None  # radius of dbscan; None: the knee of the k-distance curve
     add_placeholder: bool = False
     min_count: int = 2  # tokens seen fewer times are dropped before hashing
     w2v_size: int = 300
@@ -48,10 +49,17 @@ class ChainRun:
     strategy: str  # 'Levenshtein' or the model name
 
 
-def _max_groups(groups: DataFrame, by) -> int:
-    if by:
-        return groups.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
-    return groups.count()
+def _check(st: ChainSettings) -> None:
+    if st.clustering_type.upper() not in ("SIMILARITY", "ML"):
+        raise ValueError(f"unknown clustering type {st.clustering_type!r}")
+    if st.algorithm not in ("dbscan", "hierarchical"):
+        raise ValueError(f"unknown algorithm {st.algorithm!r}; there are dbscan and hierarchical")
+    if st.mode not in ("create", "update", "process"):
+        raise ValueError(f"unknown mode {st.mode!r}")
+    if st.mode == "update" and not st.corpus_path:
+        raise ValueError("mode update needs the corpus_path of the earlier training")
+    if st.mode == "process" and not st.model_path:
+        raise ValueError("mode process needs a model_path")
 
 
 def cluster_messages(
@@ -64,11 +72,11 @@ def cluster_messages(
 ) -> ChainRun:
     """C1. ``df`` needs ``id_col`` (a stable message id, Q1), ``target`` and ``by`` columns."""
     st = settings or ChainSettings()
+    _check(st)
     by = tuple(by)
-    seqs = G.prepare_sequences(df, target, id_col, by, st.min_count)
+    seqs = S._ckpt(G.prepare_sequences(df, target, id_col, by, st.min_count))
     groups = S._ckpt(G.group_equal_messages(seqs, id_col, by))
-    n = _max_groups(groups, by)
-    if st.clustering_type.upper() == "SIMILARITY" and n <= st.threshold:
+    if st.clustering_type.upper() == "SIMILARITY":
         assigned = S.leader_clustering(groups, st.matching_accuracy, by=by).withColumnRenamed("leader", "cluster_key")
         strategy = "Levenshtein"
     else:
@@ -84,8 +92,10 @@ def cluster_messages(
     phrases = None
     if with_patterns:
         keys = [*by, "cluster_key"]
-        tok = bridge.join(df.select(*by, id_col, X.tokenize_message(target, st.tokenizer_type).alias("tk")), [*by, id_col])
-        pat = PT.common_pattern(tok, keys, "tk", add_placeholder=st.add_placeholder)
+        tok = seqs.select(*by, id_col, "hash").join(df.select(*by, id_col, X.tokenize_message(target, st.tokenizer_type).alias("tk")), [*by, id_col])
+        per_group = G.group_patterns(tok, by=by, add_placeholder=st.add_placeholder).select(*by, "hash", "tokenized_pattern")
+        levels = assigned.select(*keys, "hash", "cluster_size").join(per_group, [*by, "hash"])
+        pat = PT.common_pattern(levels, keys, "tokenized_pattern", weight="cluster_size", add_placeholder=st.add_placeholder)
         pat = pat.select(
             *keys,
             F.col("pattern").alias("tokenized_pattern"),

@@ -1,4 +1,6 @@
-"""Pattern miners: difflib fold invariants and the native M2/M3/M4/M6."""
+"""Pattern mining: order-free common patterns and the native M2/M3/M4/M6."""
+
+import random
 
 from pyspark.sql import functions as F
 
@@ -6,37 +8,35 @@ from errscope.functions.constants import WILDCARD
 from errscope.operators import patterns as PT
 
 
-def is_subsequence(p, s):
-    it = iter(s)
-    return all(t in it for t in p)
-
+def mined(spark, rows, **kw):
+    df = spark.createDataFrame([("c", s, w) for s, w in rows], "k string, tk array<string>, n long")
+    return PT.common_pattern(df, ["k"], "tk", weight="n", **kw).first().pattern
 
-def test_fold_is_common_subsequence_of_gated_members():
-    seqs = [["a", "b", "c", "d"], ["a", "x", "c", "d"], ["a", "b", "c", "e"], ["q", "r"]]
-    pat = PT.fold_sequences(seqs, [3, 1, 1, 1])
-    assert pat and all(is_subsequence(pat, s) for s in seqs[:3])
 
+def test_pattern_keeps_what_all_gated_sequences_match(spark):
+    rows = [(["a", "b", "c", "d"], 3), (["a", "x", "c", "d"], 1), (["a", "b", "c", "e"], 1), (["q", "r"], 1)]
+    assert mined(spark, rows) == ["a", "c"]
+    assert mined(spark, rows, add_placeholder=True) == ["a", WILDCARD, "c"]
+    assert mined(spark, rows, gated=False) == []
 
-def test_fold_single_and_empty():
-    assert PT.fold_sequences([["a", "b"]], [4]) == ["a", "b"]
-    assert PT.fold_sequences([], []) == []
 
+def test_pattern_of_one_sequence_and_of_empty_ones(spark):
+    assert mined(spark, [(["a", "b"], 4)]) == ["a", "b"]
+    assert mined(spark, [([], 4), (None, 1)]) == []
 
-def test_fold_placeholder_between_blocks():
-    pat = PT.fold_sequences([["a", "b", "c"], ["a", "x", "c"]], [2, 1], add_placeholder=True)
-    assert pat == ["a", WILDCARD, "c"]
 
+def test_pattern_of_punctuation_falls_back_to_the_heaviest(spark):
+    assert mined(spark, [([":", "a", "."], 2), ([":", "b", "."], 1)]) == [":", "a", "."]
 
-def test_fold_falls_back_when_only_punctuation():
-    pat = PT.fold_sequences([[":", "a"], [":", "b"]], [2, 1])
-    assert pat == [":", "a"]
 
-
-def test_common_pattern_bounded_levels(spark):
-    rows = [("c", [f"w{i % 50}", "fixed", "tail"]) for i in range(200)]
-    df = spark.createDataFrame(rows, "k string, tk array<string>")
-    one = PT.common_pattern(df, ["k"], "tk", max_group=10).first().pattern
-    assert is_subsequence(one, ["w0", "fixed", "tail"]) and "fixed" in one
+def test_pattern_does_not_depend_on_order_or_size(spark):
+    rnd = random.Random(3)
+    rows = [(["job", f"w{i}", "ended", "on", f"h{i % 70}", "now"], 1 + (i == 17)) for i in range(6000)]
+    want = ["job", WILDCARD, "ended", "on", WILDCARD, "now"]
+    for n in (1, 13):
+        rnd.shuffle(rows)
+        df = spark.createDataFrame([("c", s, w) for s, w in rows], "k string, tk array<string>, n long").repartition(n)
+        assert PT.common_pattern(df, ["k"], "tk", weight="n", add_placeholder=True).first().pattern == want
 
 
 def test_matcher_pattern(spark):
