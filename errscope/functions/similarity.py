@@ -29,5 +29,5 @@ def prefix_similarity(a, b, n: int) -> Column:
 
 def token_similarity(codes_a, codes_b) -> Column:
     """Token edit similarity of two sequences given as code strings
-    (one code point per token, see ``operators.tokens.encode_sequences``)."""
+    (one character per token of the pair)."""
     return char_similarity(codes_a, codes_b)

@@ -30,12 +30,17 @@ def cluster_statistics(
     """Size, mean and population std of the character similarity of each
     message to the cluster's first message, rounded half-to-even to 2."""
     firsts = first_in_cluster(labelled, target, id_col, cluster_col, by)
-    j = labelled.join(firsts, [*by, cluster_col])
+    # equal messages of a cluster are compared once and weighted by their number
+    distinct = labelled.groupBy(*by, cluster_col, target).agg(F.count("*").alias("_n"))
     sim = prefix_similarity(target, "first_message", prefix) if prefix else char_similarity(target, "first_message")
+    j = distinct.join(firsts, [*by, cluster_col]).select(*by, cluster_col, "_n", sim.alias("_s"))
+    total = F.sum("_n")
+    mean = F.sum(F.col("_n") * F.col("_s")) / total
+    square = F.sum(F.col("_n") * F.col("_s") * F.col("_s")) / total
     return j.groupBy(*by, cluster_col).agg(
-        F.count("*").alias("cluster_size"),
-        F.bround(F.avg(sim), 2).alias("mean_similarity"),
-        F.bround(F.stddev_pop(sim), 2).alias("std_similarity"),
+        total.alias("cluster_size"),
+        F.bround(mean, 2).alias("mean_similarity"),
+        F.bround(F.sqrt(F.greatest(square - mean * mean, F.lit(0.0))), 2).alias("std_similarity"),
     )
 
 
@@ -86,9 +91,9 @@ def label_default_then_update(df: DataFrame, updates: DataFrame, key: str, col:
     ).drop("_upd")
 
 
-def model_tag(df: DataFrame, ran_similarity: bool, model_name: str) -> DataFrame:
-    """Tag with the strategy that actually ran (Q4)."""
-    return df.withColumn("model", F.lit("Levenshtein" if ran_similarity else model_name))
+def model_tag(df: DataFrame, strategy: str) -> DataFrame:
+    """Tag with the strategy that ran (Q4): Levenshtein or the model's name."""
+    return df.withColumn("model", F.lit(strategy))
 
 
 def join_top_sites(messages: DataFrame, top_sites: DataFrame, site_col: str = "src_site") -> DataFrame:

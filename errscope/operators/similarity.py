@@ -9,7 +9,7 @@ remaining group, absorb every remaining group whose token similarity to it is
    rarest first, two sequences within the edit budget share one of the first
    ``n - ceil(t*n) + 1`` items of each; a length filter is part of the join
    condition. Candidates are verified with the built-in ``levenshtein`` on
-   strings holding one code point per token.
+   strings holding one character per token of the pair.
 2. ``leader_assignment`` resolves the loop in rounds: a group is a leader
    when no higher-priority neighbour is a leader; a group joins the
    highest-priority leader among its higher-priority neighbours. This is
@@ -35,19 +35,6 @@ def _ckpt(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def encode_sequences(groups: DataFrame, keys: Sequence[str], seq: str = "sequence", out: str = "codes") -> DataFrame:
-    """Add ``out``: one code point per token (global token ids)."""
-    vocab = groups.select(F.explode(seq).alias("token")).distinct()
-    ids = _ckpt(K.indexed_vocabulary(vocab))
-    n_tokens = ids.count()
-    if n_tokens > K.MAX_CODED_TOKENS:
-        raise OverflowError("too many distinct tokens for global codes; use per-pair codes")
-    ex = groups.select(*keys, F.posexplode(seq).alias("pos", "token"))
-    coded = ex.join(ids, "token").select(*keys, "pos", K.code_point_char(F.col("token_id")).alias("c"))
-    codes = K.reassemble(coded, keys, "_c", token_col="c")
-    return groups.join(codes, list(keys), "left").withColumn(out, F.coalesce(F.array_join("_c", ""), F.lit(""))).drop("_c")
-
-
 def _pair_codes(a, b):
     """Per-pair codes: number the union of the two sequences' tokens."""
     u = F.array_distinct(F.concat(a, b))
@@ -79,30 +66,17 @@ def candidate_pairs(groups: DataFrame, threshold: float, key: str = "hash", seq:
 
 
 def similarity_join(
-    groups: DataFrame,
-    threshold: float = 0.8,
-    key: str = "hash",
-    seq: str = "sequence",
-    by: Sequence[str] = (),
-    per_pair_codes: bool | None = None,
+    groups: DataFrame, threshold: float = 0.8, key: str = "hash", seq: str = "sequence", by: Sequence[str] = ()
 ) -> DataFrame:
-    """All pairs (by..., key_a, key_b, similarity) with token similarity >= threshold."""
+    """All pairs (by..., key_a, key_b, similarity) with token similarity >= threshold.
+
+    Tokens are numbered within each pair, so the vocabulary may have any size."""
     cand = candidate_pairs(groups, threshold, key, seq, by)
-    g = groups.select(*by, key, seq)
-    if per_pair_codes is None:
-        try:
-            g = encode_sequences(g, [*by, key], seq)
-            per_pair_codes = False
-        except OverflowError:  # vocabulary beyond the code space: number tokens per pair
-            per_pair_codes = True
-    elif not per_pair_codes:
-        g = encode_sequences(g, [*by, key], seq)
-    ga = g.select(*by, F.col(key).alias("key_a"), *([F.col(seq).alias("seq_a")] + ([] if per_pair_codes else [F.col("codes").alias("ca")])))
-    gb = g.select(*by, F.col(key).alias("key_b"), *([F.col(seq).alias("seq_b")] + ([] if per_pair_codes else [F.col("codes").alias("cb")])))
+    ga = groups.select(*by, F.col(key).alias("key_a"), F.col(seq).alias("seq_a"))
+    gb = groups.select(*by, F.col(key).alias("key_b"), F.col(seq).alias("seq_b"))
     j = cand.join(ga, [*by, "key_a"]).join(gb, [*by, "key_b"])
-    if per_pair_codes:
-        ca, cb = _pair_codes(F.col("seq_a"), F.col("seq_b"))
-        j = j.withColumn("ca", ca).withColumn("cb", cb)
+    ca, cb = _pair_codes(F.col("seq_a"), F.col("seq_b"))
+    j = j.withColumn("ca", ca).withColumn("cb", cb)
     la, lb = F.size("seq_a"), F.size("seq_b")
     budget = F.floor((1 - F.lit(threshold)) * F.greatest(la, lb) + F.lit(EPS)).cast("int")
     # bounded distance: -1 once the edit budget is exceeded
@@ -186,8 +160,8 @@ def leader_assignment(
 def leader_clustering(
     groups: DataFrame, accuracy: float = 0.8, key: str = "hash", seq: str = "sequence", weight: str = "cluster_size", by: Sequence[str] = ()
 ) -> DataFrame:
-    """V14/V15 assignment: groups with their leader key and the edge similarity."""
-    groups = _ckpt(groups)
+    """V14/V15 assignment: groups with their leader key. ``groups`` is read
+    several times, so callers pass a checkpointed or written table."""
     edges = similarity_join(groups, accuracy, key, seq, by)
     assign = leader_assignment(groups, edges, key, weight, by)
     return groups.join(assign, [*by, key])

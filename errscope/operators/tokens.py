@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import keep_alpha_tokens, lower_tokens
@@ -37,11 +37,19 @@ def frequent_token_sequences(
 ) -> DataFrame:
     """(by..., id, out): tokens whose corpus count is >= ``min_count``, in order.
 
-    Every row must hold at least one token (``split`` always yields one), so
-    marking tokens with a left join and reassembling keeps every row without
-    joining back. The frequent-token table is the small side: AQE broadcasts
-    it when its measured size allows and splits hot tokens otherwise."""
+    With ``min_count`` 2 a rare token occurs once, so the count by token also
+    tells in which row it stands: only rare tokens go back to their rows, whose
+    arrays are filtered. Above 2 the frequent tokens are marked by a join and
+    the rows reassembled. Every row must hold at least one token."""
     keys = [*by, id_col]
+    if min_count <= 1:
+        return df.select(*keys, F.col(tokens).alias(out))
+    if min_count == 2:
+        ex = df.select(*keys, F.explode(tokens).alias("token"))
+        once = ex.groupBy(*by, "token").agg(F.count("*").alias("_n"), F.min(id_col).alias(id_col)).where("_n = 1")
+        rare = once.groupBy(*keys).agg(F.collect_list("token").alias("_rare"))
+        kept = F.when(F.col("_rare").isNull(), F.col(tokens)).otherwise(F.filter(tokens, lambda t: ~F.array_contains("_rare", t)))
+        return df.select(*keys, tokens).join(rare, keys, "left").select(*keys, kept.alias(out))
     ex = explode_tokens(df, tokens, keys)
     frequent = (
         term_frequency(df, tokens, by).where(F.col("frequency") >= min_count).select(*by, "token", F.lit(True).alias("_keep"))
@@ -88,28 +96,16 @@ def terms_vocabulary(df: DataFrame, tokens: str) -> DataFrame:
     return term_frequency(cleaned, "_t").where("frequency > 1").select("token")
 
 
-# --- token codes: one code point per distinct token, for the built-in levenshtein.
+# --- token codes: one character per token, for the built-in levenshtein.
 _FIRST_CODE = 0x20
-_SURROGATES = 0x800
-MAX_CODED_TOKENS = 0x110000 - _FIRST_CODE - _SURROGATES
+_SURROGATES, _SURROGATE_COUNT = 0xD800, 0x800
+_BYTE_ORDER_MARK = 0xFEFF  # decodes to nothing
 
 
 def code_point_char(idx) -> F.Column:
-    """Character for a non-negative index, skipping control and surrogate code points."""
+    """Character for a non-negative index; control characters, surrogates and
+    the byte order mark are left out."""
     cp = idx + F.lit(_FIRST_CODE)
-    cp = F.when(cp >= 0xD800, cp + F.lit(_SURROGATES)).otherwise(cp)
+    cp = F.when(cp >= _SURROGATES, cp + F.lit(_SURROGATE_COUNT)).otherwise(cp)
+    cp = F.when(cp >= _BYTE_ORDER_MARK, cp + F.lit(1)).otherwise(cp)
     return F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32")
-
-
-def indexed_vocabulary(vocab: DataFrame, token: str = "token") -> DataFrame:
-    """Dense 0-based ids for distinct tokens without a single-partition window:
-    number rows inside each partition, then add the running count of the
-    partitions before it (one small row per partition)."""
-    part = vocab.select(token).withColumn("_pid", F.spark_partition_id())
-    local = part.withColumn("_rn", F.row_number().over(Window.partitionBy("_pid").orderBy(token)))
-    sizes = local.groupBy("_pid").agg(F.count("*").alias("_n"))
-    offsets = sizes.select(
-        "_pid",
-        (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"),
-    ).fillna(0, ["_off"])
-    return local.join(F.broadcast(offsets), "_pid").select(token, (F.col("_off") + F.col("_rn") - 1).alias("token_id"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import PLACEHOLDER
@@ -33,10 +33,13 @@ def term_idf(dfreq: DataFrame, n_docs) -> DataFrame:
 
 def tf_idf(docs: DataFrame, doc_col: str, tokens: str) -> DataFrame:
     """(doc, term, count, tf, df, idf, tfidf). N = number of input documents."""
-    counts = doc_term_counts(docs, doc_col, tokens)
+    # rows are placed by document before they are exploded: the counts per
+    # (document, term) and per document then need no further exchange
+    counts = doc_term_counts(docs.select(doc_col, tokens).repartition(doc_col), doc_col, tokens)
     n_docs = docs.agg(F.count("*")).scalar()
+    tf = counts.withColumn("tf", F.col("count") / F.count("*").over(Window.partitionBy(doc_col)))
     idf = term_idf(document_frequency(counts), n_docs)
-    return term_tf(counts, doc_col).join(idf, "term").withColumn("tfidf", F.col("tf") * F.col("idf"))
+    return tf.join(idf, "term").withColumn("tfidf", F.col("tf") * F.col("idf"))
 
 
 def mask_heavy_terms(docs: DataFrame, doc_col: str, tokens: str, weights: DataFrame, out: str = "masked") -> DataFrame:

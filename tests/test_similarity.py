@@ -80,12 +80,20 @@ def test_similarity_join_is_complete(spark, seed, t):
     assert got == want
 
 
-def test_per_pair_codes_agree(spark):
-    groups = random_groups(11, 30)
-    df = spark.createDataFrame(groups, "hash string, cluster_size long, sequence array<string>")
-    a = {(r.key_a, r.key_b, round(r.similarity, 9)) for r in S.similarity_join(df, 0.7, per_pair_codes=True).collect()}
-    b = {(r.key_a, r.key_b, round(r.similarity, 9)) for r in S.similarity_join(df, 0.7, per_pair_codes=False).collect()}
-    assert a == b
+def test_every_code_is_one_character_of_its_own(spark):
+    from errscope.operators.tokens import code_point_char
+
+    rows = spark.range(0, 1_112_000, 1, 8).select(code_point_char(F.col("id")).alias("c"))
+    got = rows.agg(F.min(F.length("c")).alias("lo"), F.max(F.length("c")).alias("hi"), F.countDistinct("c").alias("n")).first()
+    assert (got.lo, got.hi, got.n) == (1, 1, 1_112_000)
+
+
+def test_similarity_join_with_many_tokens(spark):
+    """Over 70,000 distinct tokens: the pairs differ in their last token only."""
+    rows = [(f"{i:05d}{side}", [f"t{i}_{k}" for k in range(9)] + [f"{side}{i}"], 1) for i in range(8000) for side in "ab"]
+    df = spark.createDataFrame(rows, "hash string, sequence array<string>, cluster_size long")
+    got = S.similarity_join(df, 0.9).agg(F.count("*").alias("n"), F.min("similarity").alias("lo"), F.max("similarity").alias("hi")).first()
+    assert got.n == 8000 and abs(got.lo - 0.9) < 1e-12 and abs(got.hi - 0.9) < 1e-12
 
 
 def test_empty_sequence_is_its_own_cluster(spark):
