@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import SPACER
 from ..functions.text import clean_message, tokenize_message
+from .grouping import distinct_sequences
 
 
 def training_sequences(df: DataFrame, target: str = "error_message", tokenizer_type: str = "conservative") -> DataFrame:
     """Clean, distinct lines, tokenize, drop the spacer."""
-    lines = df.select(clean_message(target).alias("line")).distinct()
+    lines = distinct_sequences(df.select(clean_message(target).alias("line")), "line")
     return lines.select(F.array_remove(tokenize_message("line", tokenizer_type), SPACER).alias("tokens"))
 
 
@@ -28,9 +29,10 @@ def word2vec_create(
     iterations: int = 10,
     seed: int = 42,
     partitions: int | None = None,
-    max_sentence_length: int = 1000,
 ) -> Word2VecModel:
-    """V1: train word vectors (skip-gram in Spark; the reference's library trains CBOW)."""
+    """V1: train word vectors (skip-gram in Spark; the reference's library trains
+    CBOW). No sequence is cut: the longest one sets the sentence length."""
+    longest = df.agg(F.max(F.size(tokens))).toArrow().column(0)[0].as_py() or 1
     n_part = partitions or max(1, df.sparkSession.sparkContext.defaultParallelism)
     w2v = Word2Vec(
         vectorSize=size,
@@ -39,17 +41,22 @@ def word2vec_create(
         maxIter=iterations,
         seed=seed,
         numPartitions=n_part,
-        maxSentenceLength=max_sentence_length,
+        maxSentenceLength=max(1000, longest),
         inputCol=tokens,
         outputCol="vector",
     )
     return w2v.fit(df.select(tokens))
 
 
+def append_corpus(new: DataFrame, corpus_path: str, tokens: str = "sequence") -> None:
+    """Add sequences to a stored training corpus."""
+    new.select(F.col(tokens).alias("tokens")).write.mode("append").parquet(corpus_path)
+
+
 def word2vec_update(spark, corpus_path: str, new: DataFrame, tokens: str = "sequence", iterations: int = 30, **kw) -> Word2VecModel:
     """V2: Spark cannot continue training a model; the training corpus is kept
     as a table, the new sequences are appended, and the model is refitted."""
-    new.select(F.col(tokens).alias("tokens")).write.mode("append").parquet(corpus_path)
+    append_corpus(new, corpus_path, tokens)
     corpus = spark.read.parquet(corpus_path).withColumnRenamed("tokens", tokens)
     return word2vec_create(corpus, tokens, iterations=iterations, **kw)
 
@@ -86,13 +93,13 @@ def vector_vocabulary_counts(df: DataFrame, tokens: str = "sequence", min_count:
     )
 
 
-def pca_reduce(df: DataFrame, k: int, vec: str = "vector", out: str = "reduced", min_dims: int = 10):
-    """V7: exact PCA to ``k`` dimensions when the vectors are wider than ``min_dims``.
+def pca_reduce(df: DataFrame, k: int, width: int, vec: str = "vector", out: str = "reduced", min_dims: int = 10):
+    """V7: exact PCA to ``k`` dimensions when the vectors (of ``width``
+    dimensions) are wider than ``min_dims``.
 
     Spark's PCA fits from the ``d x d`` covariance (bounded by the width, not
     the rows) and does not centre on transform; distances are unaffected.
     Returns (frame, fitted model or None)."""
-    width = len(df.select(vec).first()[0]) if df.select(vec).first() else 0
     if width <= min_dims:
         return df.withColumn(out, F.col(vec)), None
     model = PCA(k=k, inputCol=vec, outputCol=out).fit(df.select(vec))

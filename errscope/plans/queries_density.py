@@ -13,7 +13,7 @@ from .registry import register
 K_SQL = """
 WITH pts AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 kk AS (SELECT CAST(round_even(sqrt(count(*)), 0) AS BIGINT) AS k FROM pts),
-dd AS (SELECT a.id AS id_q, b.id AS id_p, list_distance(a.v, b.v) AS dist FROM pts a, pts b),
+dd AS MATERIALIZED (SELECT a.id AS id_q, b.id AS id_p, list_distance(a.v, b.v) AS dist FROM pts a, pts b),
 knn AS (SELECT * FROM (SELECT id_q, id_p, dist, row_number() OVER (PARTITION BY id_q ORDER BY dist, id_p) AS j FROM dd)
         WHERE j <= (SELECT k FROM kk)),
 curve AS (SELECT pos, avg(dist) AS x FROM (SELECT j, dist, row_number() OVER (PARTITION BY j ORDER BY dist, id_q) - 1 AS pos FROM knn) GROUP BY pos),
@@ -25,7 +25,7 @@ f AS (SELECT *, (coalesce(yd >= yp, true) AND coalesce(yd >= ynx, true)) AS is_m
 g AS (SELECT *, max(CASE WHEN is_max THEN pos END) OVER (ORDER BY pos ROWS UNBOUNDED PRECEDING) AS last_max,
                 max(CASE WHEN is_min THEN pos END) OVER (ORDER BY pos ROWS UNBOUNDED PRECEDING) AS last_min FROM f),
 h AS (SELECT g.*, m.yd - 1.0 / ((SELECT n FROM st) - 1) AS tmx, m.x AS knee_x FROM g LEFT JOIN g m ON m.pos = g.last_max),
-knee AS (SELECT coalesce((SELECT knee_x FROM h
+knee AS MATERIALIZED (SELECT coalesce((SELECT knee_x FROM h
                           WHERE pos >= (SELECT min(pos) FROM f WHERE is_max)
                             AND pos < coalesce((SELECT min(pos) FROM d WHERE xn >= 1.0), 9e18)
                             AND ynx < CASE WHEN last_min >= last_max THEN 0.0 ELSE tmx END

@@ -10,16 +10,13 @@ from ..operators import tokens as K
 from ..operators import vectors as V
 from ..session import scratch_path
 from ..sources import fixtures as fx
-from .duck import sequences_ctes, with_fixtures
+from .duck import prefixed, sequences_ctes, with_fixtures
 from .registry import register
 
 MSG_GROUPS_SQL = with_fixtures("messages", extra=sequences_ctes("messages")) + """
 , groups AS (SELECT hash, count(*) AS cluster_size, arg_min(sequence, msg_id) AS sequence FROM seqs GROUP BY hash)
 """
 
-# Small, fixed training settings for the registered queries (the library defaults are 300 / 7 / 10).
-W2V_SMALL = dict(size=32, window=7, min_count=1, iterations=2)
-
 
 def message_groups(spark, sf):
     return G.group_equal_messages(G.prepare_sequences(fx.messages(spark, sf)))
@@ -27,11 +24,11 @@ def message_groups(spark, sf):
 
 @register(
     "word2vec_create",
-    MSG_GROUPS_SQL + "SELECT DISTINCT t AS word, 32::BIGINT AS dims FROM (SELECT unnest(sequence) AS t FROM groups)",
+    MSG_GROUPS_SQL + "SELECT DISTINCT t AS word, 300::BIGINT AS dims FROM (SELECT unnest(sequence) AS t FROM groups)",
 )
 def q_word2vec_create(spark, sf):
     """V1: the trained vocabulary (every token of the group sequences) and the vector width."""
-    model = V.word2vec_create(message_groups(spark, sf), **W2V_SMALL)
+    model = V.word2vec_create(message_groups(spark, sf))
     return model.getVectors().select("word", F.size(vector_to_array("vector")).cast("long").alias("dims"))
 
 
@@ -63,18 +60,26 @@ def q_embedding_size(spark, sf):
 def q_sentence_vectors(spark, sf):
     """V4: mean word vectors; a group is the zero vector exactly when its sequence is empty."""
     groups = message_groups(spark, sf)
-    model = V.word2vec_create(groups, **W2V_SMALL)
+    model = V.word2vec_create(groups)
     sv = V.sentence_vectors(model, groups)
     return sv.select("hash", F.forall(vector_to_array("vector"), lambda x: x == 0).alias("is_zero"))
 
 
-@register("word2vec_update")
+@register(
+    "word2vec_update",
+    MSG_GROUPS_SQL
+    + ", "
+    + prefixed(sequences_ctes("turn_rows"), "t_").replace("t_cleaned AS (", f"turn_rows AS ({fx.TURNS_SQL}), t_cleaned AS (", 1)
+    + """
+SELECT DISTINCT word FROM (SELECT unnest(sequence) AS word FROM groups UNION ALL SELECT unnest(sequence) AS word FROM t_seqs)
+""",
+)
 def q_word2vec_update(spark, sf):
-    """V2: append the prose groups and then the turn groups to a stored corpus, refit each time."""
+    """V2: the prose groups are a stored corpus, the turn groups update it; the vocabulary is that of both."""
     corpus = scratch_path(spark, "w2v-corpus")
-    V.word2vec_update(spark, corpus, message_groups(spark, sf), **W2V_SMALL)
+    V.append_corpus(message_groups(spark, sf), corpus)
     turns = G.group_equal_messages(G.prepare_sequences(fx.turns(spark, sf)))
-    model = V.word2vec_update(spark, corpus, turns, **W2V_SMALL)
+    model = V.word2vec_update(spark, corpus, turns)
     return model.getVectors().select("word")
 
 
@@ -82,7 +87,7 @@ def q_word2vec_update(spark, sf):
 def q_word2vec_apply(spark, sf):
     """S14 + V3: store the model by name, load it and vectorise without training."""
     groups = message_groups(spark, sf)
-    path = V.save_model(V.word2vec_create(groups, **W2V_SMALL), scratch_path(spark, "word2vec.model"))
+    path = V.save_model(V.word2vec_create(groups), scratch_path(spark, "word2vec.model"))
     model = V.word2vec_apply(path)
     return V.sentence_vectors(model, groups).select("hash", vector_to_array("vector").alias("vector"))
 
@@ -91,10 +96,10 @@ def q_word2vec_apply(spark, sf):
 def q_pca_reduce(spark, sf):
     """V7: sentence vectors reduced to the V5 width (bounded by the vector width)."""
     groups = message_groups(spark, sf)
-    model = V.word2vec_create(groups, **W2V_SMALL)
+    model = V.word2vec_create(groups)
     sv = V.sentence_vectors(model, groups)
-    k = spark.range(1).select(V.embedding_size(K.vocabulary(groups, "sequence"), cap=W2V_SMALL["size"])).first()[0]
-    red, _ = V.pca_reduce(sv, int(k))
+    k = spark.range(1).select(V.embedding_size(K.vocabulary(groups, "sequence"))).first()[0]
+    red, _ = V.pca_reduce(sv, int(k), model.getVectorSize())
     return red.select("hash", vector_to_array("reduced").alias("reduced"))
 
 
@@ -102,6 +107,6 @@ def q_pca_reduce(spark, sf):
 def q_document_vectors(spark, sf):
     """V6 (substitute): IDF-weighted mean word vector per group."""
     groups = message_groups(spark, sf)
-    model = V.word2vec_create(groups, **W2V_SMALL)
+    model = V.word2vec_create(groups)
     dv = V.document_vectors(model, groups, "hash")
     return dv.select("hash", vector_to_array("doc_vector").alias("doc_vector"))

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from ..operators import density as D
 from ..operators import tokens as K
 from ..operators import vectors as V
-from ..session import scratch_path
 
 
 def _model(groups: DataFrame, st):
@@ -19,8 +18,7 @@ def _model(groups: DataFrame, st):
     if st.mode == "process":
         return V.word2vec_apply(st.model_path)
     if st.mode == "update":
-        corpus = st.corpus_path or scratch_path(spark, "w2v-corpus")
-        model = V.word2vec_update(spark, corpus, groups, size=st.w2v_size, window=st.w2v_window)
+        model = V.word2vec_update(spark, st.corpus_path, groups, size=st.w2v_size, window=st.w2v_window)
     else:
         model = V.word2vec_create(groups, size=st.w2v_size, window=st.w2v_window, iterations=st.w2v_iterations)
     if st.model_path:
@@ -31,23 +29,26 @@ def _model(groups: DataFrame, st):
 def vector_clusters(groups: DataFrame, st, by=()):
     """Label every group; returns (groups + cluster_key, model name).
 
-    With ``by`` keys, the vectors are shared and the density clustering runs
-    on the key-qualified point ids, neighbours restricted to the same key."""
-    if by:
-        raise NotImplementedError("the vector path clusters one key at a time")
+    With ``by`` keys the word vectors are shared; the searches and clusters stay
+    within a key, and the epsilon is one for the whole run."""
     model = _model(groups, st)
     sv = V.sentence_vectors(model, groups)
     k = groups.sparkSession.range(1).select(V.embedding_size(K.vocabulary(groups, "sequence"), cap=st.w2v_size)).first()[0]
-    red, _ = V.pca_reduce(sv, max(1, int(k)))
-    cells = D._ckpt(red.select(F.col("hash").alias("id"), vector_to_array("reduced").alias("vec")))
-    n = cells.count()
+    red, _ = V.pca_reduce(sv, max(1, int(k)), model.getVectorSize())
+    key = F.concat_ws("|", *[F.col(c).cast("string") for c in by]) if by else F.lit("")
+    cells = D._ckpt(red.select(F.concat_ws("|", key, "hash").alias("id"), key.alias("part"), vector_to_array("reduced").alias("vec"), *by, "hash"))
+    points = cells.select("id", "part", "vec")
     if st.algorithm == "hierarchical":
         from ..operators.agglomerative import ward_clusters
 
-        labels = ward_clusters(cells, threshold=st.extra.get("distance_threshold", 0.1))
+        labels = ward_clusters(points, threshold=st.extra.get("distance_threshold", 0.1))
     else:
-        nb = D.knn(cells, max(1, round(math.sqrt(n))))
-        eps = D.knee_epsilon(D.k_distance_curve(nb))
-        labels = D.dbscan(cells, eps)
-    out = groups.join(labels.select(F.col("id").alias("hash"), F.col("component").alias("cluster_key")), "hash")
+        eps = st.epsilon
+        if eps is None:
+            nb = D.knn(points, max(1, round(math.sqrt(cells.count()))))
+            eps = D.knee_epsilon(D.k_distance_curve(nb))
+        labels = D.dbscan(points, eps)
+    names = cells.select("id", F.col("hash").alias("cluster_key"))
+    labelled = cells.select("id", *by, "hash").join(labels, "id").join(names.withColumnRenamed("id", "component"), "component")
+    out = groups.join(labelled.select(*by, "hash", "cluster_key"), [*by, "hash"])
     return out, (st.model_path or "word2vec.model")

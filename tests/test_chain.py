@@ -13,6 +13,7 @@ from tests.conftest import SF_SMALL
     [
         ChainSettings(),
         ChainSettings(clustering_type="ML", w2v_size=16, w2v_iterations=1),
+        ChainSettings(clustering_type="ML", w2v_size=16, w2v_iterations=1, epsilon=0.05),
         pytest.param(
             ChainSettings(clustering_type="ML", algorithm="hierarchical", w2v_size=16, w2v_iterations=1),
             marks=pytest.mark.xfail(reason="open: chained Ward merges need ~one round per cluster; the many jobs exhaust the 1 GB test driver heap", strict=False),
@@ -27,3 +28,18 @@ def test_every_message_labelled_once(spark, settings):
     assert run.bridge.select("msg_id").distinct().count() == n
     assert run.clusters.agg(F.sum("cluster_size")).first()[0] == n
     assert run.strategy == ("Levenshtein" if settings.clustering_type == "SIMILARITY" else "word2vec.model")
+
+
+def test_vector_path_by_key_stays_within_the_key(spark):
+    tm = fx.templated_messages(spark, SF_SMALL)
+    st = ChainSettings(clustering_type="ML", w2v_size=16, w2v_iterations=1, epsilon=5.0)
+    run = cluster_messages(tm, by=("src_site",), settings=st, with_patterns=False)
+    n = tm.count()
+    assert run.bridge.count() == n and run.clusters.agg(F.sum("cluster_size")).first()[0] == n
+    assert run.clusters.count() == run.clusters.select("src_site").distinct().count()  # a wide radius: one cluster a site
+
+
+@pytest.mark.parametrize("wrong", [dict(algorithm="hdbscan"), dict(clustering_type="other"), dict(clustering_type="ML", mode="update"), dict(clustering_type="ML", mode="process")])
+def test_unknown_settings_are_errors(spark, wrong):
+    with pytest.raises(ValueError):
+        cluster_messages(fx.templated_messages(spark, SF_SMALL), settings=ChainSettings(**wrong))
