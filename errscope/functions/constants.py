@@ -19,6 +19,13 @@ PLACEHOLDER = "｟*｠"  # placeholder token of the tokenizer
 WILDCARD = "(.*?)"  # placeholder written into patterns
 GARBAGE_TOKEN = "[ * ]"
 
+# --- fixed values: a pattern from the first '(' to the ')' run closing the last '('
+COLLAPSE_RE = r"\(([^\n]*?)\)+[\S\s]*\(([^\n]*?)\)+"
+
+# --- fixed values: type and version of the published envelope
+ENVELOPE_TYPE = "training_document"
+ENVELOPE_VERSION = "997"
+
 # --- fixed values: ASCII punctuation (Python's string.punctuation), in order
 PUNCTUATION = list("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
 

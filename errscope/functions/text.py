@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .constants import (
     CLEANING_RULES,
+    COLLAPSE_RE,
     PLACEHOLDER,
     SPACER,
     TOKEN_STOP_LIST,
@@ -94,10 +95,6 @@ def remove_stop_tokens(tokens, alpha_only: bool = True, stop_words=None) -> Colu
     return F.filter(_col(tokens), cond)
 
 
-# From the first '(' to the ')' run closing the last '(' -> one wildcard.
-COLLAPSE_RE = r"\(([^\n]*?)\)+[\S\s]*\(([^\n]*?)\)+"
-
-
 def collapse_placeholders(text) -> Column:
     """A pattern with two or more parenthesised parts keeps one wildcard."""
     return F.regexp_replace(_col(text), COLLAPSE_RE, WILDCARD.replace("\\", "\\\\").replace("$", "\\$"))

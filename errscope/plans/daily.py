@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.constants import ENVELOPE_TYPE, ENVELOPE_VERSION
 from ..operators.ordering import batch_number, global_row_number
-from ..operators.report import label_default_then_update
+from ..operators.report import model_tag
 from ..sources import readers as R
 from .chain import ChainRun, ChainSettings, cluster_messages
 
@@ -20,14 +21,15 @@ def with_message_ids(df: DataFrame, order_cols: Sequence[str], id_col: str = "ms
     return global_row_number(df, list(order_cols), id_col)
 
 
-def label_published(messages: DataFrame, run: ChainRun, id_col: str = "msg_id") -> DataFrame:
-    """J2 + P6 + P7 + P10: every message with cluster id, pattern and model tag."""
-    per_msg = run.bridge.join(run.clusters.select("cluster_key", "cluster_id", *([c for c in ["pattern"] if c in run.clusters.columns])), "cluster_key")
-    if "pattern" not in per_msg.columns:
-        per_msg = per_msg.withColumn("pattern", F.lit(None).cast("string"))
-    labelled = label_default_then_update(messages, per_msg.select(id_col, "cluster_id"), id_col, "cluster_id", "1")
-    labelled = labelled.join(per_msg.select(id_col, F.col("pattern").alias("cluster_pattern")), id_col, "left")
-    return labelled.withColumn("model", F.lit(run.strategy))
+def label_published(messages: DataFrame, run: ChainRun, id_col: str = "msg_id", by: Sequence[str] = ()) -> DataFrame:
+    """J2 + P7 + P10: every message with cluster id, pattern and model tag, by
+    one join. The chain labels every message (Q14), so the join is an inner one
+    and its row count is the check."""
+    keys = [*by, "cluster_key"]
+    pattern = F.col("pattern") if "pattern" in run.clusters.columns else F.lit(None).cast("string")
+    names = run.clusters.select(*keys, "cluster_id", pattern.alias("cluster_pattern"))
+    per_msg = run.bridge.select(*keys, id_col).join(names, keys).select(*by, id_col, "cluster_id", "cluster_pattern")
+    return model_tag(messages.join(per_msg, [*by, id_col]), run.strategy)
 
 
 def published_projection(df: DataFrame) -> DataFrame:
@@ -35,25 +37,25 @@ def published_projection(df: DataFrame) -> DataFrame:
     return df.select(*PUBLISHED)
 
 
-def envelope_column(columns: Sequence[str], doc_type: str = "training_document", version: str = "997", ts_col: str = "timestamp"):
+def envelope_column(columns: Sequence[str], doc_type: str = ENVELOPE_TYPE, version: str = ENVELOPE_VERSION, ts_col: str = "timestamp"):
     """JSON text of {data: payload, metadata: {type, version, timestamp}}."""
     payload = F.struct(*[F.col(c) for c in columns])
     meta = F.struct(F.lit(doc_type).alias("type"), F.lit(version).alias("version"), F.col(ts_col).alias("timestamp"))
     return F.to_json(F.struct(payload.alias("data"), meta.alias("metadata")))
 
 
-def message_envelope(df: DataFrame, doc_type: str = "training_document", version: str = "997", ts_col: str = "timestamp") -> DataFrame:
+def message_envelope(df: DataFrame, doc_type: str = ENVELOPE_TYPE, version: str = ENVELOPE_VERSION, ts_col: str = "timestamp") -> DataFrame:
     """One JSON envelope per row."""
     return df.select(envelope_column(df.columns, doc_type, version, ts_col).alias("message"))
 
 
 def publish_batches(df: DataFrame, out_path: str, order_cols: Sequence[str], batch_size: int = 10000, ts_col: str = "timestamp") -> str:
     """S12 + W3: consecutive batches of ``batch_size`` rows in ``order_cols``
-    order, one folder per batch (``batch=N``) of JSON envelopes. Files are
-    the target here; a broker producer would send one folder at a time."""
+    order. JSON envelopes carry their batch number as a column, and no file
+    holds more than a batch; a broker producer sends batch by batch."""
     numbered = batch_number(df, order_cols, batch_size, "batch")
     out = numbered.select("batch", envelope_column(df.columns, ts_col=ts_col).alias("message"))
-    out.write.mode("overwrite").partitionBy("batch").json(out_path)
+    out.write.mode("overwrite").option("maxRecordsPerFile", batch_size).json(out_path)
     return out_path
 
 

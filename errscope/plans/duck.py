@@ -6,6 +6,8 @@ functions); the cleaning patterns are shared verbatim with the Spark side.
 
 from __future__ import annotations
 
+import re
+
 from ..functions.constants import CLEANING_RULES
 from ..sources.fixtures import fixture_ctes
 
@@ -38,6 +40,11 @@ seqs AS (SELECT {"".join(f"s.{c}, " for c in by)}s.{id_col}, s.cleaned, coalesce
 """
 
 
+def prefixed(ctes: str, prefix: str) -> str:
+    """The same CTEs of ``sequences_ctes`` under names with a prefix."""
+    return re.sub(r"\b(cleaned|split|tok|freq|kept|seqs)\b(?= AS \(| [tfsk]\b| JOIN|\)| WHERE| GROUP|$)", lambda m: prefix + m[1], ctes)
+
+
 def with_fixtures(*names: str, extra: str = "") -> str:
     head = fixture_ctes(*names).rstrip()
     if "walk AS (" in extra:

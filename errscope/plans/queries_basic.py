@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -9,6 +11,7 @@ from ..functions import text as X
 from ..functions.constants import PLACEHOLDER, SPACER, TOKEN_STOP_LIST
 from ..operators import grouping as G
 from ..operators import tokens as K
+from ..operators.ordering import global_row_number
 from ..sources import fixtures as fx
 from ..sources import readers as R
 from ..sources.tables import read_table
@@ -46,13 +49,14 @@ def q_group_equal_messages(spark, sf):
     "clusters_by_size",
     with_fixtures(TM, extra=sequences_ctes(TM))
     + """
-SELECT hash, count(*)::BIGINT AS cluster_size FROM seqs GROUP BY hash ORDER BY cluster_size DESC, hash LIMIT 20
+SELECT hash, count(*)::BIGINT AS cluster_size, row_number() OVER (ORDER BY count(*) DESC, hash)::BIGINT AS position FROM seqs GROUP BY hash
 """,
 )
 def q_clusters_by_size(spark, sf):
-    """O1: groups largest first (tie: hash); the first 20 as a report."""
-    groups = G.group_equal_messages(_templated_seqs(spark, sf))
-    return groups.orderBy(F.col("cluster_size").desc(), "hash").limit(20).select("hash", _long("cluster_size").alias("cluster_size"))
+    """O1: all groups, largest first (tie: hash), with their position in that order."""
+    groups = G.group_equal_messages(_templated_seqs(spark, sf)).withColumn("smaller", -F.col("cluster_size"))
+    ordered = global_row_number(groups, ["smaller", "hash"], "position")
+    return ordered.select("hash", _long("cluster_size").alias("cluster_size"), (F.col("position") + 1).cast("long").alias("position"))
 
 
 # ---------------------------------------------------------------- T1-T4
@@ -364,6 +368,26 @@ def q_scan_daily_path(spark, sf):
     return df.groupBy(F.regexp_extract("source_file", r"(\d{4}/\d{2}/\d{2})", 1).alias("day")).agg(F.count("*").alias("n"))
 
 
+@register(
+    "scan_day_range",
+    RAW_SQL
+    + """
+SELECT strftime(epoch_ms(ts_ms), '%Y/%m/%d') AS day, count(*)::BIGINT AS n FROM raw_flat
+WHERE msg <> '' AND CAST(epoch_ms(ts_ms) AS DATE) >= (SELECT min(CAST(epoch_ms(ts_ms) AS DATE)) + 1 FROM raw_flat)
+GROUP BY 1
+""",
+)
+def q_scan_day_range(spark, sf):
+    """The day folders from the second day of the records to the last one, listed by name."""
+    raw = fx.raw_records(spark, sf).drop("event_id")
+    root = R.write_daily_json(spark, raw)
+    stamp = F.timestamp_millis("metadata.timestamp").cast("date")
+    first, last = raw.agg(F.min(stamp), F.max(stamp)).toArrow().to_pylist()[0].values()
+    days = R.day_range(R.day_folder(first + _dt.timedelta(days=1)), R.day_folder(last))
+    df = R.non_empty(R.project_transfer_records(R.read_transfer_days(spark, root, days), with_file=True))
+    return df.groupBy(F.regexp_extract("source_file", r"(\d{4}/\d{2}/\d{2})", 1).alias("day")).agg(F.count("*").alias("n"))
+
+
 @register(
     "scan_sql_view",
     RAW_SQL + "SELECT msg AS error_message, src AS src_hostname FROM raw_flat WHERE msg <> '' AND src = 'host3.example.org'",
@@ -416,7 +440,7 @@ SELECT row_number() OVER (ORDER BY timestamp, msg_id) - 1 AS new_id, msg_id, err
 """,
 )
 def q_scan_multi_csv(spark, sf):
-    """S8 + U1: one CSV file per day in a folder, read by one glob, ids renumbered in time order."""
+    """S8 + U1: CSV files per day in a folder, read by one glob, ids renumbered in time order."""
     tm = fx.templated_messages(spark, sf).select("msg_id", "timestamp", "error_message")
     folder = R.write_csv_per_day(spark, tm, "timestamp")
     df = R.read_csv_glob(spark, folder, "*.txt", schema="msg_id long, timestamp long, error_message string")
@@ -431,12 +455,11 @@ SELECT strftime(make_timestamp(timestamp), '%Y-%m-%d') AS day, count(*)::BIGINT
 """,
 )
 def q_union_days(spark, sf):
-    """Daily frames (here: one per day of the fixture) combined by unionByName."""
+    """The folders of all days read as one frame."""
     day = F.date_from_unix_date(F.floor(F.col("timestamp") / 86_400_000_000).cast("int"))
     tm = fx.templated_messages(spark, sf).withColumn("day", F.date_format(day, "yyyy-MM-dd"))
-    days = R.split_by_day_folders(spark, tm, "day")
-    df = R.union_frames(days)
-    return df.groupBy("day").agg(F.count("*").alias("n"))
+    df = R.union_days(spark, R.write_day_folders(spark, tm, "day"))
+    return df.groupBy(F.col("day").cast("string").alias("day")).agg(F.count("*").alias("n"))
 
 
 @register(

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..operators import grouping as G
 from ..operators import report as RP
-from ..operators.ordering import batch_number
+from ..operators import similarity as S
+from ..operators.ordering import batch_number, global_row_number
 from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources import readers as R
@@ -31,7 +32,7 @@ FROM assigned GROUP BY leader_hash
 """,
 )
 def q_cluster_messages(spark, sf):
-    """C1 (similarity path, <= 5000 groups): cluster ids, sizes and group counts."""
+    """C1 (similarity path): cluster ids, sizes and group counts."""
     run = cluster_messages(fx.templated_messages(spark, sf), **NO_PATTERNS)
     return run.clusters.select("cluster_id", "cluster_size", F.col("n_groups").cast("long").alias("n_groups"))
 
@@ -48,9 +49,9 @@ def q_cluster_messages_patterns(spark, sf):
 
 @register("cluster_messages_vector")
 def q_cluster_messages_vector(spark, sf):
-    """C1 on the prose lines: more than 5000 groups, so the vector path runs
-    (word vectors, PCA, k-distance knee, DBSCAN); V13 regroups each label."""
-    run = cluster_messages(fx.messages(spark, sf))
+    """C1 on the prose lines by the vector path (word vectors, PCA, k-distance
+    knee, DBSCAN); V13 regroups each label."""
+    run = cluster_messages(fx.messages(spark, sf), settings=ChainSettings(clustering_type="ML"))
     return run.clusters.select("cluster_id", "cluster_size", "n_groups", "pattern", "sequence")
 
 
@@ -103,49 +104,53 @@ DAY_SQL = (
     DAY_SQL
     + """
 , c AS (SELECT day, leader_hash, sum(cluster_size)::BIGINT AS cluster_size FROM assigned GROUP BY day, leader_hash),
-t AS (SELECT c.*, l.sequence, row_number() OVER (PARTITION BY c.day ORDER BY c.cluster_size DESC, c.leader_hash) AS rnk
-      FROM c JOIN groups l ON l.day = c.day AND l.hash = c.leader_hash),
-a AS (SELECT array_to_string(sequence, ' ') AS seq, cluster_size FROM t WHERE day = '2024-01-02' AND rnk <= 3),
-b AS (SELECT array_to_string(sequence, ' ') AS seq, cluster_size FROM t WHERE day = '2024-01-03' AND rnk <= 3)
-SELECT coalesce(a.seq, b.seq) AS sequence_text, a.cluster_size AS size_run1, b.cluster_size AS size_run2
-FROM a FULL OUTER JOIN b ON a.seq = b.seq
+t AS (SELECT c.*, array_to_string(l.sequence, ' ') AS sequence_text,
+             row_number() OVER (PARTITION BY c.day ORDER BY c.cluster_size DESC, c.leader_hash)::BIGINT AS position
+      FROM c JOIN groups l ON l.day = c.day AND l.hash = c.leader_hash)
+SELECT day, position, sequence_text, cluster_size, count(*) OVER (PARTITION BY sequence_text)::BIGINT AS n_runs FROM t WHERE position <= 20
 """,
 )
 def q_compare_runs(spark, sf):
-    """Each day clustered as its own run; top three clusters of two runs side by side."""
+    """Each day clustered as its own run; the twenty largest clusters of every
+    run side by side, with the number of runs that have the same sequence among theirs."""
     from pyspark.sql import Window
 
     day = F.date_format(F.date_from_unix_date(F.floor(F.col("timestamp") / 86_400_000_000).cast("int")), "yyyy-MM-dd")
     tm = fx.templated_messages(spark, sf).withColumn("day", day)
     run = cluster_messages(tm, by=("day",), **NO_PATTERNS)
-    lead = run.groups.where(F.col("hash") == F.col("cluster_key")).select("day", "cluster_key", F.array_join("sequence", " ").alias("seq"))
-    c = run.clusters.join(lead, ["day", "cluster_key"])
-    # few clusters per run: the per-run ranking window is small
-    c = c.withColumn("rnk", F.row_number().over(Window.partitionBy("day").orderBy(F.col("cluster_size").desc(), "cluster_key")))
-    a = c.where((F.col("day") == "2024-01-02") & (F.col("rnk") <= 3)).select("seq", F.col("cluster_size").alias("size_run1"))
-    b = c.where((F.col("day") == "2024-01-03") & (F.col("rnk") <= 3)).select("seq", F.col("cluster_size").alias("size_run2"))
-    return a.join(b, "seq", "full_outer").select(F.col("seq").alias("sequence_text"), "size_run1", "size_run2")
+    lead = run.groups.where(F.col("hash") == F.col("cluster_key")).select("day", "cluster_key", F.array_join("sequence", " ").alias("sequence_text"))
+    largest = Window.partitionBy("day").orderBy(F.col("cluster_size").desc(), "cluster_key")
+    c = run.clusters.withColumn("position", F.row_number().over(largest)).where("position <= 20").join(lead, ["day", "cluster_key"])
+    runs = c.groupBy("sequence_text").agg(F.count("*").alias("n_runs"))
+    return c.join(runs, "sequence_text").select("day", F.col("position").cast("long").alias("position"), "sequence_text", "cluster_size", "n_runs")
 
 
 @register(
     "quality_report",
     STATS_SQL
     + """
-SELECT leader_hash, cluster_size, mean_similarity, std_similarity,
-       CASE WHEN (SELECT max(cluster_size) FROM stats) < 1000 OR cluster_size >= 1000 THEN 'large' ELSE 'outlier' END AS part
-FROM stats
+, parts AS (SELECT *, CASE WHEN (SELECT max(cluster_size) FROM stats) < 1000 OR cluster_size >= 1000 THEN 'large' ELSE 'outlier' END AS part FROM stats)
+SELECT leader_hash, cluster_size, mean_similarity, std_similarity, part,
+       row_number() OVER (ORDER BY cluster_size DESC, leader_hash)::BIGINT AS by_size,
+       row_number() OVER (ORDER BY mean_similarity, cluster_size DESC, leader_hash)::BIGINT AS by_accuracy,
+       round(100.0 * cluster_size / ((SELECT sum(cluster_size) FROM stats) - 1), 6) AS percent
+FROM parts
 """,
 )
 def q_quality_report(spark, sf):
-    """C1 -> P8 -> A7: statistics of every cluster with its large/outlier part."""
+    """C1 -> A7 -> P8, with O2 and O3 as positions and A10 as each cluster's share."""
     tm = fx.templated_messages(spark, sf)
     run = cluster_messages(tm, **NO_PATTERNS)
     lab = run.bridge.join(tm.select("msg_id", "error_message"), "msg_id")
-    st = RP.cluster_statistics(lab, cluster_col="cluster_key")
-    st = RP.split_clusters(st, threshold=1000)
-    return st.select(
+    st = S._ckpt(RP.split_clusters(RP.cluster_statistics(lab, cluster_col="cluster_key"), threshold=1000))
+    sized = global_row_number(st.withColumn("smaller", -F.col("cluster_size")), ["smaller", "cluster_key"], "by_size")
+    ranked = global_row_number(sized, ["mean_similarity", "smaller", "cluster_key"], "by_accuracy")
+    total = st.agg(F.sum("cluster_size")).scalar()
+    return ranked.select(
         F.col("cluster_key").alias("leader_hash"), F.col("cluster_size").cast("long").alias("cluster_size"),
         "mean_similarity", "std_similarity", "part",
+        (F.col("by_size") + 1).cast("long").alias("by_size"), (F.col("by_accuracy") + 1).cast("long").alias("by_accuracy"),
+        F.round(100.0 * F.col("cluster_size") / (total - 1), 6).alias("percent"),
     )
 
 
@@ -171,10 +176,17 @@ def q_published_projection(spark, sf):
     return published_projection(_published(spark, sf)).drop("cluster_pattern")
 
 
-@register("model_tag", PUB_SQL + "SELECT model, count(*)::BIGINT AS n FROM pub GROUP BY model")
+@register(
+    "model_tag",
+    PUB_SQL + "SELECT model, count(*)::BIGINT AS n FROM pub GROUP BY model UNION ALL SELECT 'site_model' AS model, count(*)::BIGINT AS n FROM pub",
+)
 def q_model_tag(spark, sf):
-    """Tagged with the strategy that ran (similarity here)."""
-    return _published(spark, sf).groupBy("model").agg(F.count("*").alias("n"))
+    """Tagged with what ran: the similarity path, and a stored model on the vector path."""
+    tm = fx.templated_messages(spark, sf)
+    path = scratch_path(spark, "models") + "/site_model"
+    vector = cluster_messages(tm, settings=ChainSettings(clustering_type="ML", model_path=path), **NO_PATTERNS)
+    tagged = _published(spark, sf).select("model").unionByName(label_published(tm, vector).select(F.element_at(F.split("model", "/"), -1).alias("model")))
+    return tagged.groupBy("model").agg(F.count("*").alias("n"))
 
 
 @register(
@@ -232,13 +244,28 @@ def q_batch_number(spark, sf):
     return batch_number(tm, ["timestamp", "msg_id"], 500).select("msg_id", "batch")
 
 
+RAW_LEADER_SQL = with_fixtures(
+    "raw_flat",
+    extra="records AS (SELECT event_id AS msg_id, ts_ms AS timestamp, src AS src_hostname, dst AS dst_hostname, msg AS error_message FROM raw_flat WHERE msg <> ''), "
+    + sequences_ctes("records")
+    + ","
+    + leader_ctes(0.8),
+)
+
+
 @register(
     "daily_report",
+    RAW_LEADER_SQL
+    + f"""
+SELECT r.timestamp, {uuid_sql('a.leader_hash')} AS cluster_id, 'Levenshtein' AS model, r.src_hostname, r.dst_hostname, r.error_message
+FROM records r JOIN seqs s USING (msg_id) JOIN assigned a ON a.hash = s.hash
+""",
 )
 def q_daily_report(spark, sf):
-    """Records written as dated JSON folders, read for every day, clustered, labelled and published."""
+    """Records written as dated JSON folders, read for every day, clustered,
+    labelled and published (the mined pattern column is left out of the comparison)."""
     root = R.write_daily_json(spark, fx.raw_records(spark, sf).drop("event_id"))
-    return daily_report(spark, root, ["*/*/*"], out_path=scratch_path(spark, "published"))
+    return daily_report(spark, root, ["*/*/*"], out_path=scratch_path(spark, "published")).drop("cluster_pattern")
 
 
 # ------------------------------------------------------------------ small reports

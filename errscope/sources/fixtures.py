@@ -21,18 +21,18 @@ _NAME = "('job_' || CAST(user_id % 5 AS STRING) || '_lock')"
 _TAG = "('<rc=' || CAST(user_id % 3 AS STRING) || '>')"
 
 _TEMPLATES = [
-    f"'TRANSFER ' || event_type || ' failed for user ' || {_USER} || ' at ' || {_HOST}",
-    f"'Connection timeout after ' || {_VAL} || ' seconds to ' || {_HOST} || ' path ' || {_PATH}",
-    f"{_TAG} || 'checksum mismatch</rc> on file ' || {_PATH}",
-    f"'DESTINATION OVERWRITE failed: file exists at ' || {_PATH}",
-    f"'Source file ' || {_PATH} || ' not found on ' || {_HOST} || ' (' || event_type || ')'",
-    f"'Transfer canceled by user_' || {_USER} || ' because ' || event_type || ' limit reached'",
-    f"'SRM_AUTHORIZATION_FAILURE permission denied for ' || {_NAME} || ' on ' || {_HOST}",
-    f"'Checksum mismatch for ' || {_PATH} || ' expected ' || {_VAL} || ' got ' || {_USER}",
-    f"'Connection refused by ' || {_HOST} || ' port ' || {_VAL} || ' (' || event_type || ')'",
-    f"'Could not open ' || {_PATH} || ': No such file or directory [' || event_type || ']'",
-    f"'Operation timed out after ' || {_VAL} || ' seconds (' || event_type || ' stage)'",
-    f"'Error reading token data header on ' || {_HOST} || ': Connection closed by ' || event_type || ' peer'",
+    f"'Copy job ' || event_type || ' gave up for user ' || {_USER} || ' at ' || {_HOST}",
+    f"'No answer within ' || {_VAL} || ' seconds from ' || {_HOST} || ' path ' || {_PATH}",
+    f"{_TAG} || 'digest differs</rc> for item ' || {_PATH}",
+    f"'Target refused replacement: a copy is present at ' || {_PATH}",
+    f"'Input item ' || {_PATH} || ' is absent from ' || {_HOST} || ' (' || event_type || ')'",
+    f"'Job stopped by user_' || {_USER} || ' because ' || event_type || ' quota used up'",
+    f"'ACCESS_CHECK_FAILED rights missing for ' || {_NAME} || ' on ' || {_HOST}",
+    f"'Digest differs for ' || {_PATH} || ' expected ' || {_VAL} || ' got ' || {_USER}",
+    f"'Door closed at ' || {_HOST} || ' port ' || {_VAL} || ' (' || event_type || ')'",
+    f"'Reading ' || {_PATH} || ' ended: the entry is gone [' || event_type || ']'",
+    f"'Step ran out of time after ' || {_VAL} || ' seconds (' || event_type || ' stage)'",
+    f"'Login handshake cut short on ' || {_HOST} || ': line dropped by ' || event_type || ' partner'",
 ]
 
 _CASES = "\n".join(f"      WHEN {i} THEN {t}" for i, t in enumerate(_TEMPLATES))
@@ -87,17 +87,6 @@ WHERE line <> ''
 """
 
 
-def messages_ascii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """English, ASCII-only lines: edit distances agree between engines."""
-    m = messages(spark, sf_dir)
-    return m.where((F.col("dst_site") == "en") & F.col("error_message").rlike("^[\\x00-\\x7F]*$"))
-
-
-MESSAGES_ASCII_SQL = f"""
-SELECT * FROM ({MESSAGES_SQL}) WHERE dst_site = 'en' AND regexp_matches(error_message, '^[\\x00-\\x7F]*$')
-"""
-
-
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv = read_table(spark, sf_dir, "conversations")
     return conv.select(
@@ -170,7 +159,6 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 FIXTURE_SQL = {
     "messages": MESSAGES_SQL,
-    "messages_ascii": MESSAGES_ASCII_SQL,
     "turns": TURNS_SQL,
     "raw_pages": RAW_PAGES_SQL,
     "site_outcomes": SITE_OUTCOMES_SQL,

@@ -72,24 +72,27 @@ def day_range(first: str, last: str) -> list[str]:
     return [day_folder(a + _dt.timedelta(days=i)) for i in range((b - a).days + 1)]
 
 
-def _existing(spark: SparkSession, paths: Iterable[str]) -> list[str]:
-    """Keep paths that exist (a metadata call on the file system, no data)."""
+def _missing(spark: SparkSession, paths: Iterable[str]) -> list[str]:
+    """Paths that match nothing (a metadata call on the file system, no data)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     out = []
     for p in paths:
         hp = jvm.org.apache.hadoop.fs.Path(p)
-        if hp.getFileSystem(conf).globStatus(hp):
+        if not hp.getFileSystem(conf).globStatus(hp):
             out.append(p)
     return out
 
 
 def read_transfer_days(spark: SparkSession, root: str, days: Sequence[str] | None = None, schema=TRANSFER_SCHEMA) -> DataFrame:
-    """Read the given day folders (default: yesterday UTC); globs allowed."""
+    """Read the given day folders (default: yesterday UTC); globs allowed.
+
+    A day without a folder is an error, as a result without it looks complete."""
     days = list(days) if days else [yesterday_utc()]
-    paths = _existing(spark, [f"{root.rstrip('/')}/{d}" for d in days])
-    if not paths:
-        return spark.createDataFrame([], schema)
+    paths = [f"{root.rstrip('/')}/{d}" for d in days]
+    missing = _missing(spark, paths)
+    if missing:
+        raise FileNotFoundError(f"no folder for {', '.join(missing)}")
     return spark.read.schema(schema).json(paths)
 
 
@@ -134,38 +137,39 @@ def write_csv(spark: SparkSession, df: DataFrame, sep: str = ",") -> str:
     return path
 
 
-def read_csv(spark: SparkSession, path, sep: str = ",", infer: bool = True) -> DataFrame:
-    """Header + inferred types; quoted fields may span lines."""
+def read_csv(spark: SparkSession, path, sep: str = ",", infer: bool = True, multi_line: bool = False) -> DataFrame:
+    """Header + inferred types. ``multi_line`` lets quoted fields span
+    lines, at the price of one task per file."""
     return (
         spark.read.option("header", True)
         .option("inferSchema", infer)
         .option("sep", sep)
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .csv(path)
     )
 
 
-def read_csv_renamed(spark: SparkSession, path, columns: Sequence[str], sep: str = ",") -> DataFrame:
+def read_csv_renamed(spark: SparkSession, path, columns: Sequence[str], sep: str = ",", multi_line: bool = False) -> DataFrame:
     """The file header is replaced by the given ``name type`` list."""
     return (
         spark.read.schema(", ".join(columns))
         .option("header", True)
         .option("sep", sep)
         .option("escape", '"')
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .csv(path)
     )
 
 
 def write_csv_per_day(spark: SparkSession, df: DataFrame, ts_us_col: str) -> str:
-    """One ``*.txt`` CSV part per day in one folder (the shape S8 reads)."""
+    """``*.txt`` CSV parts, a few for each day, in one folder (the shape S8 reads)."""
     folder = scratch_path(spark, "daily-csv")
     day = F.date_from_unix_date(F.floor(F.col(ts_us_col) / 86_400_000_000).cast("int"))
     (
         df.withColumn("_day", day)
-        .repartition("_day")
+        .repartition("_day", F.pmod(F.xxhash64(*df.columns), F.lit(8)))
         .drop("_day")
         .write.mode("overwrite")
         .option("header", True)
@@ -183,9 +187,9 @@ def write_csv_per_day(spark: SparkSession, df: DataFrame, ts_us_col: str) -> str
     return folder
 
 
-def read_csv_glob(spark: SparkSession, folder: str, glob: str = "*.txt", schema: str | None = None) -> DataFrame:
+def read_csv_glob(spark: SparkSession, folder: str, glob: str = "*.txt", schema: str | None = None, multi_line: bool = False) -> DataFrame:
     """Every file of a folder matching a glob, as one frame."""
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", True).option("pathGlobFilter", glob)
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line).option("pathGlobFilter", glob)
     if schema:
         reader = reader.schema(schema)
     return reader.csv(folder)
@@ -196,21 +200,17 @@ def renumber(df: DataFrame, order_cols: Sequence[str], out: str = "new_id") -> D
     return global_row_number(df, order_cols, out)
 
 
-def split_by_day_folders(spark: SparkSession, df: DataFrame, day_col: str) -> list[DataFrame]:
-    """Write one folder per day and return the per-day frames (input of U1)."""
+def write_day_folders(spark: SparkSession, df: DataFrame, day_col: str) -> str:
+    """One folder per day."""
     root = scratch_path(spark, "days")
     df.write.mode("overwrite").partitionBy(day_col).parquet(root)
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    base = jvm.org.apache.hadoop.fs.Path(root)
-    fs = base.getFileSystem(conf)
-    frames = []
-    for status in fs.listStatus(base):
-        name = status.getPath().getName()
-        if name.startswith(f"{day_col}="):
-            value = jvm.java.net.URLDecoder.decode(name.split("=", 1)[1], "UTF-8")
-            frames.append(spark.read.parquet(status.getPath().toString()).withColumn(day_col, F.lit(value)))
-    return frames
+    return root
+
+
+def union_days(spark: SparkSession, root: str) -> DataFrame:
+    """U1 over the folders of all days: one partitioned read, whose schema is
+    that of all folders together; missing columns become NULL."""
+    return spark.read.option("mergeSchema", True).parquet(root)
 
 
 def union_frames(frames: Sequence[DataFrame]) -> DataFrame:

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from errscope.plans import registry
 from errscope.sources.tables import TABLES
 from tests.conftest import SF_SMALL
 
@@ -13,7 +14,8 @@ FAST = [
     "collapse_placeholders", "scan_json_schema", "filter_non_empty", "scan_csv", "scan_csv_rename",
     "leader_clustering", "cluster_statistics", "matcher_pattern", "positional_alternatives", "tf_idf",
     "mask_heavy_terms", "site_tfidf", "cluster_per_site", "published_projection", "publish_batches",
-    "knn_join", "dbscan",
+    "knn_join", "radius_join", "dbscan", "leader_clustering_basic", "common_phrases", "scan_day_range", "union_days",
+    "compare_runs", "quality_report", "daily_report", "clusters_by_size",
 ]
 
 
@@ -46,8 +48,9 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_every_query_has_a_callable_and_most_an_oracle():
     q, o = E.queries(), E.oracle_sql()
-    assert set(o) <= set(q)
-    assert len(o) >= 0.8 * len(q)
+    assert set(o) <= set(q) and all(map(callable, q.values()))
+    registry.load_all()
+    assert len(registry.ORACLES) >= 0.8 * len(registry.QUERIES)
 
 
 def test_entry_runs(spark):
