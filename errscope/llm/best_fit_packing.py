@@ -28,132 +28,34 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import arrow_rows, map_batches, materialise, shuffle_partitions
+from .token_cache import token_cache
 
 CAPACITY = 2048
 END_ID = 0
 
 
-# ------------------------------------------------------------------ tokens
-class WordCache:
-    """Token ids of white-space separated chunks, as little-endian uint32 bytes.
-
-    The tokenizer drops white space and never joins across it, so the ids of a
-    text are those of its chunks in order. Chunks not seen before are encoded
-    together, with a special token between them."""
-
-    def __init__(self, path: str, entries: int = 600_000):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.separator = "<|endoftext|>"
-        self.separator_id = self.tokenizer.token_to_id(self.separator)
-        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.entries = entries
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
-
-    @staticmethod
-    def _plain(chunk: str) -> tuple[str, str]:
-        """(stem, mark): an ASCII word without its last comma or full stop,
-        which is a token run of its own behind a letter."""
-        if chunk[-1] in ".," and len(chunk) > 1 and chunk[-2].isascii() and chunk[-2].isalpha() and "'" not in chunk:
-            return chunk[:-1], chunk[-1]
-        return chunk, ""
-
-    def _learn_exact(self, chunks: list[str]) -> None:
-        odd = [c for c in chunks if any(s in c for s in self.specials)]
-        for chunk in odd:
-            self.known[chunk] = self._encode(chunk).tobytes()
-        plain = [c for c in chunks if c not in self.known]
-        for at in range(0, len(plain), 2000):
-            group = plain[at : at + 2000]
-            ids = self._encode(f" {self.separator} ".join(group))
-            parts = np.split(ids, np.flatnonzero(ids == self.separator_id))
-            for chunk, part in zip(group, parts, strict=True):
-                self.known[chunk] = part[part != self.separator_id].tobytes()
-
-    def learn(self, chunks: set[str]) -> None:
-        if len(self.known) + len(chunks) > self.entries:
-            self.known.clear()
-        parts = {c: self._plain(c) for c in chunks}
-        exact = {x for stem, mark in parts.values() for x in (self._folded(stem), mark) if x and x not in self.known}
-        self._learn_exact(sorted(exact))
-        for chunk, (stem, mark) in parts.items():
-            if chunk not in self.known:
-                self.known[chunk] = self.known[self._folded(stem)] + (self.known[mark] if mark else b"")
-
-    @staticmethod
-    def _folded(stem: str) -> str:
-        """The tokenizer lower-cases; for ASCII that is known beforehand."""
-        return stem.lower() if stem.isascii() and "<" not in stem else stem
-
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        missing = {c for chunks in split for c in set(chunks).difference(self.known)}
-        missing.discard("")
-        step = max(1, self.entries // 4)
-        if len(missing) > step:  # texts with more new chunks than the cache should take at once
-            return [self._encode(t).tobytes() for t in texts] if len(texts) == 1 else [x for t in texts for x in self.encode_all([t])]
-        self.known[""] = b""
-        if missing:
-            self.learn(missing)
-            if any(c not in self.known for chunks in split for c in chunks):  # the cache was cleared for the new ones
-                self.learn({c for chunks in split for c in chunks if c and c not in self.known})
-                self.known[""] = b""
-        get = self.known.__getitem__
-        return [b"".join(map(get, chunks)) for chunks in split]
-
-
-_caches: dict[str, WordCache] = {}
-
-
-def word_cache(path: str) -> WordCache:
-    """One cache per Python worker."""
-    if path not in _caches:
-        _caches[path] = WordCache(path)
-    return _caches[path]
-
-
-def _text_groups(texts: pa.Array, limit: int = 1 << 21):
-    """(first row, texts) of about ``limit`` characters."""
-    first, group, size = 0, [], 0
-    for i, t in enumerate(texts):
-        t = t.as_py() or ""
-        group.append(t)
-        size += len(t)
-        if size >= limit:
-            yield first, group
-            first, group, size = i + 1, [], 0
-    if group:
-        yield first, group
-
-
+# ------------------------------------------------------------------ pieces
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, capacity: int, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """(id, piece, start, length, ids_crc32[, ids]) of every document."""
     id_type = dict(docs.dtypes)[id_col]
-    end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batch: pa.RecordBatch):
-        cache = word_cache(tokenizer_path)
-        for first, texts in _text_groups(batch.column(1)):
-            row, piece, length, crc, ids = [], [], [], [], []
-            for i, data in enumerate(cache.encode_all(texts), first):
-                data += end
-                for k, at in enumerate(range(0, len(data), 4 * capacity)):
-                    part = data[at : at + 4 * capacity]
-                    row.append(i)
-                    piece.append(k)
-                    length.append(len(part) // 4)
-                    crc.append(zlib.crc32(part))
-                    if with_ids:
-                        ids.append(np.frombuffer(part, dtype="<u4").astype(np.int32))
-            k = np.array(piece, dtype=np.int32)
-            columns = [batch.column(0).take(pa.array(row, pa.int32())), pa.array(k), pa.array(k.astype(np.int64) * capacity), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
+        for first, tokens, bounds in token_cache(tokenizer_path).encode(batch.column(1)):
+            tokens = np.insert(tokens, bounds[1:], end_id).astype("<u4")
+            bounds = bounds + np.arange(len(bounds))
+            size = np.diff(bounds)
+            parts = -(-size // capacity)
+            row = np.repeat(np.arange(len(size)), parts)
+            piece = np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)
+            start = piece * capacity
+            length = np.minimum(capacity, size[row] - start)
+            at = bounds[row] + start
+            raw = tokens.tobytes()
+            crc = [zlib.crc32(raw[4 * a : 4 * (a + n)]) for a, n in zip(at.tolist(), length.tolist())]
+            columns = [batch.column(0).take(pa.array(first + row)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc, pa.int64())]
             names = ["id", "piece", "start", "length", "ids_crc32"]
             if with_ids:
-                columns.append(pa.array(ids, pa.list_(pa.int32())))
+                columns.append(pa.ListArray.from_arrays(pa.array(np.append(at, len(tokens)).astype(np.int32)), pa.array(tokens.astype(np.int32))))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
