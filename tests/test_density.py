@@ -78,15 +78,27 @@ def sequential_ward(x, threshold):
         del clusters[max(a, b)]
 
 
-def test_ward_rounds_equal_sequential(spark, cloud):
+@pytest.mark.parametrize("local_points", [2000, 5])
+def test_ward_equals_sequential(spark, cloud, local_points):
+    """Inside tasks, and (5) in rounds where components are larger."""
     from errscope.operators.agglomerative import ward_clusters
 
     x, df = cloud
-    sub = x[:24]
-    sdf = df.where("id < 24")
+    n = 10 if local_points == 5 else 60
     for threshold in (1.5,):
-        got = {r.id: r.component for r in ward_clusters(sdf, threshold).collect()}
-        assert got == sequential_ward(sub, threshold)
+        got = {r.id: r.component for r in ward_clusters(df.where(f"id < {n}"), threshold, local_points=local_points).collect()}
+        assert got == sequential_ward(x[:n], threshold)
+
+
+def test_ward_chain_equals_sequential_on_random_points():
+    from errscope.operators.agglomerative import nearest_neighbour_chain
+
+    rnd = np.random.default_rng(7)
+    for _ in range(12):
+        x = rnd.normal(size=(int(rnd.integers(1, 20)), 3))
+        for threshold in (0.3, 0.8, 2.0, 10.0):
+            got = nearest_neighbour_chain(x, threshold)
+            assert dict(enumerate(got.tolist())) == sequential_ward(x, threshold)
 
 
 def test_radius_join_with_salted_blocks_is_monotone_and_exact(cloud):
