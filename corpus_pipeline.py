@@ -31,13 +31,20 @@ from errscope.llm.toxicity import toxicity, train_toxicity
 ORACLE_SQL = None
 
 
+def _numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` under column names that no operator uses, and the new name of each column."""
+    name = {c: f"_column{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*name.values()), name
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not call toxic. It learns from the
     same four fifths of the labels as query op5."""
     labels = table(spark, sf_dir, "labels").where(~in_fold(F.col("doc_id"), 0))
     model = train_toxicity(docs, labels)
-    scored = toxicity(docs.withColumn("_row", F.struct(*docs.columns)), model, keep=["_row"])
-    return scored.where("predicted = 0").select("_row.*")
+    plain, name = _numbered(docs)
+    scored = toxicity(plain, model, name["text"])
+    return scored.where("predicted = 0").select(*plain.columns).toDF(*docs.columns)
 
 
 def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,9 +62,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated at their rates towards the target weights."""
-    packed = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))
-    rated, _ = mixing_rates(packed, table(spark, sf_dir, "labels"), settings.MIX_WEIGHTS, least_rate=1.0, keep=["doc_id", "_row"])
-    return mixed(rated, ["_row.*"])
+    plain, name = _numbered(docs)
+    rated, _ = mixing_rates(plain, table(spark, sf_dir, "labels"), settings.MIX_WEIGHTS, name["doc_id"], name["text"], label_id_col="doc_id", least_rate=1.0)
+    return mixed(rated, plain.columns).toDF(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

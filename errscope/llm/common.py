@@ -75,15 +75,26 @@ def label_sample(labels: DataFrame, id_col: str, label_col: str, sizes: dict) ->
     return picked
 
 
+BATCH_ROWS = 1000  # rows that an Arrow batch of texts may hold
+
+
+def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
+    """``mapInArrow`` with batches of few rows, as rows may be long texts."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df.mapInArrow(fn, schema)
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
-    """``mapInArrow`` over single record batches."""
+    """``map_arrow`` over single record batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 yield from fn(batch)
 
-    return df.mapInArrow(run, schema)
+    return map_arrow(df, run, schema)
 
 
 def append_columns(df: DataFrame, text_col: str, fn: Callable[[pa.Array], list], fields: list[T.StructField], keep: list[str] | None = None) -> DataFrame:
@@ -91,13 +102,12 @@ def append_columns(df: DataFrame, text_col: str, fn: Callable[[pa.Array], list],
     column, batch by batch. Columns that have the name of a new one give way."""
     names = [f.name for f in fields]
     kept = [c for c in (df.columns if keep is None else keep) if c not in names]
-    at, text_name = len(kept), "_text"
-    while text_name in kept:
-        text_name += "_"
-    source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").alias(text_name))
+    sent = kept if text_col in kept else [*kept, text_col]
+    source = df.select(*[F.col(f"`{c}`") for c in sent])
+    at, n = sent.index(text_col), len(kept)
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        yield pa.RecordBatch.from_arrays([*batch.columns[:at], *fn(batch.column(at))], names=[*kept, *names])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:n], *fn(batch.column(at))], names=[*kept, *names])
 
     return map_batches(source, run, T.StructType([*(source.schema[c] for c in kept), *fields]))
 

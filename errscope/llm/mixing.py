@@ -214,6 +214,7 @@ def mixing_rates(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "quality",
+    label_id_col: str | None = None,
     total: float | None = None,
     least_rate: float = 0.0,
     ridge: float = 1e-3,
@@ -225,8 +226,10 @@ def mixing_rates(
     ``rate`` and ``copies`` (the rate rounded by the hash of the id, so that its
     expectation is the rate), and the mixture.
 
-    ``weights`` maps the values of ``label_col`` to the wanted shares of tokens."""
-    model = train_domains(docs, labels, sorted(weights), id_col, text_col, label_col)
+    ``label_id_col`` is the id column of ``labels`` if it has another name than
+    that of ``docs``. ``weights`` maps the values of ``label_col`` to the wanted shares of tokens."""
+    own_ids = labels.select(F.col(label_id_col or id_col).alias(id_col), label_col)
+    model = train_domains(docs, own_ids, sorted(weights), id_col, text_col, label_col)
     rows = materialise(with_posteriors(docs, model, text_col, keep), "posteriors")
     domains = [None] if model is None else model.domains
     mixture = solve_rates(rows.select("n_tokens", "posterior"), domains, weights, total, least_rate, ridge, max_steps, tolerance)
