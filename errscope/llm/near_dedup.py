@@ -12,9 +12,14 @@ number of points that depends on the signature only.
 
 Equal texts (same words) are one class from the start and only their smallest
 id goes on. Bands of components that agree make buckets. In a bucket each text
-is compared with the bucket's smallest id, not with all others; buckets whose
-texts then still belong to different classes go into further rounds with other
-texts to compare with, until every pair of a bucket is in one class or compared.
+is compared with one other, its hub, not with all. Buckets whose texts then
+still belong to different classes go into further rounds: a text leaves a bucket
+when the shingles that it alone has rule out a link to any text there, the most
+central texts become hubs, and their number grows until every pair of a bucket
+is in one class, compared or ruled out. Before texts are compared, sketches of
+their signatures are: pairs whose sketches differ by five standard deviations
+more than a link allows go no further (fewer links are lost that way than by the
+bands themselves, which miss five in a million at the least similarity).
 Pairs are verified by the exact overlap of their bags. Classes are the connected
 components of verified pairs.
 
@@ -35,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import ALNUM, Words, broadcast_if_few, map_batches, materialise, mix, signed, words_of
+from .common import ALNUM, Words, broadcast_if_few, map_arrow, map_batches, materialise, mix, signed, words_of
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -147,8 +152,43 @@ def band_keys(best: np.ndarray, bands: int) -> np.ndarray:
     return key + np.arange(bands, dtype=np.uint64) * _STEP
 
 
+SKETCH_BITS = 3  # of each component
+
+
+def sketches(best: np.ndarray) -> np.ndarray:
+    """(rows x words) bit planes of the components: components that agree have
+    equal bits in all planes, others in one of eight cases."""
+    rows, components = best.shape
+    h = mix(best.view(np.uint64) + _STEP)
+    width = -(-components // 64) * 64
+    planes = []
+    for bit in range(SKETCH_BITS):
+        one = np.zeros((rows, width), np.uint8)
+        one[:, :components] = (h >> np.uint64(7 + bit)) & np.uint64(1)
+        planes.append(np.packbits(one, axis=1).view(np.uint64))
+    return np.concatenate(planes, axis=1)
+
+
+def most_differences(components: int, similarity: float, deviations: float = 5.0) -> int:
+    """How many components of two sketches differ at most, but for five standard
+    deviations of chance, when the bags are as similar as that."""
+    p = (1 - similarity) * (1 - 0.5**SKETCH_BITS)
+    return int(np.ceil(components * p + deviations * np.sqrt(components * p * (1 - p))))
+
+
+def _differences(a: str, b: str, components: int):
+    """Column: the number of components in which two sketch columns differ."""
+    words = -(-components // 64)
+    total = None
+    for w in range(words):
+        planes = [f"({a}[{w + k * words}] ^ {b}[{w + k * words}])" for k in range(SKETCH_BITS)]
+        part = F.expr(f"bit_count({' | '.join(planes)})")
+        total = part if total is None else total + part
+    return total
+
+
 def signed_rows(docs: DataFrame, id_col: str, text_col: str, shingle: int, bands: int, band_size: int) -> DataFrame:
-    """(id, hi, lo, weight, bands) of every row; bands is empty without words."""
+    """(id, hi, lo, weight, bands, sketch) of every row; bands is empty without words."""
     id_type = dict(docs.dtypes)[id_col]
     components = bands * band_size
 
@@ -156,22 +196,26 @@ def signed_rows(docs: DataFrame, id_col: str, text_col: str, shingle: int, bands
         for w in words_of(batch.column(1), ALNUM):
             row, h, count = bags(w, shingle)
             keys = np.zeros((w.rows, bands), np.uint64)
+            planes = np.zeros((w.rows, SKETCH_BITS * -(-components // 64)), np.uint64)
             cut = 512  # rows whose points are drawn together
             for at in range(0, w.rows, cut):
                 a, b = np.searchsorted(row, [at, at + cut])
                 n = min(cut, w.rows - at)
-                keys[at : at + n] = band_keys(signatures(n, row[a:b] - at, h[a:b], count[a:b], components), bands)
+                best = signatures(n, row[a:b] - at, h[a:b], count[a:b], components)
+                keys[at : at + n], planes[at : at + n] = band_keys(best, bands), sketches(best)
             hi, lo = text_keys(w)
             full = np.diff(w.bounds) > 0
             offsets = np.concatenate([[0], np.cumsum(np.where(full, bands, 0))]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(signed(keys[full].ravel())))
             weight = np.bincount(row, weights=count, minlength=w.rows).astype(np.int64)
+            sketch = pa.ListArray.from_arrays(pa.array(np.arange(0, planes.size + 1, planes.shape[1], dtype=np.int32)), pa.array(signed(planes.ravel())))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(w.first_row, w.rows), pa.array(signed(hi)), pa.array(signed(lo)), pa.array(weight), lists], names=["id", "hi", "lo", "weight", "bands"]
+                [batch.column(0).slice(w.first_row, w.rows), pa.array(signed(hi)), pa.array(signed(lo)), pa.array(weight), lists, sketch],
+                names=["id", "hi", "lo", "weight", "bands", "sketch"],
             )
 
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return map_batches(source, run, f"id {id_type}, hi long, lo long, weight long, bands array<long>")
+    return map_batches(source, run, f"id {id_type}, hi long, lo long, weight long, bands array<long>, sketch array<long>")
 
 
 # ------------------------------------------------------------------ verification
@@ -209,7 +253,7 @@ def verified(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float
         .select("a", "b", "text_a", "text_b")
     )
     id_type = dict(pairs.dtypes)["a"]
-    return met.mapInArrow(run, f"a {id_type}, b {id_type}")
+    return map_arrow(met, run, f"a {id_type}, b {id_type}")
 
 
 # ------------------------------------------------------------------ components
@@ -218,11 +262,11 @@ def components_of(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     Every node points to the smallest id it knows; each round passes the
     pointers of both ends of an edge on and then follows them one step."""
-    edges = materialise(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    labels = materialise(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.min("a")).alias("class")), "labels")
+    edges = materialise(edges.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("other")).where("node <> other").distinct(), "edges")
+    both = edges.unionByName(edges.select(F.col("other").alias("node"), F.col("node").alias("other")))
+    labels = materialise(both.groupBy(F.col("node").alias("id")).agg(F.least(F.min("other"), F.min("node")).alias("class")), "labels")
     for _ in range(max_rounds):
-        near = both.join(labels.select(F.col("id").alias("b"), "class"), "b").groupBy(F.col("a").alias("id")).agg(F.min("class").alias("near"))
+        near = both.join(labels.select(F.col("id").alias("other"), "class"), "other").groupBy(F.col("node").alias("id")).agg(F.min("class").alias("near"))
         passed = labels.join(near, "id").select("id", F.least("class", "near").alias("step"), F.col("class").alias("before"))
         up = labels.select(F.col("id").alias("step"), F.col("class").alias("up"))
         after = materialise(passed.join(up, "step", "left").select("id", F.least("step", F.coalesce("up", "step")).alias("class"), "before"), "labels")
@@ -234,22 +278,66 @@ def components_of(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 
 # ------------------------------------------------------------------ operator
-def _mixed(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """Members, with their classes, of buckets that hold more than one class."""
-    rows = members.drop("class").join(classes, "id", "left").withColumn("class", F.coalesce("class", "id"))
-    keys = rows.groupBy("key").agg(F.min("class").alias("_lo"), F.max("class").alias("_hi")).where("_lo <> _hi").select("key")
-    return rows.join(keys, "key", "left_semi")
+def _with_classes(members: DataFrame, classes: DataFrame) -> DataFrame:
+    return members.drop("class").join(classes, "id", "left").withColumn("class", F.coalesce("class", "id"))
+
+
+def _mixed(members: DataFrame) -> DataFrame:
+    """Members of buckets that hold more than one class."""
+    keys = members.groupBy("key").agg(F.min("class").alias("_lo"), F.max("class").alias("_hi")).where("_lo <> _hi").select("key")
+    return members.join(keys, "key", "left_semi")
+
+
+def _own_weight(texts: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
+    """(id, own): the weight of shingles that no other of these texts has."""
+
+    def run(batch: pa.RecordBatch):
+        for w in words_of(batch.column(1), ALNUM):
+            row, h, count = bags(w, shingle)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row + w.first_row)), pa.array(signed(h)), pa.array(count.astype(np.int64))], names=["id", "h", "n"])
+
+    some = texts.join(ids, "id", "left_semi").select("id", "text")
+    bag = map_batches(some, run, f"id {dict(texts.dtypes)['id']}, h long, n long")
+    alone = bag.groupBy("h").agg(F.count(F.lit(1)).alias("texts"), F.min("id").alias("id"), F.sum("n").alias("n")).where("texts = 1")
+    return alone.groupBy("id").agg(F.sum("n").alias("own"))
+
+
+def _may_link(weight, common, other_weight, share: float):
+    """Bags of similarity s share at least s / (1 + s) of their weights' sum,
+    and a text shares no more than its weight without what it has alone."""
+    return common >= share * (weight + other_weight) - 1e-6
+
+
+def _viable(members: DataFrame, share: float) -> DataFrame:
+    """Members that may link to the lightest text of their bucket. Who may not
+    links to none of its texts, whatever their number."""
+    least = members.groupBy("key").agg(F.min("weight").alias("_least"))
+    return members.join(least, "key").where(_may_link(F.col("weight"), F.col("common"), F.col("_least"), share)).drop("_least")
 
 
-def _pairs_of_round(members: DataFrame, hubs: int) -> DataFrame:
-    """Members of a bucket with each of its ``hubs`` smallest ids that is of another class."""
+def _pairs_of_round(members: DataFrame, before: int, hubs: int, share: float, components: int, differ: int) -> DataFrame:
+    """(a, b, a > b): members of a bucket with its hubs, the most central texts
+    (least weight of their own, ties to the smaller id) from place ``before`` + 1
+    to ``hubs``, that are more central, of another class and may link by weights
+    and, in later rounds, by sketches. Every pair has one place where it is
+    looked at: the first bucket that it shares, with its more central text as hub."""
+    facts = ["id", "weight", "common", "class", *[c for c in ("sketch", "bands") if c in members.columns]]
+    members = members.withColumn("far", 1 - F.col("common") / F.col("weight"))
+    order = F.struct("far", *facts)
     if hubs == 1:
-        hub = members.groupBy("key").agg(F.min(F.struct("id", "weight", "class")).alias("hub")).select("key", "hub.*")
+        hub = members.groupBy("key").agg(F.min(order).alias("hub"))
     else:
-        first = W.partitionBy("key").orderBy("id")
-        hub = members.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= hubs)
-    hub = hub.select("key", F.col("id").alias("b"), F.col("weight").alias("weight_b"), F.col("class").alias("class_b"))
-    return members.join(hub, "key").where((F.col("id") > F.col("b")) & (F.col("class") != F.col("class_b")))
+        first = W.partitionBy("key").orderBy("hub")
+        hub = members.select("key", order.alias("hub")).withColumn("_n", F.row_number().over(first)).where((F.col("_n") <= hubs) & (F.col("_n") > before))
+    hub = hub.select("key", *[F.col(f"hub.{c}").alias(f"hub_{c}") for c in ("far", *facts)])
+    wanted = (F.col("class") != F.col("hub_class")) & (F.struct("far", "id") > F.struct("hub_far", "hub_id"))
+    wanted = wanted & _may_link(F.col("weight"), F.col("common"), F.col("hub_weight"), share)
+    wanted = wanted & _may_link(F.col("hub_weight"), F.col("hub_common"), F.col("weight"), share)
+    if "bands" in members.columns:
+        earlier = F.slice("bands", 1, F.array_position("bands", F.col("key")).cast("int") - 1)
+        wanted = wanted & (_differences("sketch", "hub_sketch", components) <= differ) & ~F.arrays_overlap(earlier, "hub_bands")
+    met = members.join(hub, "key").where(wanted)
+    return met.select(F.greatest("id", "hub_id").alias("a"), F.least("id", "hub_id").alias("b")).distinct()
 
 
 def near_duplicates(
@@ -260,7 +348,7 @@ def near_duplicates(
     similarity: float = 0.8,
     bands: int = 40,
     band_size: int = 6,
-    hub_growth: int = 4,
+    hub_growth: int = 32,
     broadcast_rows: int = 500_000,
 ) -> DataFrame:
     """(id, ``class_id``, ``class_size``, ``kept``) of every document.
@@ -268,32 +356,41 @@ def near_duplicates(
     ``class_id`` is the smallest id of the class; that document is kept."""
     rows = materialise(signed_rows(docs, id_col, text_col, shingle, bands, band_size), "signatures")
     usable = rows.where(F.col("id").isNotNull() & (F.size("bands") > 0))
-    exact = usable.groupBy("hi", "lo").agg(F.min("id").alias("rep"), F.first("weight").alias("weight"), F.first("bands").alias("bands"))
+    exact = usable.groupBy("hi", "lo").agg(F.min("id").alias("rep"), F.first("weight").alias("weight"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     exact = materialise(exact, "exact-classes")
 
     banded = exact.select(F.col("rep").alias("id"), "weight", F.explode("bands").alias("key"))
     shared_keys = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    members = materialise(banded.join(shared_keys, "key", "left_semi").withColumn("class", F.col("id")), "buckets")
+    members = banded.join(shared_keys, "key", "left_semi").withColumns({"class": F.col("id"), "common": F.col("weight")})
+    members = materialise(members, "buckets")
     texts = materialise(_texts_of(docs, id_col, text_col, members.select("id").distinct(), broadcast_rows), "bucket-texts")
 
-    # bags whose weights differ more than this cannot overlap enough
-    likely = F.least("weight", "weight_b") >= similarity * F.greatest("weight", "weight_b")
-    edges = tested = None
-    hubs = 1
+    share, differ = similarity / (1 + similarity), most_differences(bands * band_size, similarity)
+    edges = tested = classes = None
+    before, hubs, largest = 0, 1, 1
     while True:
-        wanted = _pairs_of_round(members, hubs).where(likely).select(F.col("id").alias("a"), "b").distinct()
+        wanted = _pairs_of_round(members, before, hubs, share, bands * band_size, differ)
         if tested is not None:
             wanted = wanted.join(tested, ["a", "b"], "left_anti")
         wanted = materialise(wanted, "pairs")
         good = materialise(verified(wanted, texts, shingle, similarity), "links")
         edges = good if edges is None else edges.unionByName(good)
         tested = wanted if tested is None else tested.unionByName(wanted)
-        classes = components_of(edges)
-        members = materialise(_mixed(members, classes), "buckets")
-        largest = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).toArrow().column(0)[0].as_py() or 0
-        if hubs >= largest:  # every pair of a bucket is in one class or was compared
+        if classes is None or good.limit(1).count():
+            classes = components_of(edges)
+        if hubs == 1:
+            members = materialise(_mixed(_with_classes(members, classes)), "mixed-buckets")
+            own = _own_weight(texts, members.select("id").distinct(), shingle)
+            members = members.join(own, "id", "left").withColumn("common", F.col("weight") - F.coalesce("own", F.lit(0))).drop("own")
+            facts = exact.select(F.col("rep").alias("id"), "sketch", "bands").dropDuplicates(["id"])
+            open_members = materialise(_viable(members, share).join(facts, "id"), "open-buckets")
+            sizes = open_members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+            largest = sizes.agg(F.max("n")).toArrow().column(0)[0].as_py() or 0
+            hubs = 0  # the first round took ids as centres, so its hubs count no more
+        if hubs >= largest:  # every pair of a bucket is in one class, was compared or cannot link
             break
-        hubs *= hub_growth
+        before, hubs = hubs, max(hub_growth, hubs * hub_growth)
+        members = _with_classes(open_members, classes)
     label = exact.select("hi", "lo", "rep").join(classes.withColumnRenamed("id", "rep"), "rep", "left").select("hi", "lo", F.coalesce("class", "rep").alias("class_id"))
     alone = rows.where(F.col("id").isNull() | (F.size("bands") == 0)).select("id", F.col("id").alias("class_id"))
     labelled = usable.join(label, ["hi", "lo"]).groupBy("id").agg(F.min("class_id").alias("class_id")).unionByName(alone)
