@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, materialise, shuffle_partitions
+from .common import arrow_rows, materialise
 
 _FIELDS = "query_id long, vec_id long, score double"
 
@@ -250,23 +250,24 @@ def _members(vectors: DataFrame, index: Index) -> DataFrame:
     return source.mapInArrow(run, f"list int, id long, vec {dict(source.dtypes)['vec']}")
 
 
-def _probes(queries: DataFrame, index: Index, parts: np.ndarray, shards: int) -> DataFrame:
+def _probes(queries: DataFrame, index: Index, sizes: np.ndarray, part_rows: int, shards: int, least: int) -> DataFrame:
     """(shard, id, vec, lists): every query once for each shard that holds some
-    of its lists."""
-    shared = queries.sparkSession.sparkContext.broadcast((index, parts))
+    of its lists. A query probes further lists until they hold ``least`` rows."""
+    shared = queries.sparkSession.sparkContext.broadcast((index, sizes))
 
     def run(batches):
-        idx, parts = shared.value
+        idx, sizes = shared.value
+        parts = -(-sizes // part_rows)
         for batch in batches:
-            lists = idx.nearest_lists(idx.lifted(_rows_of(batch.column(1)), True), idx.probes)
+            lists = idx.nearest_lists(idx.lifted(_rows_of(batch.column(1)), True), len(sizes))
             row, shard, own = [], [], []
-            for i, probed in enumerate(lists):
+            for i, order in enumerate(lists):
+                probed = order[: max(idx.probes, int(np.searchsorted(np.cumsum(sizes[order]), least)) + 1)]
                 one = np.repeat(probed, parts[probed])
                 part = np.concatenate([np.arange(n) for n in parts[probed]])
                 at = _shard(one, part, shards)
-                order = np.argsort(at, kind="stable")
-                cuts = np.flatnonzero(np.diff(at[order])) + 1
-                for group in np.split(order, cuts):
+                by_shard = np.argsort(at, kind="stable")
+                for group in np.split(by_shard, np.flatnonzero(np.diff(at[by_shard])) + 1):
                     row.append(i)
                     shard.append(int(at[group[0]]))
                     own.append(np.unique(one[group]).astype(np.int32))
@@ -289,7 +290,8 @@ def ann_search(
     list_rows: int = 64,
     max_lists: int = 1024,
     part_rows: int = 4096,
-    shard_rows: int = 32_768,
+    shard_rows: int = 8192,
+    least_shards: int = 16,
     block: int = 16,
     margin: float = 2.1,
 ) -> DataFrame:
@@ -311,17 +313,17 @@ def ann_search(
     calibrate(index, vectors, asked, k, recall, sample_queries)
 
     listed = materialise(_members(useful, index), "vector-lists")
-    sizes = arrow_rows(listed.groupBy("list").agg(F.count(F.lit(1)).alias("n")), max_lists, "lists")
-    parts = np.zeros(len(index.centroids), np.int64)
-    parts[sizes.column("list").to_numpy()] = -(-sizes.column("n").to_numpy() // part_rows)
-    shards = max(shuffle_partitions(spark), -(-n // shard_rows))
+    counted = arrow_rows(listed.groupBy("list").agg(F.count(F.lit(1)).alias("n")), max_lists, "lists")
+    sizes = np.zeros(len(index.centroids), np.int64)
+    sizes[counted.column("list").to_numpy()] = counted.column("n").to_numpy()
+    shards = max(least_shards, -(-n // shard_rows))
 
-    parts_of = F.element_at(F.array(*[F.lit(int(x)) for x in parts]), F.col("list") + 1)
+    parts_of = F.element_at(F.array(*[F.lit(int(x)) for x in -(-sizes // part_rows)]), F.col("list") + 1)
     part = F.pmod(F.xxhash64("id"), parts_of)
     members = listed.withColumn("shard", _shard(F.col("list").cast("long"), part, shards).cast("int"))
     distinct = asked.groupBy(*same).agg(F.min("id").alias("id"), F.first("vec").alias("vec"))
     distinct = materialise(distinct, "query-vectors")
-    probes = _probes(distinct, index, parts, shards)
+    probes = _probes(distinct, index, sizes, part_rows, shards, 4 * (k + 1))
     found = members.groupBy("shard").cogroup(probes.groupBy("shard")).applyInPandas(_search(spark.sparkContext.broadcast(index), k + 1, block, margin), _FIELDS)
     found = nearest(found, k + 1).withColumnRenamed("query_id", "searched").drop("rank")
 
