@@ -32,7 +32,7 @@ from .common import ALNUM, LOWER, UPPER, hash_words, map_batches, words_of
 
 # The phrases whose places are counted, with their labels.
 BASE_PHRASES: dict[str, str] = {
-    "general public license": "gpl",
+    "gnu general public license": "gpl",
     "apache license": "apache",
     "cc by": "cc-by",
     "mit license": "mit",

@@ -83,6 +83,33 @@ def test_license_overlaps_and_breaks(spark):
     assert got == {i: _brute_places(t) for i, t in enumerate(texts)}
 
 
+# the contract's phrases, written out and not imported
+CONTRACT_PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
+
+
+def _contract_places(text):
+    w = words(text)
+    at = {(i, label) for phrase, label in CONTRACT_PHRASES.items() for i in range(len(w)) if w[i : i + len(phrase.split())] == phrase.split()}
+    starts = [i for i, _ in at]
+    return len(w), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted({label for _, label in at}))
+
+
+def test_license_places_of_the_contract(spark, docs):
+    texts = [
+        "under the GNU General Public License",
+        "GNU General Public License, then GNU\nGeneral Public License",
+        "the GNU Lesser General Public License and the GNU Affero General Public License",
+        "a general public license; general public license",
+        "CC BY, the Apache License, an MIT license and gnu gnu general public license",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in license_scan(df).collect()}
+    assert got == {i: _contract_places(t) for i, t in enumerate(texts)}
+    assert got[0][1:] == (1, 2, 2, "gpl") and got[2][1:] == got[3][1:] == (0, None, None, "")
+    got = {r.doc_id: (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in license_scan(docs).collect()}
+    assert got == {r.doc_id: _contract_places(r.text) for r in docs.collect()}
+
+
 def test_license_templates(spark):
     grant = "Foo bar. Permission is hereby granted, free of charge, to any person getting a copy of this software and associated documentation files, to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software. The end."
     rows = [(1, grant), (2, "Licensed under CC BY-NC 4.0."), (3, "the rights to use of the public of this"), (4, "This work is licensed under the GNU General Public License, version 3.")]
