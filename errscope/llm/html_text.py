@@ -68,6 +68,16 @@ class Line:
     text: str = ""
 
 
+@dataclass
+class Region:
+    parent: int
+    tag: str
+    classes: frozenset[str]
+
+    def like(self, other: Region) -> bool:
+        return self.tag == other.tag and (self.classes == other.classes or bool(self.classes & other.classes))
+
+
 @dataclass
 class Element:
     tag: str
@@ -102,7 +112,7 @@ class LineReader(HTMLParser):
         self.stack = [Element("", False, 0, 0, False)]
         self.lines: list[Line] = []
         self.line = Line(0, 0)
-        self.regions = 0
+        self.regions = [Region(-1, "", frozenset())]
         self.articles = 0
 
     def _break(self) -> None:
@@ -129,8 +139,9 @@ class LineReader(HTMLParser):
             top = self.stack[-1]
         element = Element(tag, top.dropped or _is_beside(tag, attrs, bool(top.article)), top.region, top.article, top.link or tag == "a")
         if tag in REGIONS:
-            self.regions += 1
-            element.region = self.regions
+            classes = next((v for k, v in attrs if k == "class" and v), "")
+            self.regions.append(Region(top.region, tag, frozenset(classes.split())))
+            element.region = len(self.regions) - 1
             if not element.article and (tag in ("article", "main") or ("role", "main") in attrs):
                 self.articles += 1
                 element.article = self.articles
@@ -185,6 +196,37 @@ def _clusters(lines: list[Line]) -> np.ndarray:
     return chosen & (ratio > 0)
 
 
+def _path(regions: list[Region], region: int) -> list[int]:
+    """A region and those around it, from the inside."""
+    out = []
+    while region >= 0:
+        out.append(region)
+        region = regions[region].parent
+    return out
+
+
+def _container(regions: list[Region], lines: list[Line], chosen: np.ndarray) -> set[int]:
+    """The regions inside the one that holds the main text.
+
+    It is the innermost region around all chosen lines, or one around it: as
+    long as what is added has text of the outer region itself, a region like the
+    one left, or a sentence, the outer one is taken."""
+    paths = {x.region: _path(regions, x.region) for x in lines}
+    texts = [x for x in lines if 2 * x.linked < len(x.text)]
+    picked = [paths[x.region] for x, c in zip(lines, chosen) if c and 2 * x.linked < len(x.text)] or list(paths.values())
+    shared = set(picked[0]).intersection(*map(set, picked[1:]))
+    inner = next(r for r in picked[0] if r in shared)
+    for outer in _path(regions, inner)[1:]:
+        added = [x for x in texts if outer in paths[x.region] and inner not in paths[x.region]]
+        beside = {p[p.index(outer) - 1] for x in added if (p := paths[x.region])[0] != outer}
+        own = any(x.region == outer for x in added)
+        alike = any(regions[r].like(regions[inner]) for r in beside)
+        if added and not (own or alike or any(x.text.endswith((".", "!", "?", "…", "。")) for x in added)):
+            break
+        inner = outer
+    return {r for r, path in paths.items() if inner in path}
+
+
 def main_text(html: str | None) -> str:
     """The main text of one page."""
     if not html:
@@ -199,9 +241,8 @@ def main_text(html: str | None) -> str:
     if articles:
         kept = [x for x in lines if x.article in articles]
     else:
-        regions = {x.region for x, c in zip(lines, chosen) if c}
-        headings = {i for i in range(len(lines) - 1) if chosen[i]}
-        kept = [x for i, x in enumerate(lines) if i in headings or x.region in regions and (chosen[i] or 2 * x.linked < len(x.text))]
+        regions = _container(reader.regions, lines, chosen)
+        kept = [x for x, c in zip(lines, chosen) if x.region in regions and (c or 2 * x.linked < len(x.text))]
     return " ".join(x.text for x in kept)
 
 

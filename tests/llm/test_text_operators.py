@@ -33,6 +33,25 @@ def test_main_text_of_pieces():
     assert main_text("<article><p>unclosed <b>bold<p>next</article> tail") == "unclosed bold next"
 
 
+def test_main_text_of_uneven_containers():
+    """Short paragraphs or sections beside one very long paragraph stay."""
+    for times in (25, 12):
+        for at in (0, 7, 29):
+            texts = [" ".join(f"word{i}x{j}" for j in range(12 * (times if i == at else 1))) + "." for i in range(30)]
+            one_each = "".join(f"<div>{t}</div>" for t in texts)
+            paragraphs = "".join(f"<div class='para'><p>{t}</p></div>" for t in texts)
+            sections = "".join(f"<section id=s{i}><h2>Part {i}</h2><p>{texts[i]}</p><p>{texts[i + 1]}</p></section>" for i in range(0, 30, 2))
+            for body in (one_each, paragraphs, f"<div class='content'>{one_each}</div>", f"<div><div class='inner'>{paragraphs}</div></div>"):
+                assert main_text(PAGE % body) == " ".join(texts), (times, at)
+            want = " ".join(f"Part {i} {texts[i]} {texts[i + 1]}" for i in range(0, 30, 2))
+            assert main_text(PAGE % f"<div>{sections}</div>") == want
+            quote = f"<div class='story'><p>Short one.</p><blockquote><p>{texts[at]}</p></blockquote><p>Last words</p></div>"
+            assert main_text(PAGE % quote) == f"Short one. {texts[at]} Last words"
+    text = "A long paragraph of the story with many words in it, again and again and once more."
+    links = "<div><a href=/>Home</a> <a href=/b>More</a></div>"
+    assert main_text(PAGE % f"<div class='brand'>Site name</div>{links * 3}<div class='story'><p>{text}</p><p>{text}</p></div>") == f"{text} {text}"
+
+
 def test_extract_text_matches_articles(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     want = {}
