@@ -53,6 +53,23 @@ NEUTRAL_WORDS = frozenset(
     "a an the of and my user users reader readers visitor page site web main global primary secondary top bottom left right center upper lower first last box list area section container wrapper wrap "
     "bar item items block body inner outer unit slot panel pane group row col column content holder module text post article blog fixed sticky floating mobile desktop js x px thread form icon icons link links buttons button".split()
 )
+#: What a head holds; anything else ends a head that is left open.
+HEAD_CONTENT = frozenset("base basefont bgsound link meta title script style noscript template".split())
+#: Elements that end an open paragraph.
+ENDS_P = frozenset(
+    "p address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol pre search section table ul".split()
+)
+#: For a start tag: the open elements that it ends, and those beyond which it ends none.
+IMPLIED = {
+    "li": (frozenset(["li"]), frozenset("ul ol menu".split())),
+    **dict.fromkeys(("dt", "dd"), (frozenset("dt dd".split()), frozenset(["dl"]))),
+    "option": (frozenset(["option"]), frozenset("select datalist".split())),
+    **dict.fromkeys(("td", "th"), (frozenset("td th".split()), frozenset("tr table".split()))),
+    "tr": (frozenset("td th tr".split()), frozenset(["table"])),
+    **dict.fromkeys(("tbody", "thead", "tfoot"), (frozenset("td th tr tbody thead tfoot".split()), frozenset(["table"]))),
+}
+#: Elements that end a dropped one whose end tag is missing, if no article follows in it.
+ENDS_DROPPED = REGIONS | frozenset("p h1 h2 h3 h4 h5 h6 table pre".split())
 _TOKENS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 _SIGMA, _RADIUS = 1.0, 2
 _KERNEL = np.array([math.exp(-(i * i) / (2 * _SIGMA * _SIGMA)) for i in range(-_RADIUS, _RADIUS + 1)])
@@ -85,6 +102,13 @@ class Element:
     region: int
     article: int
     link: bool
+    number: int = 0  # place of its start tag in the page
+    outermost: bool = False  # dropped, and not inside another dropped element
+    holds_article: bool = False
+
+
+def _is_article(tag: str, attrs: list) -> bool:
+    return tag in ("article", "main") or ("role", "main") in attrs
 
 
 def _is_beside(tag: str, attrs: list, in_article: bool) -> bool:
@@ -105,10 +129,17 @@ def _is_beside(tag: str, attrs: list, in_article: bool) -> bool:
 
 
 class LineReader(HTMLParser):
-    """Turns parser events into lines."""
+    """Turns parser events into lines.
 
-    def __init__(self) -> None:
+    ``unclosed`` tells, for dropped elements whose end tag is missing, whether an
+    article starts in them; a second reader that is told ends them there, or at
+    the next block."""
+
+    def __init__(self, ending: dict[int, bool] | None = None) -> None:
         super().__init__(convert_charrefs=True)
+        self.ending = ending or {}
+        self.unclosed: dict[int, bool] = {}
+        self.tags = 0
         self.stack = [Element("", False, 0, 0, False)]
         self.lines: list[Line] = []
         self.line = Line(0, 0)
@@ -121,7 +152,46 @@ class LineReader(HTMLParser):
         top = self.stack[-1]
         self.line = Line(top.region, top.article)
 
+    def _cut(self, at: int, closed: bool = False) -> None:
+        """End the open elements from ``at`` on; ``closed``: the first by its own end tag."""
+        for e in self.stack[at + closed :]:
+            if e.outermost and e.tag not in ("head", "p") and e.tag not in IMPLIED:
+                self.unclosed[e.number] = e.holds_article
+        del self.stack[at:]
+
+    def _end_implied(self, tag: str, attrs: list) -> None:
+        """End what a start tag ends without an end tag."""
+        size = len(self.stack)
+        if tag == "body" or self.stack[-1].tag == "head" and tag not in HEAD_CONTENT:
+            self._cut(next((i for i, e in enumerate(self.stack) if e.tag == "head"), size))
+        if self.ending:
+            article = _is_article(tag, attrs)
+            at = next((i for i, e in enumerate(self.stack) if e.number in self.ending and (article if self.ending[e.number] else tag in ENDS_DROPPED)), None)
+            if at is not None:
+                self._cut(at)
+        if tag in ENDS_P:
+            for at in range(len(self.stack) - 1, 0, -1):
+                if self.stack[at].tag == "p":
+                    self._cut(at)
+                    break
+                if self.stack[at].tag not in INLINE:
+                    break
+        if tag in IMPLIED:
+            ended, beyond = IMPLIED[tag]
+            first = None
+            for at in range(len(self.stack) - 1, 0, -1):
+                if self.stack[at].tag in beyond:
+                    break
+                if self.stack[at].tag in ended:
+                    first = at
+            if first is not None:
+                self._cut(first)
+        if len(self.stack) < size:
+            self._break()
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        self.tags += 1
+        self._end_implied(tag, attrs)
         top = self.stack[-1]
         self.line.tags += 1
         if tag == "br":
@@ -132,17 +202,15 @@ class LineReader(HTMLParser):
             if tag not in INLINE:
                 self._break()
             return
-        if tag == "p":  # a paragraph ends at the next one
-            while self.stack[-1].tag in INLINE or self.stack[-1].tag == "p":
-                if self.stack.pop().tag == "p":
-                    break
-            top = self.stack[-1]
-        element = Element(tag, top.dropped or _is_beside(tag, attrs, bool(top.article)), top.region, top.article, top.link or tag == "a")
+        element = Element(tag, top.dropped or _is_beside(tag, attrs, bool(top.article)), top.region, top.article, top.link or tag == "a", self.tags)
+        element.outermost = element.dropped and not top.dropped
         if tag in REGIONS:
             classes = next((v for k, v in attrs if k == "class" and v), "")
             self.regions.append(Region(top.region, tag, frozenset(classes.split())))
             element.region = len(self.regions) - 1
-            if not element.article and (tag in ("article", "main") or ("role", "main") in attrs):
+            if top.dropped and _is_article(tag, attrs):
+                next(e for e in self.stack if e.outermost).holds_article = True
+            if not element.article and _is_article(tag, attrs):
                 self.articles += 1
                 element.article = self.articles
         self.stack.append(element)
@@ -163,12 +231,15 @@ class LineReader(HTMLParser):
                 if tag in INLINE and crossed:  # an inline end does not close blocks
                     del self.stack[at]
                 else:
-                    del self.stack[at:]
+                    self._cut(at, closed=True)
                 break
         if tag not in INLINE:
             self._break()
 
     def handle_data(self, data: str) -> None:
+        if self.stack[-1].tag == "head" and data.strip():  # text stands behind a head
+            self._cut(len(self.stack) - 1)
+            self._break()
         top = self.stack[-1]
         if not top.dropped:
             self.line.parts.append(data)
@@ -177,6 +248,7 @@ class LineReader(HTMLParser):
 
     def result(self) -> list[Line]:
         self.close()
+        self._cut(1)
         self._break()
         out = []
         for line in self.lines:
@@ -234,6 +306,10 @@ def main_text(html: str | None) -> str:
     reader = LineReader()
     reader.feed(html)
     lines = reader.result()
+    if reader.unclosed:
+        reader = LineReader(reader.unclosed)
+        reader.feed(html)
+        lines = reader.result()
     if not lines:
         return ""
     chosen = _clusters(lines)

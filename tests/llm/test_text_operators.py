@@ -52,6 +52,30 @@ def test_main_text_of_uneven_containers():
     assert main_text(PAGE % f"<div class='brand'>Site name</div>{links * 3}<div class='story'><p>{text}</p><p>{text}</p></div>") == f"{text} {text}"
 
 
+def test_main_text_with_missing_end_tags():
+    text = "The story has words enough to be a paragraph. And it goes on for a second sentence here."
+    body = f"<article><p>{text}<p>{text}</article>"
+    want = f"{text} {text}"
+    for page in (
+        f"<!DOCTYPE html><html><head><title>T</title><meta charset=utf-8><body>{body}</body></html>",
+        f"<head><title>T</title><style>p{{}}</style><noscript>no</noscript>{body}",
+        f"<html><head><title>T</title><link rel=x href=y><div>{body}</div>",
+        f"<html><head><title>T</title><noscript><body><p>{text}<p>{text}",
+        f"<html><head><title>T</title>{text} <b>{text}</b>",
+    ):
+        assert main_text(page) == want, page
+    for tag in ("nav", "aside", "form", "label", "button", "footer", "menu", "select"):
+        beside = f"<{tag}><a href=/>Home</a> <a href=/b>More</a>"
+        assert main_text(f"<html><body><div>{beside}{body}</div></body></html>") == want, tag
+        assert main_text(f"<html><body><div>{beside}<main>{body}</main></div>") == want, tag
+        assert main_text(f"<html><body>{beside}<div role=main><p>{text}</p><p>{text}</div>") == want, tag
+        assert main_text(f"<html><body>{beside}<div class=story><p>{text}</p><p>{text}</p></div></body></html>") == want, tag
+    assert main_text(f"<body><select><option>One<option>Two</select><p class=advertisement>Buy<div><p>{text}<p>{text}</div>") == want
+    assert main_text(f"<body><ul><li class=ad>Buy<li>{text}<li>{text}</ul>") == want
+    # what is closed stays dropped, articles included
+    assert main_text(f"<body>{body}<aside><article><p>Another story that is only a teaser.</p></article></aside><nav><div>Home</div></nav>") == want
+
+
 def test_extract_text_matches_articles(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     want = {}
