@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from errscope.llm.common import in_fold
 from errscope.llm.lm_scoring import END, exchange, lm_scoring, train_class_model
-from errscope.llm.mixing import mixed, mixing_rates
+from errscope.llm.mixing import mixed, mixing_rates, solve_rates
 from errscope.llm.toxicity import Shape, best_threshold, toxicity, train_toxicity
 from pyspark.sql import functions as F
 
@@ -171,6 +171,26 @@ def test_projected_gradient_is_optimal(sources):
     assert np.allclose([x.rate for x in rows], r, atol=0.02)
 
 
+def test_rates_of_domains_that_are_hard_to_tell_apart(spark):
+    """The projected gradient at the end is zero, however alike the posteriors are."""
+    rng = random.Random(3)
+    rows = [(rng.randint(1, 900), [p, 1 - p]) for p in (0.5 + rng.uniform(-0.02, 0.02) for _ in range(500))]
+    df = spark.createDataFrame(rows, "n_tokens long, posterior array<double>")
+    n, p = np.array([r[0] for r in rows], float), np.array([r[1] for r in rows])
+    for least, weights in ((0.0, {0: 0.507, 1: 0.493}), (0.0, {0: 0.9, 1: 0.1}), (0.5, {0: 0.52, 1: 0.48})):
+        m = solve_rates(df, [0, 1], weights, None, least, 1e-6, 40, 1e-3)
+        r = np.array([x.rate for x in df.select("posterior", m.rate().alias("rate")).collect()])
+        floor = np.maximum(m.targets, 1e-3 * m.targets.sum())
+        totals = (r * n) @ p
+        gradient = p @ ((totals - m.targets) / floor) + m.ridge * (r - m.base_rate)
+        assert np.allclose(m.totals, totals, rtol=1e-6) and (r >= least).all()
+        assert np.abs(np.where(r > least + 1e-9, gradient, np.minimum(gradient, 0))).max() < 1e-4
+        assert m.missed == [d for d in (0, 1) if abs(totals[d] - m.targets[d]) > 1e-3 * m.targets.sum()]
+        assert bool(m.missed) == (weights[0] > 0.51)
+    with pytest.raises(RuntimeError):
+        solve_rates(df, [0, 1], {0: 0.52, 1: 0.48}, None, 0.5, 1e-6, 1, 1e-9)
+
+
 def test_mixing_awkward_rows(spark, edge_docs, no_docs, no_labels):
     rated, _ = mixing_rates(edge_docs, no_labels, {0: 0.5, 1: 0.5})
     assert {(r.rate, r.copies) for r in rated.collect()} == {(1.0, 1)} and rated.count() == 8
