@@ -23,7 +23,7 @@ from dataclasses import dataclass, field
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,25 +50,31 @@ def _long_keys(text: str, min_chars: int) -> Iterator[tuple[str, bytes | None]]:
         yield line, core.encode("utf-8", "surrogatepass").lower() if len(core) >= min_chars else None
 
 
+def _row(text_col: str) -> Column:
+    """With the id the key of a document: the same wherever it is computed."""
+    return F.xxhash64(F.coalesce(text_col, F.lit("")))
+
+
 def line_rows(docs: DataFrame, id_col: str, text_col: str, min_chars: int, batches: int) -> DataFrame:
-    """(batch, id, hi, lo): each distinct long line of each document once."""
+    """(batch, id, row, hi, lo): each distinct long line of each document once;
+    ``row`` is the hash of its text."""
     id_type = dict(docs.dtypes)[id_col]
 
     def run(batch: pa.RecordBatch):
         row, hi, lo = [], [], []
-        for i, text in enumerate(batch.column(2)):
+        for i, text in enumerate(batch.column(3)):
             for h in {_hash(k) for _, k in _long_keys(text.as_py() or "", min_chars) if k is not None}:
                 row.append(i)
                 hi.append(_long(h >> 64))
                 lo.append(_long(h & 0xFFFFFFFFFFFFFFFF))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(row, pa.int32())), batch.column(1).take(pa.array(row, pa.int32())), pa.array(hi, pa.int64()), pa.array(lo, pa.int64())],
-            names=["batch", "id", "hi", "lo"],
+            [*(batch.column(c).take(pa.array(row, pa.int32())) for c in range(3)), pa.array(hi, pa.int64()), pa.array(lo, pa.int64())],
+            names=["batch", "id", "row", "hi", "lo"],
         )
 
     batch_no = F.pmod(F.xxhash64(F.col(id_col)), F.lit(batches)).cast("int")
-    source = docs.select(batch_no.alias("batch"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return map_batches(source, run, f"batch int, id {id_type}, hi long, lo long")
+    source = docs.select(batch_no.alias("batch"), F.col(id_col).alias("id"), _row(text_col).alias("row"), F.col(text_col).alias("text"))
+    return map_batches(source, run, f"batch int, id {id_type}, row long, hi long, lo long")
 
 
 @dataclass
@@ -157,13 +163,20 @@ class LineRuns:
         self.levels = []
 
 
+def drop_lists(drops: DataFrame) -> DataFrame:
+    """(drop_id, drop_row, drops): the lines listed in ``drops`` (id, row, hi,
+    lo) by document, each once, so a list is bounded by one document's lines
+    however many rows share its id."""
+    return drops.groupBy(F.col("id").alias("drop_id"), F.col("row").alias("drop_row")).agg(F.collect_set(F.struct("hi", "lo")).alias("drops"))
+
+
 def drop_lines(docs: DataFrame, drops: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
-    """Texts without the lines listed in ``drops`` (id, hi, lo); adds
+    """Texts without the lines listed in ``drops`` (id, row, hi, lo); adds
     ``n_lines`` and ``n_dropped`` and replaces the text."""
-    lists = drops.groupBy("id").agg(F.collect_list(F.struct("hi", "lo")).alias("drops")).withColumnRenamed("id", "drop_id")
+    lists = drop_lists(drops)
     rest = [c for c in docs.columns if c not in (text_col, "n_lines", "n_dropped")]
-    whole = docs.select(F.col(id_col).alias("id"), F.struct(*rest).alias("rest"), F.coalesce(text_col, F.lit("")).alias("text"))
-    joined = whole.join(lists, F.col("id").eqNullSafe(F.col("drop_id")), "left").select("rest", "text", F.col("drops.hi").alias("hi"), F.col("drops.lo").alias("lo"))
+    whole = docs.select(F.col(id_col).alias("id"), _row(text_col).alias("row"), F.struct(*rest).alias("rest"), F.coalesce(text_col, F.lit("")).alias("text"))
+    joined = whole.join(lists, (F.col("row") == F.col("drop_row")) & F.col("id").eqNullSafe(F.col("drop_id")), "left").select("rest", "text", F.col("drops.hi").alias("hi"), F.col("drops.lo").alias("lo"))
 
     def run(batch: pa.RecordBatch):
         texts, lines, dropped = [], [], []
@@ -213,8 +226,8 @@ def line_dedup(
     lines = materialise(line_rows(docs, id_col, text_col, min_chars, batches), "line-hashes")
     runs = LineRuns(spark, shuffle_partitions(spark), fanout)
     for batch in range(batches):
-        runs.add(lines.where(F.col("batch") == batch).drop("batch"))
+        runs.add(lines.where(F.col("batch") == batch).select("id", *_KEY))
     common = materialise(runs.counts().where(F.col("n_docs") >= min_docs), "line-common")
     runs.close()
-    drops = lines.join(common.select(*_KEY, "owner"), _KEY).where(~F.col("id").eqNullSafe(F.col("owner"))).select("id", *_KEY)
+    drops = lines.join(common.select(*_KEY, "owner"), _KEY).where(~F.col("id").eqNullSafe(F.col("owner"))).select("id", "row", *_KEY)
     return drop_lines(docs, drops, id_col, text_col, min_chars)

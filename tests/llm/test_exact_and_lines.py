@@ -6,7 +6,7 @@ import hashlib
 from collections import defaultdict
 
 from errscope.llm.exact_dedup import exact_dedup
-from errscope.llm.line_dedup import LineRuns, line_dedup, line_rows
+from errscope.llm.line_dedup import LineRuns, drop_lists, line_dedup, line_rows
 
 from .conftest import LONG, LOWER
 
@@ -67,6 +67,17 @@ def test_line_dedup_planted_lines(spark):
     assert got[9][1] == 0 and got[20][1] == 0
 
 
+def test_drop_lists_are_bounded_by_a_document(spark):
+    """Rows that share an id, null included, have lists of their own."""
+    texts = ["\n".join(f"a common line with a number of its own {10 * t + j:06d}" for j in range(3)) for t in range(20)]
+    rows = [(i, t) for t in texts for i in (None, None, 1, 1, 2, 3, 4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    lists = drop_lists(line_rows(df, "doc_id", "text", 40, 4)).collect()
+    assert len(lists) == 5 * 20 and {len(r.drops) for r in lists} == {3}
+    got = sorted(((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in line_dedup(df).collect()), key=str)
+    assert got == sorted(((i, 3, 0, t) if i == 4 else (i, 3, 3, "") for i, t in rows), key=str)
+
+
 def test_line_runs_levels(spark):
     lines = spark.createDataFrame([(i, k, k) for i in range(12) for k in range(i % 3, 5)], "id long, hi long, lo long")
     runs = LineRuns(spark, buckets=3, fanout=2)
