@@ -12,6 +12,7 @@ from .ann_search import ann_search
 from .best_fit_packing import best_fit_packing
 from .common import in_fold, table
 from .exact_dedup import exact_dedup
+from .hard_negatives import hard_negatives
 from .html_text import extract_text
 from .license_scan import license_scan
 from .line_dedup import line_dedup
@@ -122,3 +123,33 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_near_dedup")
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register(
+    "op11_hard_negatives",
+    """
+    with v as (
+      select vec_id, cast(case when vec_id % 7 = 0 then (label + 1) % 10 else label end as bigint) as label,
+        [floor(256 * cast(x as double)) for x in embedding] as vec
+      from embeddings
+      where vec_id is not null and label is not null and embedding is not null
+        and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+    ), pairs as (
+      select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same, cast(list_dot_product(a.vec, c.vec) as bigint) as score
+      from v a join v c on a.vec_id <> c.vec_id where a.vec_id % 100 = 0
+    ), positives as (
+      select anchor_id, vec_id as positive_id, score as positive_score from pairs where same
+      qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+    )
+    select anchor_id, positive_id, cast(row_number() over w as int) as rank, vec_id as negative_id, positive_score, score as negative_score
+    from positives join pairs using (anchor_id)
+    where not same and 80 * positive_score <= 100 * score and score <= positive_score
+    window w as (partition by anchor_id, positive_id order by score desc, vec_id)
+    qualify row_number() over w <= 5
+    """,
+)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, with the labels of every seventh shifted."""
+    label = F.col("label").cast("long")
+    relabel = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, relabel)
