@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import settings
 from .ann_search import ann_search
 from .best_fit_packing import best_fit_packing
+from .collocations import collocations
 from .common import in_fold, table
 from .exact_dedup import exact_dedup
 from .hard_negatives import hard_negatives
@@ -19,6 +20,7 @@ from .line_dedup import line_dedup
 from .lm_scoring import lm_scoring
 from .mixing import mixing_rates
 from .near_dedup import near_duplicates
+from .ngram_join import ngram_join
 from .toxicity import toxicity, train_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,3 +155,61 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.col("label").cast("long")
     relabel = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
     return hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, relabel)
+
+
+@register(
+    "op12_ngram_join",
+    rf"""
+    with recursive words as (select doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') as w from documents),
+    sets as (
+      select doc_id, unnest(list_distinct([array_to_string(w[i:i+4], ' ') for i in range(1, greatest(len(w) - 4, 1) + 1)])) as g
+      from words where len(w) > 0
+    ), sizes as (select w.doc_id, count(s.g) as n from words w left join sets s using (doc_id) group by w.doc_id),
+    shared as (select a.doc_id as a, b.doc_id as b, count(*) as k from sets a join sets b on a.g = b.g and a.doc_id < b.doc_id group by all),
+    links as (
+      select a, b from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * k >= 80 * (x.n + y.n - k)
+    ), both_ways as (select a, b from links union all select b, a from links),
+    reach as (
+      select doc_id, doc_id as label from words
+      union
+      select b, label from reach join both_ways on a = doc_id
+    )
+    select doc_id, n as n_shingles, min(label) as component_id from reach join sizes using (doc_id) group by doc_id, n
+    """,
+)
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of five-word shingles are at least 0.8 similar."""
+    return ngram_join(table(spark, sf_dir, "documents"))
+
+
+@register(
+    "op13_collocations",
+    rf"""
+    with pieces as (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) as piece from documents),
+    words as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+    grams as (
+      select lang, k, unnest([array_to_string(w[i:i+k-1], ' ') for i in range(1, len(w) - k + 2)]) as phrase
+      from words, (select unnest([1, 2, 3, 4, 5]) as k) where len(w) >= k
+    ), f as (select lang, k, phrase, count(*) as a from grams group by all),
+    totals as (select lang, cast(sum(a) as bigint) as n from f where k = 1 group by lang),
+    found as (select lang, k, phrase, a, string_split(phrase, ' ') as w from f where k > 1 and a >= 100),
+    parts as (
+      select lang, a as most, unnest(flatten([[array_to_string(w[i:i+m-1], ' ') for i in range(1, k - m + 2)] for m in range(2, k)])) as phrase
+      from found where k > 2
+    ), inside as (select lang, phrase, max(most) as most from parts group by all),
+    kept as (select found.* from found left join inside using (lang, phrase) where most is null or 100 * most < 100 * a),
+    cuts as (select *, unnest(range(1, k)) as j from kept),
+    scored as (
+      select c.lang, c.phrase, c.a, c.j, l.a as l, r.a as r, n, cast((1000::hugeint * c.a * n) // (l.a::hugeint * r.a) as bigint) as score
+      from cuts c
+      join f l on l.lang = c.lang and l.phrase = array_to_string(c.w[1:c.j], ' ')
+      join f r on r.lang = c.lang and r.phrase = array_to_string(c.w[c.j+1:], ' ')
+      join totals on totals.lang = c.lang
+    ), weakest as (select * from scored qualify row_number() over (partition by lang, phrase order by score, j) = 1)
+    select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+    from weakest qualify rank <= 2000
+    """,
+)
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best phrases of two to five words of each language."""
+    return collocations(table(spark, sf_dir, "documents"))
