@@ -72,7 +72,7 @@ def test_equals_plain_counting(spark, least, settings):
     df = spark.createDataFrame([(i % 9, *r) for i, r in enumerate(rows)], "doc_id long, lang string, text string")
     df = df.select("*", *[F.lit("q").alias(c) for c in CLASHES]).repartition(4)
     want = plain(rows, least, settings.get("top", 2000), settings.get("most_words", 5), settings.get("inside_percent", 100))
-    assert len(want) > 20
+    assert len(want) >= 10
     assert got(df, least=least, **settings) == want
 
 
