@@ -1,23 +1,28 @@
 """Operator 7, Brown class-based n-gram scoring.
 
-Words are counted over all training rows. The most frequent words (``core``, a
-bounded number) are clustered by exchange: each word in turn moves to the class
-that raises the likelihood of class bigrams most; their bigram counts come from
-all training rows. The other words cannot be exchanged one by one, so each goes
-in one distributed step to one of a few tail classes: groups of core classes
-(clustered by the same exchange), chosen by the history it mostly follows.
-
-The history of a token is the class of the last core word before it, so
-
-    P(w | h) = P(class | h) * P(w | class)                    core words
-    P(w | h) = P(tail | h) * P(s | group of h) * P(w | s)     tail words
-
-with additive smoothing towards class frequencies in the first factor and
-absolute discounting in the last one; what the discount leaves is the
-probability of a word that training has not seen.
-
-Every worker holds the core words and those of the tail that are frequent
-(``head``, a bounded number); all other words meet the dictionary in a join.
+Words are counted over all training rows. Those that occur at least twice (the
+``head_words`` most frequent of them, should there be more) are the dictionary,
+and every word of it is clustered by exchange, in distributed rounds. The texts
+are written once as word numbers. A round reads them, counts class bigrams and,
+for a salted batch of the words, the classes to the left and right of each; then
+each word of the batch moves to the class with the greatest gain in likelihood.
+The next round measures the likelihood of the new classes: should words that moved
+together have lowered it, half of them are put back, and so on, so it never falls. The first
+``classes - 1`` words by frequency start with a class of their own and draw the
+others out of the last one. There are about as many classes as the square root of
+the dictionary, up to ``max_classes``, which bounds the class bigram table.
+
+The history of a token is the class of the token before it; words outside the
+dictionary have a class of their own, and so has the start of a text:
+
+    P(w | h) = P(class of w | class of h) * P(w | class of w)
+
+with additive smoothing towards class frequencies in the first factor. Words of
+the dictionary have their share of their class. In the class of rare words those
+that training has seen have theirs less a discount; what the discounts leave
+is the probability of a word that training has not seen.
+
+Words outside the dictionary meet their counts in a join.
 
 Cases: null or empty text is the end token alone; rows that repeat an id are
 scored one by one; without training rows both scores are 0; an empty table gives
@@ -34,8 +39,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import NON_SPACE, Words, arrow_rows, map_arrow, materialise, signed, unsigned, words_of
+from .common import NON_SPACE, Words, arrow_rows, map_arrow, map_batches, materialise, mix, signed, unsigned, words_of
 
+HALVINGS = 3  # how often a batch of moves that lowers the likelihood is halved before it is taken back
 END = np.uint64(1)  # stands for the end of a text among word hashes
 _FLUSH = 1 << 21  # words that a task gathers before it counts them
 
@@ -84,101 +90,187 @@ class Lookup:
         return np.where(self.hashes[at] == h, at, -1)
 
 
-def _history(core: np.ndarray, bounds: np.ndarray, start: int) -> np.ndarray:
-    """For every token the core number of the last core token before it in its
-    row, or ``start``."""
-    n = len(core)
-    place = np.where(core >= 0, np.arange(n), -1)
-    last = np.concatenate([[-1], np.maximum.accumulate(place)[:-1]]) if n else place
-    first = np.repeat(bounds[:-1], np.diff(bounds))
-    return np.where(last >= first, core[np.maximum(last, 0)], start)
-
-
-def core_bigrams(texts: DataFrame, core: np.ndarray) -> DataFrame:
-    """(cell, n): how often core word ``cell % (k + 1)`` (k: any other word)
-    follows the history ``cell // (k + 1)`` (k: start of a text)."""
-    k = len(core)
+# ------------------------------------------------------------------ classes
+def encoded(texts: DataFrame, words: np.ndarray) -> DataFrame:
+    """(ids): each text as numbers of the dictionary's words, -1 for others, written."""
+    shared = texts.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, cells = Lookup(core), np.zeros((k + 1) * (k + 1), np.int64)
+        find = Lookup(shared.value)
         for _, w in _tokens(batches, 0):
-            own = find(w.hash)
-            cells += np.bincount(_history(own, w.bounds, k) * (k + 1) + np.where(own >= 0, own, k), minlength=len(cells))
-        used = np.flatnonzero(cells)
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int64)), pa.array(cells[used])], names=["cell", "n"])
+            ids = pa.ListArray.from_arrays(pa.array(w.bounds.astype(np.int32)), pa.array(find(w.hash).astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([ids], names=["ids"])
 
-    return map_arrow(texts, run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    return materialise(map_arrow(texts, run, "ids array<int>"), "encoded-texts")
+
+
+def history_classes(own: np.ndarray, bounds: np.ndarray, start: int) -> np.ndarray:
+    """For every token the class of the token before it in its row, or ``start``."""
+    before = np.empty_like(own)
+    before[1:] = own[:-1]
+    before[bounds[:-1][np.diff(bounds) > 0]] = start
+    return before
+
+
+def class_counts(ids: DataFrame, own: np.ndarray, classes: int, batch: np.ndarray | None) -> DataFrame:
+    """(word, code, n). Word -1: bigrams of classes, code is
+    ``history * (classes + 1) + class`` with the rare class after the others, and the start
+    after that as a history. Other words are those of ``batch`` (a flag for each
+    word): code is the class to the left, or ``classes + 2`` and the one to the right."""
+    shared = ids.sparkSession.sparkContext.broadcast((np.append(own, classes).astype(np.int32), batch))
+    sides = 2 * classes + 3
+
+    def rows(word: np.ndarray, code: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(word.astype(np.int32)), pa.array(code.astype(np.int32)), pa.array(n.astype(np.int64))], names=["word", "code", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, batch = shared.value
+        table = np.zeros((classes + 2) * (classes + 1), np.int64)
+        keys, held = [], 0
+        for part in batches:
+            lists = part.column(0)
+            bounds = lists.offsets.to_numpy().astype(np.int64)
+            word = lists.flatten().to_numpy()
+            bounds = bounds - bounds[0]
+            if not len(word):
+                continue
+            now = own[word]  # -1 is the rare class, at the end
+            before = history_classes(now, bounds, classes + 1)
+            table += np.bincount(before * (classes + 1) + now, minlength=len(table))
+            if batch is None:
+                continue
+            mine = (word >= 0) & batch[word]
+            last = np.zeros(len(word), bool)
+            last[bounds[1:][np.diff(bounds) > 0] - 1] = True
+            followed = np.flatnonzero(mine & ~last)
+            keys += [word[mine].astype(np.int64) * sides + before[mine], word[followed].astype(np.int64) * sides + classes + 2 + now[followed + 1]]
+            held += len(keys[-1]) + len(keys[-2])
+            if held >= _FLUSH:
+                key, n = np.unique(np.concatenate(keys), return_counts=True)
+                yield rows(key // sides, key % sides, n)
+                keys, held = [], 0
+        if keys:
+            key, n = np.unique(np.concatenate(keys), return_counts=True)
+            yield rows(key // sides, key % sides, n)
+        used = np.flatnonzero(table)
+        yield rows(np.full(len(used), -1), used, table[used])
+
+    return map_arrow(ids, run, "word int, code int, n long").groupBy("word", "code").agg(F.sum("n").alias("n"))
 
 
-# ------------------------------------------------------------------ exchange
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
 
-def exchange(bigrams: np.ndarray, classes: int, sweeps: int = 10) -> np.ndarray:
-    """Exchange clustering: the class of every word, from word bigram counts.
+def likelihood(table: np.ndarray) -> float:
+    """What the classes add to the log likelihood of the texts, from their bigrams."""
+    return float(_xlogx(table).sum() - _xlogx(table.sum(1)).sum() - _xlogx(table.sum(0)).sum())
+
+
+def best_classes(left: np.ndarray, right: np.ndarray, own: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The class of greatest gain for each word, from the counts of classes to
+    its left and right. A word's own counts are taken out of its class."""
+    classes = table.shape[1] - 1
+    follow, lead = table[:, :classes], table[:classes]
+    n_left, n_right = left.sum(1), right.sum(1)
+    size_in, size_out = follow.sum(0), lead.sum(1)
+    log = lambda x: np.log(np.maximum(x, 0) + 0.5)
+    gain = left @ log(follow) + right @ log(lead).T - n_left[:, None] * log(size_in) - n_right[:, None] * log(size_out)
+    here = (left * log(follow.T[own] - left)).sum(1) + (right * log(lead[own] - right)).sum(1)
+    here -= n_left * log(size_in[own] - n_left) + n_right * log(size_out[own] - n_right)
+    row = np.arange(len(own))
+    gain[row, own] = here
+    best = gain.argmax(1)
+    return np.where(gain[row, best] > here + 1e-9, best, own)
+
+
+def moves(counts: DataFrame, own: np.ndarray, table: np.ndarray) -> DataFrame:
+    """(word, class): the words of the counted batch that gain by another class."""
+    classes = table.shape[1] - 1
+    shared = counts.sparkSession.sparkContext.broadcast((own, table.astype(np.float64)))
+    lists = counts.where("word >= 0").groupBy("word").agg(F.collect_list(F.struct("code", "n")).alias("sides"))  # at most two for a class
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        own, table = shared.value
+        word = batch.column(0).to_numpy()
+        sides = batch.column(1)
+        row = np.repeat(np.arange(len(word)), np.diff(sides.offsets.to_numpy()))
+        flat = sides.flatten()
+        dense = np.zeros((len(word), 2 * classes + 3))
+        dense[row, flat.field(0).to_numpy()] = flat.field(1).to_numpy()
+        to = best_classes(dense[:, : classes + 2], dense[:, classes + 2 :], own[word], table)
+        moved = to != own[word]
+        yield pa.RecordBatch.from_arrays([pa.array(word[moved]), pa.array(to[moved].astype(np.int32))], names=["word", "class"])
+
+    return map_batches(lists, run, "word int, class int")
+
+
+def exchange(ids: DataFrame, words: np.ndarray, n: np.ndarray, classes: int, sweeps: int, salts: int, few: float = 0.002) -> tuple[np.ndarray, np.ndarray, list[float]]:
+    """(class of each word, class bigrams, likelihood of each round that was kept)."""
+    frequent = np.empty(len(words), np.int64)
+    frequent[np.lexsort((words, -n))] = np.arange(len(words))
+    own = np.minimum(frequent, classes - 1).astype(np.int32)
+    salt = mix(words + np.uint64(5)) % np.uint64(salts)
+
+    def measured(own: np.ndarray, batch: np.ndarray | None) -> tuple[DataFrame, np.ndarray]:
+        counts = materialise(class_counts(ids, own, classes, batch), "class-counts")
+        cells = arrow_rows(counts.where("word = -1"), (classes + 2) * (classes + 1), "class bigrams")
+        table = np.zeros((classes + 2) * (classes + 1), np.int64)
+        table[cells.column("code").to_numpy()] = cells.column("n").to_numpy()
+        return counts, table.reshape(classes + 2, classes + 1)
+
+    kept, reached = own, []
+    pending, salt_bits = [np.zeros(0, np.int64), np.zeros(0, np.int32)], mix(words + np.uint64(11))
+
+    def settled(own: np.ndarray, batch: np.ndarray | None) -> tuple[np.ndarray, DataFrame, np.ndarray]:
+        """``own`` with as many of the pending moves as leave the likelihood where it was, measured."""
+        counts, table = measured(own, batch)
+        for part in range(HALVINGS + 1):
+            if not reached or likelihood(table) >= reached[-1]:
+                break
+            some = (salt_bits[pending[0]] >> np.uint64(part)) & np.uint64(1) == 0
+            some = some if part < HALVINGS else np.zeros(len(some), bool)
+            own = kept.copy()
+            pending[:] = [x[some] for x in pending]
+            own[pending[0]] = pending[1]
+            counts, table = measured(own, batch)
+        reached.append(likelihood(table))
+        return own, counts, table
 
-    Maximises the likelihood of class bigrams. Words start dealt out by
-    frequency; a sweep takes each word out of its class and puts it where the
-    likelihood is highest; it ends when no word moves."""
-    k = len(bigrams)
-    classes = min(classes, k)
-    order = np.argsort(-(bigrams.sum(0) + bigrams.sum(1)), kind="stable")
-    own = np.empty(k, np.int64)
-    own[order] = np.arange(k) % classes
     for _ in range(sweeps):
         moved = 0
-        member = np.eye(classes)[own]
-        n = member.T @ bigrams @ member
-        for w in order:
-            self_n = bigrams[w, w]
-            right = np.bincount(own, weights=bigrams[w], minlength=classes)
-            left = np.bincount(own, weights=bigrams[:, w], minlength=classes)
-            a = own[w]
-            right[a] -= self_n
-            left[a] -= self_n
-            n[a, :] -= right
-            n[:, a] -= left
-            n[a, a] -= self_n
-            row, column, diagonal = n.sum(1), n.sum(0), np.diagonal(n)
-            gain_rows = (_xlogx(n + right[None, :]) - _xlogx(n)).sum(1) - (_xlogx(diagonal + right) - _xlogx(diagonal))
-            gain_columns = (_xlogx(n + left[:, None]) - _xlogx(n)).sum(0) - (_xlogx(diagonal + left) - _xlogx(diagonal))
-            gain = gain_rows + gain_columns + _xlogx(diagonal + right + left + self_n) - _xlogx(diagonal)
-            gain -= _xlogx(row + right.sum() + self_n) - _xlogx(row)
-            gain -= _xlogx(column + left.sum() + self_n) - _xlogx(column)
-            b = int(np.argmax(gain))
-            if gain[b] <= gain[a] + 1e-9:
-                b = a
-            moved += b != a
-            own[w] = b
-            n[b, :] += right
-            n[:, b] += left
-            n[b, b] += self_n
-        if not moved:
+        for turn in range(salts):
+            kept, counts, table = settled(own, salt == turn)
+            found = arrow_rows(moves(counts, kept, table), len(words), "moves")
+            pending[:] = [found.column("word").to_numpy(), found.column("class").to_numpy()]
+            own = kept.copy()
+            own[pending[0]] = pending[1]
+            moved += found.num_rows
+        if moved <= few * len(words):
             break
-    return own
+    own, _, table = settled(own, None)
+    return own, table, reached
 
 
 # ------------------------------------------------------------------ model
 @dataclass
 class ClassModel:
-    """What every worker needs: words known to it, and log10 probabilities."""
-
-    core: np.ndarray  # hashes of the core words, sorted
-    core_class: np.ndarray
-    group: np.ndarray  # group of each history class, the start last
-    head: np.ndarray  # hashes of core and frequent tail words, sorted
-    head_count: np.ndarray
-    head_class: np.ndarray  # core class, or number of core classes + tail class
-    emission: np.ndarray  # log10 P(word | class) of the head words
-    transition: np.ndarray  # [history class, class]: log10 P(class | history)
-    unknown: np.ndarray  # [history class]: log10 P(unseen word | history)
+    """What every worker needs: the dictionary, and log10 probabilities."""
+
+    words: np.ndarray  # hashes of the dictionary, sorted
+    count: np.ndarray
+    own: np.ndarray  # class of each word
+    emission: np.ndarray  # log10 P(word | class)
+    transition: np.ndarray  # [history, class]: log10 P(class | history); the last class is that of rare words, the last history the start
+    unseen: float  # log10 P(a word not seen | rare class)
     tokens: int  # N
     types: int  # V
+    exchanged: float  # share of the training tokens whose words were exchanged
+    reached: list[float]  # likelihood round by round
 
     @property
     def classes(self) -> int:
-        return len(self.group) - 1
+        return self.transition.shape[1] - 1
 
     @property
     def total(self) -> float:
@@ -189,127 +281,63 @@ def _log10(x: np.ndarray) -> np.ndarray:
     return np.log10(np.maximum(x, 1e-300))
 
 
-def tail_words(texts: DataFrame, core: np.ndarray, core_class: np.ndarray, group: np.ndarray, groups: int) -> DataFrame:
-    """(word, n, s) of every word outside the core: its count and the group
-    whose histories it follows most (ties to the smaller number)."""
-    k = len(core)
-    group_of_core = np.append(group[core_class], group[-1])
-
-    def count(words: list[np.ndarray], histories: list[np.ndarray]) -> pa.RecordBatch:
-        word, at = np.unique(np.concatenate(words), return_inverse=True)
-        cells = np.bincount(at * groups + np.concatenate(histories), minlength=len(word) * groups).reshape(-1, groups)
-        return pa.RecordBatch.from_arrays([pa.array(signed(word)), *(pa.array(np.ascontiguousarray(cells[:, g])) for g in range(groups))], names=["word", *(f"g{g}" for g in range(groups))])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, words, histories, size = Lookup(core), [], [], 0
-        for _, w in _tokens(batches, 0):
-            own = find(w.hash)
-            tail = own < 0
-            words.append(w.hash[tail])
-            histories.append(group_of_core[_history(own, w.bounds, k)][tail])
-            size += len(words[-1])
-            if size >= _FLUSH:
-                yield count(words, histories)
-                words, histories, size = [], [], 0
-        if size:
-            yield count(words, histories)
-
-    names = [f"g{g}" for g in range(groups)]
-    counted = map_arrow(texts, run, "word long, " + ", ".join(f"{c} long" for c in names)).groupBy("word").agg(*[F.sum(c).alias(c) for c in names])
-    n = sum((F.col(c) for c in names[1:]), F.col(names[0]))
-    most = F.greatest(*names) if groups > 1 else F.col(names[0])
-    s = F.coalesce(*[F.when(F.col(c) == most, F.lit(i)) for i, c in enumerate(names)])
-    return counted.select("word", n.alias("n"), s.alias("s"), *names)
-
-
-def train_class_model(texts: DataFrame, core_words: int = 512, classes: int = 24, groups: int = 6, head_words: int = 200_000, smoothing: float = 20.0) -> tuple[ClassModel, DataFrame, list[float], float]:
-    """Fit the model on a single text column. Returns it with the written
-    dictionary of tail words, the tokens of each tail class and the discount."""
-    top = arrow_rows(word_counts(texts).where(F.col("word") != int(END)).orderBy(F.desc("n"), "word").limit(core_words), core_words, "core words")
-    core = np.sort(np.append(unsigned(top.column("word").to_numpy()), END))
-    k = len(core)
-    cells = arrow_rows(core_bigrams(texts, core), (k + 1) ** 2, "core bigrams")
-    counts = np.zeros((k + 1) * (k + 1))
-    counts[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
-    counts = counts.reshape(k + 1, k + 1)
-
-    core_class = exchange(counts[:k, :k], classes)
-    c = int(core_class.max()) + 1
-    member = np.zeros((k + 1, c + 1))
-    member[np.arange(k), core_class] = 1
-    member[k, c] = 1  # start of a text as a history, any other word as a follower
-    follow = member.T @ counts @ member  # [history class or start, class or tail]
-    class_group = exchange(follow[:c, :c], groups)
-    s = int(class_group.max()) + 1
-    group = np.append(class_group, class_group[core_class[np.searchsorted(core, END)]])
-
-    tail = materialise(tail_words(texts, core, core_class, group, s), "tail-words")
-    names = [f"g{g}" for g in range(s)]
-    often = [F.sum(F.when(F.col("n") >= 3, F.col(g)).otherwise(0)).alias(g) for g in names]
-    per_class = arrow_rows(
-        tail.groupBy("s").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v"), F.sum((F.col("n") == 1).cast("long")).alias("n1"), F.sum((F.col("n") == 2).cast("long")).alias("n2"), *often), s, "tail classes"
-    ).to_pylist()
-    size, types, between = np.zeros(s), np.zeros(s), np.zeros((s, s))
-    for row in per_class:
-        size[row["s"]], types[row["s"]] = row["n"], row["v"]
-        between[:, row["s"]] = [row[g] for g in names]
-    n1, n2 = sum(r["n1"] for r in per_class), sum(r["n2"] for r in per_class)
+def train_class_model(
+    texts: DataFrame, head_words: int = 1_000_000, max_classes: int = 256, sweeps: int = 2, salts: int = 4, smoothing: float = 20.0
+) -> tuple[ClassModel, DataFrame, int, float]:
+    """Fit the model on a single text column. Returns it with the rare words
+    (word, n) outside the dictionary, their tokens and the discount."""
+    counted = materialise(word_counts(texts), "word-counts")
+    often = counted.where((F.col("n") > 1) & (F.col("word") != int(END)))
+    top = arrow_rows(often.orderBy(F.desc("n"), "word").limit(head_words), head_words, "dictionary")
+    facts = counted.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v"), F.sum((F.col("n") == 1).cast("long")).alias("n1"), F.sum((F.col("n") == 2).cast("long")).alias("n2"), F.max(F.when(F.col("word") == int(END), F.col("n"))).alias("ends"))
+    facts = facts.toArrow().to_pylist()[0]
+    words = np.append(unsigned(top.column("word").to_numpy()), END)
+    n = np.append(top.column("n").to_numpy(), facts["ends"] or 0).astype(np.int64)
+    order = np.argsort(words)
+    words, n = words[order], n[order]
+    # the last word of the list is the least frequent one: what comes after it is rare
+    rest = counted.where(F.col("word") != int(END))
+    if top.num_rows == head_words:
+        least, tie = top.column("n")[head_words - 1].as_py(), top.column("word")[head_words - 1].as_py()
+        rest = rest.where((F.col("n") < least) | ((F.col("n") == least) & (F.col("word") > tie)))
+    else:
+        rest = rest.where("n = 1")
+    rare = rest.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).toArrow().to_pylist()[0]
+    tokens, rare_tokens, rare_types = facts["n"] or 0, rare["n"] or 0, rare["v"]
+    n1, n2 = facts["n1"] or 0, facts["n2"] or 0
     discount = n1 / (n1 + 2 * n2) if 0 < n1 and n2 else 0.5
 
-    core_count = counts[:, :k].sum(0)
-    tokens, distinct = int(core_count.sum() + size.sum()), int((core_count > 0).sum() + types.sum())
-    frequency = follow.sum(0) + 0.5
-    frequency /= frequency.sum()
-    chance = (follow + smoothing * frequency) / (follow.sum(1, keepdims=True) + smoothing)  # [history, class or tail]
-    which = (between + 1) / (between + 1).sum(1, keepdims=True)  # [group, tail class]
-    unseen = np.where(size > 0, discount * types / np.maximum(size, 1), 1.0)
-    transition = np.hstack([_log10(chance[:, :c]), _log10(chance[:, c:]) + _log10(which[group])])
-    unknown = _log10(chance[:, c] * (which[group] @ unseen))
-
-    # the most frequent tail words, down to a count that at most head_words reach
-    level = F.floor(F.log2(F.col("n")) * 8).cast("int")
-    levels = arrow_rows(tail.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("v"), F.min("n").alias("least")), 1024, "count levels").to_pylist()
-    total, least = 0, None
-    for row in sorted(levels, key=lambda r: -r["level"]):
-        total += row["v"]
-        if total > head_words:
-            break
-        least = row["least"]
-    words, n, cls = core, core_count, core_class
-    if least is not None:
-        head = arrow_rows(tail.where(F.col("n") >= least).select("word", "n", "s"), head_words, "head words")
-        words = np.concatenate([words, unsigned(head.column("word").to_numpy())])
-        n = np.concatenate([n, head.column("n").to_numpy()])
-        cls = np.concatenate([cls, c + head.column("s").to_numpy()])
-        rest = tail.where(F.col("n") < least)
-    else:
-        rest = tail
-    class_size = np.concatenate([np.bincount(core_class, weights=core_count, minlength=c), size])
-    emission = _log10((n - np.where(cls >= c, discount, 0)) / np.maximum(class_size[cls], 1))
-    order = np.argsort(words)
-    model = ClassModel(core, core_class, group, words[order], n[order].astype(np.int64), cls[order], emission[order], transition, unknown, tokens, distinct)
-    return model, rest.select("word", "n", "s"), size.tolist(), discount
+    classes = int(min(max_classes, max(2, round(np.sqrt(len(words))))))
+    own, table, reached = exchange(encoded(texts, words), words, n, classes, sweeps, salts)
+    frequency = table.sum(0) + 0.5
+    frequency = frequency / frequency.sum()
+    chance = (table + smoothing * frequency) / (table.sum(1, keepdims=True) + smoothing)
+    size = np.bincount(own, weights=n, minlength=classes)
+    emission = _log10(n / np.maximum(size[own], 1))
+    unseen = _log10(np.array(discount * rare_types / rare_tokens if rare_tokens else 1.0))
+    model = ClassModel(words, n, own, emission, _log10(chance), float(unseen), tokens, facts["v"], float(n.sum()) / max(tokens, 1), reached)
+    return model, rest.select("word", "n"), rare_tokens, discount
 
 
 def _score_rows(docs: DataFrame, model: ClassModel, id_type: str) -> DataFrame:
-    """Per row its sums over head words (``h`` is -1), and one row for each
-    other word with its history."""
+    """Per row its sums over words of the dictionary (``h`` is -1), and one row
+    for each other word with its history."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        find, find_core = Lookup(m.head), Lookup(m.core)
-        class_of_core = np.append(m.core_class, m.classes)
-        base = np.log10((m.head_count + 0.5) / m.total)
+        find, class_of = Lookup(m.words), np.append(m.own, m.classes)
+        base = np.log10((m.count + 0.5) / m.total)
         for batch, w in _tokens(batches, 2):
             rows, n = w.rows, np.diff(w.bounds)
             row = w.row_of_word()
-            history = class_of_core[_history(find_core(w.hash), w.bounds, len(m.core))]
             at = find(w.hash)
+            own = class_of[at]
+            history = history_classes(own, w.bounds, m.classes + 1)
             known = at >= 0
-            score = m.transition[history[known], m.head_class[at[known]]] + m.emission[at[known]]
+            score = m.transition[history[known], own[known]] + m.emission[at[known]]
             sums = [np.bincount(row[known], weights=x, minlength=rows) for x in (base[at[known]], score)]
-            found = np.bincount(row[known & (m.head_count[np.maximum(at, 0)] > 0)], minlength=rows)
+            found = np.bincount(row[known & (m.count[np.maximum(at, 0)] > 0)], minlength=rows)
             other = np.flatnonzero(~known)
             key = batch.column(0).slice(w.first_row, rows)
             ids = batch.column(1).slice(w.first_row, rows)
@@ -331,24 +359,21 @@ def lm_scoring(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col:
     """(id, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``,
     ``score``) of every row, learning from the rows where ``train`` holds."""
     texts = docs.where(train).select(text_col)
-    model, rest, size, discount = train_class_model(texts, **settings)
+    model, rest, rare_tokens, discount = train_class_model(texts, **settings)
     keyed = docs.select(F.monotonically_increasing_id().alias("key"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = _score_rows(keyed, model, dict(docs.dtypes)[id_col])
-    rest = rest.select(F.col("word").alias("_word"), F.col("n").alias("_n"), F.col("s").alias("_s"))
+    rest = rest.select(F.col("word").alias("_word"), F.col("n").alias("_n"))
     met = rows.join(rest, (F.col("word") == F.col("_word")) & (F.col("h") >= 0), "left")
 
-    s, classes = len(size), model.classes
-    chance = F.array(*[F.lit(float(x)) for x in model.transition[:, classes:].ravel()])
-    sizes = F.array(*[F.lit(max(float(x), 1.0)) for x in size])
-    unseen = F.array(*[F.lit(float(x)) for x in model.unknown])
-    seen_score = F.element_at(chance, F.col("h") * s + F.col("_s") + 1) + F.log10((F.col("_n") - discount) / F.element_at(sizes, F.col("_s") + 1))
-    is_tail, seen = F.col("h") >= 0, F.col("_n").isNotNull()
+    rare = F.element_at(F.array(*[F.lit(float(x)) for x in model.transition[:, -1]]), F.col("h") + 1)
+    is_rare, seen = F.col("h") >= 0, F.col("_n").isNotNull()
+    rare_score = rare + F.when(seen, F.log10((F.col("_n") - discount) / float(max(rare_tokens, 1)))).otherwise(model.unseen)
     base = F.log10((F.coalesce("_n", F.lit(0)) + 0.5) / model.total)
     out = met.groupBy("key").agg(
         F.max("id").alias(id_col),
         F.sum("n_tokens").alias("n_tokens"),
-        F.sum(F.when(is_tail, seen.cast("long")).otherwise(F.col("n_known"))).alias("n_known"),
-        F.sum(F.when(is_tail, base).otherwise(F.col("base"))).alias("base_score"),
-        F.sum(F.when(~is_tail, F.col("score")).when(seen, seen_score).otherwise(F.element_at(unseen, F.col("h") + 1))).alias("score"),
+        F.sum(F.when(is_rare, seen.cast("long")).otherwise(F.col("n_known"))).alias("n_known"),
+        F.sum(F.when(is_rare, base).otherwise(F.col("base"))).alias("base_score"),
+        F.sum(F.when(is_rare, rare_score).otherwise(F.col("score"))).alias("score"),
     )
     return out.select(id_col, "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", F.when(F.lit(model.tokens > 0), F.col("score")).otherwise(F.col("base_score")).alias("score"))
