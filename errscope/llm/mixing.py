@@ -7,17 +7,22 @@ rates r of the documents then solve
     minimise  1/2 sum_d (sum_i r_i n_i p_id - t_d)^2 / t_d  +  ridge/2 sum_i n_i (r_i - r0)^2
     subject to r_i >= least_rate (0 or more)
 
-(n: tokens, p: posteriors, t: target tokens, r0: the rate without domains). A
-document depends on the others only through the domain totals: with the pull
-v_d = (total_d - t_d) / t_d the solution is
+(n: tokens, p: posteriors, t: target tokens, r0: the rate without domains) by
+projected gradients. The gradient reaches a document through its posteriors and
+one number per domain only, so a step is one aggregation of a narrow table: it
+brings the domain totals at the present rates and the Gram matrix of the domains
+over the rows whose rates are not held at the least one. The gradient is scaled by
+that small matrix, which makes up for domains that are hard to tell apart, and
+rates that the step takes below ``least_rate`` are put back on it:
 
     r_i = max(least_rate, r0 - sum_d p_id v_d / ridge)
 
-so the pulls alone are sought, as the minimum of the convex dual, by damped
-Newton steps. One step is one aggregation of a narrow table with a result of one
-number per domain and pair of domains; how well the domains can be told apart
-does not change where it ends. Too few steps raise; targets that the rates cannot
-reach are told by a warning and in ``Mixture.missed``.
+where v adds up the scaled gradients. The first steps are scaled by the Gram
+matrix of all rows, with which no step is too long; then that of the free rows
+takes over as long as the gradient along a step goes on shrinking, and a step
+that fails is taken again with more of the first. The steps end when the projected
+gradient is small. Targets that the rates cannot reach, or did not in ``max_steps``,
+are told by a warning and in ``Mixture.missed``.
 
 Cases: null or empty text has no tokens but gets a posterior and a rate; targets
 of domains that no label has are left out and the others scaled up; without
@@ -165,6 +170,7 @@ class Mixture:
     least_rate: float
     pulls: np.ndarray
     missed: list  # domains whose totals are off their targets
+    steps: int = 0  # aggregations that the rates took
 
     def pull(self) -> Column:
         return sum((F.element_at("posterior", d + 1) * float(v) for d, v in enumerate(self.pulls)), F.lit(0.0))
@@ -175,8 +181,8 @@ class Mixture:
 
 
 def solve_rates(rows: DataFrame, domains: list, weights: dict, total: float | None, least_rate: float, ridge: float, max_steps: int, tolerance: float) -> Mixture:
-    """Newton steps over ``rows`` (n_tokens, posterior) until the residual of the
-    pulls is below ``tolerance`` of a hundredth of the total.
+    """Projected gradient steps over ``rows`` (n_tokens, posterior) until the gradient
+    is below a hundredth of ``tolerance`` of the total.
 
     ``total`` is the number of tokens to reach; by default the smallest at which
     no domain has to be thinned out."""
@@ -206,44 +212,37 @@ def solve_rates(rows: DataFrame, domains: list, weights: dict, total: float | No
         return matrix
 
     step_size = 1.0 / (np.linalg.eigvalsh(square(got) / np.sqrt(np.outer(floor, floor))).max() + ridge)
-    mixture = Mixture(domains, targets, have, base, step_size, ridge, least_rate, np.zeros(k), [])
-    n, q, r = F.col("n_tokens"), F.col("q"), F.col("rate")
-    bend = ridge * (base - least_rate)  # pull at which a rate meets the least one
-    cost = F.when(q < bend, q * q / (2 * ridge) - base * q).otherwise(-least_rate * q - bend * bend / (2 * ridge))
-    free = F.when(q < bend, n).otherwise(0)
-
-    def at(pulls: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
-        """Dual value, its gradient and curvature, and the domain totals."""
-        mixture.pulls = pulls
+    mixture = Mixture(domains, targets, have, base, step_size, ridge, least_rate, np.zeros(k), [], 0)
+    whole, n, r = square(got), F.col("n_tokens"), F.col("rate")
+    free = F.when(r > least_rate, n).otherwise(0)
+
+    def gradient(pulls: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Projected gradient as one number per domain, the Gram matrix of the
+        free rows, and the domain totals."""
+        mixture.pulls, mixture.steps = pulls, mixture.steps + 1
         found = (
-            rows.select("n_tokens", "posterior", mixture.pull().alias("q"), mixture.rate().alias("rate"))
-            .agg(
-                F.sum(n * cost).alias("cost"),
-                *[F.sum(n * p[d] * r).alias(f"s{d}") for d in range(k)],
-                *[F.sum(free * p[a] * p[b]).alias(f"g{a}_{b}") for a in range(k) for b in range(a, k)],
-            )
+            rows.select("n_tokens", "posterior", mixture.rate().alias("rate"))
+            .agg(*[F.sum(n * p[d] * r).alias(f"s{d}") for d in range(k)], *[F.sum(free * p[a] * p[b]).alias(f"g{a}_{b}") for a in range(k) for b in range(a, k)])
             .toArrow()
             .to_pylist()[0]
         )
         totals = np.array([found[f"s{d}"] for d in range(k)])
-        value = float((floor * pulls * pulls).sum() / 2 + targets @ pulls + found["cost"])
-        return value, floor * pulls + targets - totals, np.diag(floor) + square(found) / ridge, totals
-
-    pulls, stretch, move = np.zeros(k), 1.0, np.zeros(k)
-    value, gradient, curvature, mixture.totals = at(pulls)
-    for _ in range(max_steps):
-        if np.abs(gradient).max() <= 0.01 * tolerance * total:
-            break
-        if stretch == 1.0:
-            move = -np.linalg.solve(curvature, gradient)
-        tried = at(pulls + stretch * move)
-        if tried[0] <= value + 1e-4 * stretch * (gradient @ move) + 1e-12 * abs(value) or np.abs(tried[1]).max() < 0.5 * np.abs(gradient).max():
-            pulls, stretch = pulls + stretch * move, 1.0
-            value, gradient, curvature, mixture.totals = tried
+        return floor * pulls + targets - totals, square(found), totals
+
+    pulls, share_of_all = np.zeros(k), 1.0
+    slope, some, mixture.totals = gradient(pulls)
+    while np.abs(slope).max() > 0.01 * tolerance * total and mixture.steps < max_steps:
+        move = -np.linalg.solve(np.diag(floor) + (share_of_all * whole + (1 - share_of_all) * some) / ridge, slope)
+        tried = gradient(pulls + move)
+        if abs(tried[0] @ move) <= 0.9 * abs(slope @ move):
+            pulls = pulls + move
+            slope, some, mixture.totals = tried
+            share_of_all = share_of_all / 4 if share_of_all > 4e-3 else 0.0
+        elif share_of_all == 1.0:  # the scale with which no step is too long
+            pulls = pulls + move
+            slope, some, mixture.totals = tried
         else:
-            stretch /= 2
-    if np.abs(gradient).max() > 0.01 * tolerance * total:
-        raise RuntimeError(f"mixing: rates not found in {max_steps} steps")
+            share_of_all = min(1.0, share_of_all * 4 + 1e-3)
     mixture.pulls = pulls
     mixture.missed = [d for d, off in zip(domains, np.abs(mixture.totals - targets)) if off > tolerance * total]
     if mixture.missed:
