@@ -2,14 +2,14 @@
 
 Length, then the hash of a prefix, then the hash of the whole text; each step
 looks only at rows that the step before could not tell apart. Which rows those
-are is told by a bitmap of fixed size over hashes of the step's key. The bitmap
-is a table of at most ``filter_bits / 64`` rows, so broadcasting it is safe at
-any corpus size. A set bit that belongs to another key only causes a hash that
-was not needed; the grouping itself compares whole hashes.
+are is told by a bitmap over hashes of the step's key. Its size follows the number
+of rows up to a bound (``MOST_BITS``): it is a table of one row for 64 bits, so
+broadcasting it is safe at any corpus size. A set bit that belongs to another key
+only causes a hash that was not needed; the grouping itself compares whole hashes.
 
 Cases: null text counts as empty; a null id loses to any other id of its group;
-rows that repeat an id with equal text are one document; an empty table gives
-an empty result; only the columns named in ``carry`` are passed on, so other
+rows that repeat an id are counted and returned one by one, and of equal texts
+all rows that have the largest id stay; an empty table gives an empty result; only the columns named in ``carry`` are passed on, so other
 columns may have any name but those of the result.
 """
 
@@ -28,7 +28,15 @@ def normalised(text: Column | str) -> Column:
     return F.coalesce(ascii_lower(text), F.lit(""))
 
 
-def _bitmap(keys: DataFrame, key: str, bits: int) -> DataFrame:
+MOST_BITS = 1 << 26  # a million rows of 16 bytes
+
+
+def bitmap_bits(rows: int) -> int:
+    """Bits for a bitmap over so many keys: 16 for each, up to ``MOST_BITS``."""
+    return min(MOST_BITS, max(1 << 16, 1 << (16 * rows).bit_length()))
+
+
+def bitmap_of(keys: DataFrame, key: str, bits: int) -> DataFrame:
     """(``_word``, ``_bits``): the set bits of the hashes in ``keys``."""
     slot = F.pmod(F.col(key), F.lit(bits))
     return keys.groupBy(F.shiftright(slot, 6).alias("_word")).agg(
@@ -36,7 +44,7 @@ def _bitmap(keys: DataFrame, key: str, bits: int) -> DataFrame:
     )
 
 
-def _marked(rows: DataFrame, key: str, bitmap: DataFrame, bits: int, flag: str) -> DataFrame:
+def marked(rows: DataFrame, key: str, bitmap: DataFrame, bits: int, flag: str) -> DataFrame:
     """Add ``flag``: the bit of the row's hash is set."""
     word = F.shiftright(F.pmod(F.col(key), F.lit(bits)), 6)
     out = rows.withColumn("_word", word).join(F.broadcast(bitmap), "_word", "left")
@@ -53,7 +61,7 @@ def exact_dedup(
     id_col: str = "doc_id",
     text_col: str = "text",
     prefix_chars: int = 256,
-    filter_bits: int = 1 << 22,
+    filter_bits: int | None = None,
     carry: Sequence[str] = (),
     digest_col: str | None = None,
 ) -> DataFrame:
@@ -63,15 +71,16 @@ def exact_dedup(
     step that settled the row: length, prefix or full. ``digest_col`` asks for
     the SHA-256 of every normalised text as a column, which the last step then
     uses instead of hashing the open rows alone."""
+    filter_bits = filter_bits or bitmap_bits(docs.count())
     base = docs.select(F.col(id_col), F.coalesce(text_col, F.lit("")).alias("_text"), *carry)
     by_length = base.withColumn("_k1", F.xxhash64(F.length("_text")))  # case does not change the length
-    lengths = _bitmap(_repeated(by_length, "_k1"), "_k1", filter_bits)
+    lengths = bitmap_of(_repeated(by_length, "_k1"), "_k1", filter_bits)
 
     prefix_key = F.when(F.col("_m1"), F.xxhash64(F.length("_text"), normalised(F.substring("_text", 1, prefix_chars))))
-    by_prefix = _marked(by_length, "_k1", lengths, filter_bits, "_m1").withColumn("_k2", prefix_key)
-    prefixes = _bitmap(_repeated(by_prefix.where("_m1"), "_k2"), "_k2", filter_bits)
+    by_prefix = marked(by_length, "_k1", lengths, filter_bits, "_m1").withColumn("_k2", prefix_key)
+    prefixes = bitmap_of(_repeated(by_prefix.where("_m1"), "_k2"), "_k2", filter_bits)
 
-    by_full = _marked(by_prefix, "_k2", prefixes, filter_bits, "_m2")
+    by_full = marked(by_prefix, "_k2", prefixes, filter_bits, "_m2")
     is_open = F.col("_m1") & F.coalesce("_m2", F.lit(False))
     digest = F.sha2(normalised("_text"), 256)
     rows = by_full.select(
@@ -85,7 +94,7 @@ def exact_dedup(
     extra = [*carry, *([F.col("_full").alias(digest_col)] if digest_col else [])]
 
     alone = rows.where("not _open").select(id_col, F.col(id_col).alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "decided_by", *extra)
-    open_rows = rows.where("_open").dropDuplicates([id_col, "_full"])
+    open_rows = rows.where("_open")
     groups = open_rows.groupBy("_full").agg(F.max(id_col).alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     settled = open_rows.join(groups.where("group_size > 1"), "_full", "left").select(
         id_col,

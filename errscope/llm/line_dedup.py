@@ -1,18 +1,24 @@
 """Operator 9, line dedup over levelled sorted runs of line hashes.
 
 A run is a Parquet table bucketed and sorted by the line hash, one row per
-line: how many documents hold it and the largest of their ids. Each new batch
-becomes one such table; a merge join with the runs (equal buckets, so no
-shuffle of what is stored) tells its new lines (anti join) from known ones.
-When a level holds ``fanout`` runs they are merged into one run of the next
-level. Hot lines cost one row per batch: counting is partially aggregated
-before the shuffle.
-
-Cases: a null or empty text is one empty line; rows that repeat an id count as
-one document each, and all rows of the owning id keep the line; rows with a
-null id count, own a line only if no other row does, and share their fate; an
-empty table gives an empty result; other columns are passed on unless they have
-the name of a result column.
+line: how many documents of its batch hold it and the largest of their ids. A
+line stands in one run only, that of the batch that brought it: each new batch
+is written bucketed too, a merge anti join with the runs (equal buckets, so
+nothing is shuffled) leaves its new lines, which are the next run, and the counts
+of the lines that a run has already go to its list of additions, which is as long
+as there are lines that batches share. When a level holds ``fanout`` runs they
+are compacted: put together, with the additions to their lines, into one run of
+the next level. Hot lines cost one row per batch: counting is partially
+aggregated before the shuffle.
+
+Texts without a line to drop stay where they are: a bitmap of bounded size over
+the keys of the others tells which texts have to meet their lists.
+
+Cases: a null or empty text is one empty line; rows that share an id are one
+document, and all of them keep the lines that it owns; every row with a null id is
+a document of its own, which owns a line only if no id does; an empty table gives
+an empty result; other columns are passed on unless they have the name of a
+result column.
 """
 
 from __future__ import annotations
@@ -29,6 +35,7 @@ from pyspark.sql import types as T
 
 from ..session import scratch_path
 from .common import map_batches, materialise, shuffle_partitions
+from .exact_dedup import bitmap_bits, bitmap_of, marked
 
 SPACES = " \t\n\x0b\x0c\r"
 _KEY = ["hi", "lo"]
@@ -79,79 +86,88 @@ def line_rows(docs: DataFrame, id_col: str, text_col: str, min_chars: int, batch
 
 @dataclass
 class LineRuns:
-    """The levelled runs. ``levels[k]`` lists the tables of level k, oldest first."""
+    """The levelled runs. ``levels[k]`` lists the tables of level k, oldest
+    first; ``additions`` the tables of counts of lines that a run holds already."""
 
     spark: SparkSession
     buckets: int
     fanout: int = 3
     levels: list[list[str]] = field(default_factory=list)
+    additions: list[str] = field(default_factory=list)
 
     def tables(self) -> list[str]:
         return [name for level in self.levels for name in level]
 
     def _write(self, rows: DataFrame) -> str:
+        """A table of one sorted file per bucket; ``rows`` are dealt by bucket."""
         name = f"line_run_{uuid.uuid4().hex}"
         path = scratch_path(self.spark, name)
-        rows.repartition(self.buckets, "hi").write.bucketBy(self.buckets, "hi").sortBy(*_KEY).option("path", path).saveAsTable(name)
+        rows.write.bucketBy(self.buckets, "hi").sortBy(*_KEY).option("path", path).saveAsTable(name)
         return name
 
     def add(self, lines: DataFrame) -> str:
-        """Add a batch of (id, hi, lo). Returns the table of its run, whose
-        column ``fresh`` marks lines that no earlier run holds."""
+        """Add a batch of (id, hi, lo). Returns the table of its run: the lines
+        that no earlier run holds."""
         counted = lines.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("n_docs"), F.max("id").alias("owner"))
-        fresh, known = counted, None
+        name = self._write(counted.repartition(self.buckets, "hi"))
         if self.tables():
-            counted = materialise(counted, "line-batch")
-            hits = None
-            for name in self.tables():
-                found = counted.join(self.spark.table(name).where("fresh").select(*_KEY), _KEY, "left_semi")
-                hits = found if hits is None else hits.unionByName(found)
-            known = hits.select(*_KEY, "n_docs", "owner", F.lit(False).alias("fresh"))
-            fresh = counted
-            for name in self.tables():
-                fresh = fresh.join(self.spark.table(name).where("fresh").select(*_KEY), _KEY, "left_anti")
-        rows = fresh.select(*_KEY, "n_docs", "owner", F.lit(True).alias("fresh"))
-        name = self._write(rows if known is None else rows.unionByName(known))
+            batch = name
+            fresh = self.spark.table(batch)
+            for run in self.tables():
+                fresh = fresh.join(self.spark.table(run).select(*_KEY), _KEY, "left_anti")
+            name = self._write(fresh)
+            known = self.spark.table(batch).join(self.spark.table(name).select(*_KEY), _KEY, "left_anti")
+            self.additions.append(self._write(known))
+            self._forget([batch])
         if not self.levels:
             self.levels.append([])
         self.levels[0].append(name)
         self._compact()
         return name
 
-    def _merge(self, a: DataFrame, b: DataFrame) -> DataFrame:
-        """Merge join of two runs: counts add up, the larger owner stays."""
-        a = a.select(*_KEY, F.col("n_docs").alias("n_a"), F.col("owner").alias("o_a"), F.col("fresh").alias("f_a"))
-        b = b.select(*_KEY, F.col("n_docs").alias("n_b"), F.col("owner").alias("o_b"), F.col("fresh").alias("f_b"))
-        zero, no = F.lit(0).cast("long"), F.lit(False)
-        return a.join(b, _KEY, "full").select(
-            *_KEY,
-            (F.coalesce("n_a", zero) + F.coalesce("n_b", zero)).alias("n_docs"),
-            F.greatest("o_a", "o_b").alias("owner"),
-            (F.coalesce("f_a", no) | F.coalesce("f_b", no)).alias("fresh"),
-        )
-
-    def _merged(self, names: list[str]) -> DataFrame:
-        merged = self.spark.table(names[0])
-        for name in names[1:]:
-            merged = self._merge(merged, self.spark.table(name))
-        return merged
+    def _together(self, runs: list[str]) -> DataFrame:
+        """(hi, lo, n_docs, owner) of the lines of these runs, each of which
+        stands in one of them, with all additions."""
+        out = None
+        for name in runs:
+            rows = self.spark.table(name).select(*_KEY, "n_docs", "owner")
+            for more in self.additions:
+                more = self.spark.table(more).select(*_KEY, F.col("n_docs").alias("_n"), F.col("owner").alias("_o"))
+                rows = rows.join(more, _KEY, "left").select(*_KEY, (F.col("n_docs") + F.coalesce("_n", F.lit(0))).alias("n_docs"), F.greatest("owner", "_o").alias("owner"))
+            out = rows if out is None else out.unionByName(rows)
+        return out
 
     def _compact(self) -> None:
-        """Merge every level that is full into one run of the next level."""
+        """Put the runs of every level that is full together, as one of the next level."""
         level = 0
         while level < len(self.levels):
             if len(self.levels[level]) >= self.fanout:
                 if level + 1 == len(self.levels):
                     self.levels.append([])
                 full = self.levels[level]
-                self.levels[level + 1].append(self._write(self._merged(full)))
+                run = self._write(self._together(full).repartition(self.buckets, "hi"))
+                others = [name for name in self.tables() if name not in full]
+                left = [self._write(self._left_over(run))] if others and self.additions else []
+                self._forget([*full, *self.additions])
+                self.additions = left
                 self.levels[level] = []
-                self._forget(full)
+                self.levels[level + 1].append(run)
             level += 1
 
+    def _left_over(self, run: str) -> DataFrame:
+        """The additions to lines that ``run`` doesn't hold, summed up."""
+        rest = None
+        for name in self.additions:
+            some = self.spark.table(name).join(self.spark.table(run).select(*_KEY), _KEY, "left_anti")
+            rest = some if rest is None else rest.unionByName(some)
+        # written before it is summed: Spark 4.1 takes a union of bucketed tables for a
+        # bucketed table, leaves out the shuffle of the sum, and sums in each part alone
+        summed = materialise(rest, "left-over").groupBy(*_KEY).agg(F.sum("n_docs").alias("n_docs"), F.max("owner").alias("owner"))
+        return summed.repartition(self.buckets, "hi")
+
     def counts(self) -> DataFrame:
         """(hi, lo, n_docs, owner) over everything added so far."""
-        return self._merged(self.tables()).select(*_KEY, "n_docs", "owner")
+        return self._together(self.tables())
 
     def _forget(self, names: list[str]) -> None:
         """Take tables out of the catalogue; their files stay below the shared folder."""
@@ -159,8 +175,8 @@ class LineRuns:
             self.spark.sql(f"drop table if exists {name}")
 
     def close(self) -> None:
-        self._forget(self.tables())
-        self.levels = []
+        self._forget([*self.tables(), *self.additions])
+        self.levels, self.additions = [], []
 
 
 def drop_lists(drops: DataFrame) -> DataFrame:
@@ -173,10 +189,15 @@ def drop_lists(drops: DataFrame) -> DataFrame:
 def drop_lines(docs: DataFrame, drops: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
     """Texts without the lines listed in ``drops`` (id, row, hi, lo); adds
     ``n_lines`` and ``n_dropped`` and replaces the text."""
-    lists = drop_lists(drops)
+    lists = materialise(drop_lists(drops), "drop-lists")
+    bits = bitmap_bits(lists.count())
     rest = [c for c in docs.columns if c not in (text_col, "n_lines", "n_dropped")]
     whole = docs.select(F.col(id_col).alias("id"), _row(text_col).alias("row"), F.struct(*rest).alias("rest"), F.coalesce(text_col, F.lit("")).alias("text"))
-    joined = whole.join(lists, (F.col("row") == F.col("drop_row")) & F.col("id").eqNullSafe(F.col("drop_id")), "left").select("rest", "text", F.col("drops.hi").alias("hi"), F.col("drops.lo").alias("lo"))
+    whole = marked(whole, "row", bitmap_of(lists.select("drop_row"), "drop_row", bits), bits, "listed")
+    met = whole.where("listed").join(lists, (F.col("row") == F.col("drop_row")) & F.col("id").eqNullSafe(F.col("drop_id")), "left")
+    joined = met.select("rest", "text", F.col("drops.hi").alias("hi"), F.col("drops.lo").alias("lo"))
+    breaks = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
+    others = whole.where("not listed").select("rest", "text", (breaks + 1).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_dropped"))
 
     def run(batch: pa.RecordBatch):
         texts, lines, dropped = [], [], []
@@ -204,7 +225,7 @@ def drop_lines(docs: DataFrame, drops: DataFrame, id_col: str, text_col: str, mi
         )
 
     schema = T.StructType([joined.schema["rest"], T.StructField("text", T.StringType()), T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
-    out = map_batches(joined, run, schema)
+    out = map_batches(joined, run, schema).unionByName(others)
     columns = [F.col("text").alias(text_col) if c == text_col else F.col(f"rest.`{c}`") for c in docs.columns if c in rest or c == text_col]
     return out.select(*columns, "n_lines", "n_dropped")
 
@@ -224,10 +245,21 @@ def line_dedup(
     (before) and ``n_dropped``."""
     spark = docs.sparkSession
     lines = materialise(line_rows(docs, id_col, text_col, min_chars, batches), "line-hashes")
+    held = _once_per_id(lines, docs, id_col)
     runs = LineRuns(spark, shuffle_partitions(spark), fanout)
     for batch in range(batches):
-        runs.add(lines.where(F.col("batch") == batch).select("id", *_KEY))
+        runs.add(held.where(F.col("batch") == batch).select("id", *_KEY))
     common = materialise(runs.counts().where(F.col("n_docs") >= min_docs), "line-common")
     runs.close()
     drops = lines.join(common.select(*_KEY, "owner"), _KEY).where(~F.col("id").eqNullSafe(F.col("owner"))).select("id", "row", *_KEY)
     return drop_lines(docs, drops, id_col, text_col, min_chars)
+
+
+def _once_per_id(lines: DataFrame, docs: DataFrame, id_col: str) -> DataFrame:
+    """``lines`` with each line once per id, where rows share an id."""
+    ids = docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    shared = materialise(ids.where("n > 1").select("id"), "shared-ids")
+    if not shared.limit(1).count():
+        return lines
+    once = lines.join(shared, "id", "left_semi").dropDuplicates(["id", *_KEY])
+    return materialise(lines.join(shared, "id", "left_anti").unionByName(once.select(*lines.columns)), "line-holders")

@@ -99,22 +99,23 @@ def op8_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "op9_line_dedup",
     r"""
-    with lines as (
-      select doc_id, pos, line, regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') as core
-      from (select doc_id, unnest(generate_series(1, len(parts))) as pos, unnest(parts) as line
-            from (select doc_id, string_split(coalesce(text, ''), chr(10)) as parts from documents))
+    with texts as (select doc_id, row_number() over () as r, string_split(coalesce(text, ''), chr(10)) as parts from documents),
+    lines as (
+      select doc_id, r, pos, line, regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') as core
+      from (select doc_id, r, unnest(generate_series(1, len(parts))) as pos, unnest(parts) as line from texts)
     ), keyed as (
       select *, case when length(core) >= 40
         then translate(core, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') end as key
       from lines
     ), common as (
-      select key, max(doc_id) as owner from keyed where key is not null group by key having count(distinct doc_id) >= 5
+      select key, max(doc_id) as owner from keyed where key is not null group by key
+      having count(distinct doc_id) + count(distinct case when doc_id is null then r end) >= 5
     ), marked as (
-      select k.*, c.key is not null and k.doc_id <> c.owner as dropped from keyed k left join common c on k.key = c.key
+      select k.*, c.key is not null and k.doc_id is distinct from c.owner as dropped from keyed k left join common c on k.key = c.key
     )
     select doc_id, count(*) as n_lines, cast(sum(case when dropped then 1 else 0 end) as bigint) as n_dropped,
       sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not dropped), '')) as kept_sha256
-    from marked group by doc_id
+    from marked group by doc_id, r
     """,
 )
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

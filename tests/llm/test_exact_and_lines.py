@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections import defaultdict
 
-from errscope.llm.exact_dedup import exact_dedup
+from errscope.llm.exact_dedup import bitmap_bits, exact_dedup
 from errscope.llm.line_dedup import LineRuns, drop_lists, line_dedup, line_rows
 
 from .conftest import LONG, LOWER
@@ -36,10 +36,20 @@ def test_exact_dedup_full_bitmap_changes_nothing(docs):
 
 def test_exact_dedup_awkward_rows(edge_docs, no_docs):
     got = sorted(((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup(edge_docs).collect()), key=str)
-    assert got == sorted([(1, 5, 2, False), (2, 3, 2, False), (3, 3, 2, True), (4, 4, 1, True), (5, 5, 2, True), (7, 7, 1, True), (None, None, 1, True)], key=str)
+    assert got == sorted([(1, 5, 3, False), (2, 3, 2, False), (3, 3, 2, True), (4, 4, 1, True), (5, 5, 3, True), (5, 5, 3, True), (7, 7, 1, True), (None, None, 1, True)], key=str)
     assert exact_dedup(no_docs).count() == 0
 
 
+def test_exact_dedup_returns_every_row(spark):
+    rows = [(1, "Same text"), (1, "same text"), (2, "SAME TEXT"), (2, "same text"), (None, "x"), (None, "x")]
+    got = sorted((tuple(r) for r in exact_dedup(spark.createDataFrame(rows, "doc_id long, text string")).drop("decided_by").collect()), key=str)
+    assert got == sorted([(1, 2, 4, False)] * 2 + [(2, 2, 4, True)] * 2 + [(None, None, 2, True)] * 2, key=str)
+
+
+def test_bitmaps_follow_the_rows():
+    assert bitmap_bits(0) == 1 << 16 and bitmap_bits(10**6) >= 16 * 10**6 and bitmap_bits(10**12) == bitmap_bits(10**13)
+
+
 def _brute_lines(rows, min_chars=40, min_docs=5):
     keyed = {i: [(x, x.strip(" \t\n\x0b\x0c\r").translate(LOWER)) for x in (t or "").split("\n")] for i, t in rows}
     holders = defaultdict(set)
@@ -81,16 +91,39 @@ def test_drop_lists_are_bounded_by_a_document(spark):
 def test_line_runs_levels(spark):
     lines = spark.createDataFrame([(i, k, k) for i in range(12) for k in range(i % 3, 5)], "id long, hi long, lo long")
     runs = LineRuns(spark, buckets=3, fanout=2)
-    fresh = [spark.table(runs.add(lines.where(f"id % 6 = {b}"))).where("fresh").count() if b < 1 else runs.add(lines.where(f"id % 6 = {b}")) and None for b in range(6)]
-    assert fresh[0] == 5
-    assert all(len(level) < 2 for level in runs.levels) and sum(map(len, runs.levels)) <= 3
-    got = {r.hi: (r.n_docs, r.owner) for r in runs.counts().collect()}
-    assert got == {0: (4, 9), 1: (8, 10), 2: (12, 11), 3: (12, 11), 4: (12, 11)}
-    assert sum(spark.table(t).where("fresh").count() for t in runs.tables()) == 5
+    first = runs.add(lines.where("id % 6 = 2"))
+    assert spark.table(first).count() == 3
+    for b in (1, 0, 3, 4, 5):
+        runs.add(lines.where(f"id % 6 = {b}"))
+        # the anti join: no line stands in two runs
+        held = [r.hi for t in runs.tables() for r in spark.table(t).collect()]
+        assert len(held) == len(set(held)) == {1: 4}.get(b, 5)
+    assert all(len(level) < 2 for level in runs.levels) and sum(map(len, runs.levels)) <= 3 and len(runs.additions) <= 2
+    got = sorted((r.hi, r.n_docs, r.owner) for r in runs.counts().collect())
+    assert got == [(0, 4, 9), (1, 8, 10), (2, 12, 11), (3, 12, 11), (4, 12, 11)]
     runs.close()
     assert runs.tables() == []
 
 
+def test_counts_need_the_anti_join(spark, docs, monkeypatch):
+    """Without it a line would stand in several runs and be counted in none rightly."""
+    want = _brute_lines([(r.doc_id, r.text) for r in docs.collect()], min_docs=3)
+    assert {r.doc_id: (r.n_lines, r.text) for r in line_dedup(docs, min_docs=3).collect()} == want
+    join = type(docs).join
+    monkeypatch.setattr(type(docs), "join", lambda self, other, on=None, how=None: self if how == "left_anti" else join(self, other, on, how))
+    assert {r.doc_id: (r.n_lines, r.text) for r in line_dedup(docs, min_docs=3).collect()} != want
+
+
+def test_rows_of_one_id_are_one_document(spark):
+    line = "a line that is long enough to be looked at, in rows of two ids"
+    rows = [(1, f"{line}\nx{k}") for k in range(3)] + [(2, f"{line}\ny{k}") for k in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.n_dropped for r in line_dedup(df).collect()} == {0}
+    more = df.unionByName(spark.createDataFrame([(k, line) for k in (3, 4, 5)], df.schema))
+    got = sorted((r.doc_id, r.n_dropped) for r in line_dedup(more).collect())
+    assert got == [(1, 1)] * 3 + [(2, 1)] * 3 + [(3, 1), (4, 1), (5, 0)]
+
+
 def test_line_dedup_awkward_rows(edge_docs, no_docs):
     out = line_dedup(edge_docs, min_chars=5, min_docs=2)
     assert set(out.columns) == set(edge_docs.columns)  # result columns replace those of the same name
