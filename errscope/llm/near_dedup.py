@@ -10,8 +10,8 @@ Jaccard similarity of the bags. Points later than the latest component cannot
 matter, so a process stops there and a text costs about its shingles plus a
 number of points that depends on the signature only.
 
-Equal texts (same words) are one class from the start and only their smallest
-id goes on. Bands of components that agree make buckets. In a bucket each text
+Equal texts (same words) are one node from the start, and only one row of them
+goes on. Nodes that rows of one id stand for are linked. Bands of components that agree make buckets. In a bucket each text
 is compared with one other, its hub, not with all. Buckets whose texts then
 still belong to different classes go into further rounds: a text leaves a bucket
 when the shingles that it alone has rule out a link to any text there, the most
@@ -25,7 +25,7 @@ components of verified pairs.
 
 Cases: null or empty text and texts without words are classes of their own; a
 text shorter than a shingle has one shingle of all its words; rows that repeat
-an id are one document; rows with a null id take part under no id and are classes
+an id are one document, whose links are those of all its texts; rows with a null id take part under no id and are classes
 of their own; an empty table gives an empty result; other columns are not passed
 on.
 """
@@ -357,16 +357,18 @@ def near_duplicates(
     rows = materialise(signed_rows(docs, id_col, text_col, shingle, bands, band_size), "signatures")
     usable = rows.where(F.col("id").isNotNull() & (F.size("bands") > 0))
     exact = usable.groupBy("hi", "lo").agg(F.min("id").alias("rep"), F.first("weight").alias("weight"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-    exact = materialise(exact, "exact-classes")
+    exact = materialise(exact.withColumn("node", F.monotonically_increasing_id()), "exact-classes")
 
-    banded = exact.select(F.col("rep").alias("id"), "weight", F.explode("bands").alias("key"))
+    banded = exact.select(F.col("node").alias("id"), "weight", F.explode("bands").alias("key"))
     shared_keys = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     members = banded.join(shared_keys, "key", "left_semi").withColumns({"class": F.col("id"), "common": F.col("weight")})
     members = materialise(members, "buckets")
-    texts = materialise(_texts_of(docs, id_col, text_col, members.select("id").distinct(), broadcast_rows), "bucket-texts")
+    wanted = exact.select("rep", "hi", "lo", "node").join(members.select(F.col("id").alias("node")).distinct(), "node", "left_semi")
+    texts = materialise(_texts_of(docs, id_col, text_col, wanted, broadcast_rows), "bucket-texts")
+    same = _nodes_of_one_id(usable, exact)
 
     share, differ = similarity / (1 + similarity), most_differences(bands * band_size, similarity)
-    edges = tested = classes = None
+    edges, tested, classes = same, None, None
     before, hubs, largest = 0, 1, 1
     while True:
         wanted = _pairs_of_round(members, before, hubs, share, bands * band_size, differ)
@@ -374,7 +376,7 @@ def near_duplicates(
             wanted = wanted.join(tested, ["a", "b"], "left_anti")
         wanted = materialise(wanted, "pairs")
         good = materialise(verified(wanted, texts, shingle, similarity), "links")
-        edges = good if edges is None else edges.unionByName(good)
+        edges = edges.unionByName(good)
         tested = wanted if tested is None else tested.unionByName(wanted)
         if classes is None or good.limit(1).count():
             classes = components_of(edges)
@@ -382,7 +384,7 @@ def near_duplicates(
             members = materialise(_mixed(_with_classes(members, classes)), "mixed-buckets")
             own = _own_weight(texts, members.select("id").distinct(), shingle)
             members = members.join(own, "id", "left").withColumn("common", F.col("weight") - F.coalesce("own", F.lit(0))).drop("own")
-            facts = exact.select(F.col("rep").alias("id"), "sketch", "bands").dropDuplicates(["id"])
+            facts = exact.select(F.col("node").alias("id"), "sketch", "bands")
             open_members = materialise(_viable(members, share).join(facts, "id"), "open-buckets")
             sizes = open_members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
             largest = sizes.agg(F.max("n")).toArrow().column(0)[0].as_py() or 0
@@ -391,7 +393,9 @@ def near_duplicates(
             break
         before, hubs = hubs, max(hub_growth, hubs * hub_growth)
         members = _with_classes(open_members, classes)
-    label = exact.select("hi", "lo", "rep").join(classes.withColumnRenamed("id", "rep"), "rep", "left").select("hi", "lo", F.coalesce("class", "rep").alias("class_id"))
+    named = exact.select("hi", "lo", "rep", "node").join(classes.withColumnRenamed("id", "node"), "node", "left").withColumn("class", F.coalesce("class", "node"))
+    least = named.groupBy("class").agg(F.min("rep").alias("class_id"))
+    label = named.join(least, "class").select("hi", "lo", "class_id")
     alone = rows.where(F.col("id").isNull() | (F.size("bands") == 0)).select("id", F.col("id").alias("class_id"))
     labelled = usable.join(label, ["hi", "lo"]).groupBy("id").agg(F.min("class_id").alias("class_id")).unionByName(alone)
     sizes = labelled.where(F.col("class_id").isNotNull()).groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size"))
@@ -399,10 +403,28 @@ def near_duplicates(
     return out.select(F.col("id").alias(id_col), "class_id", F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"), F.col("id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 
-def _texts_of(docs: DataFrame, id_col: str, text_col: str, ids: DataFrame, broadcast_rows: int) -> DataFrame:
-    """(id, text) of the wanted ids; one text for an id that is repeated."""
-    wanted = broadcast_if_few(ids, "bucket-ids", broadcast_rows)
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted, "id", "left_semi").dropDuplicates(["id"])
+def _texts_of(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame, broadcast_rows: int) -> DataFrame:
+    """(id, text): a text for each node of ``wanted`` (rep, hi, lo, node)."""
+    few = broadcast_if_few(wanted, "bucket-nodes", broadcast_rows)
+    found = docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text")).join(few.select("rep"), "rep", "left_semi")
+
+    def run(batch: pa.RecordBatch):
+        for w in words_of(batch.column(0), ALNUM):
+            hi, lo = text_keys(w)
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(w.first_row, w.rows), pa.array(signed(hi)), pa.array(signed(lo))], names=["text", "hi", "lo"])
+
+    keyed = map_batches(found.select("text"), run, "text string, hi long, lo long")
+    return keyed.join(few.select("hi", "lo", F.col("node").alias("id")), ["hi", "lo"]).select("id", "text").dropDuplicates(["id"])
+
+
+def _nodes_of_one_id(usable: DataFrame, exact: DataFrame) -> DataFrame:
+    """(a, b): links between the nodes that rows of one id stand for."""
+    key = F.struct("hi", "lo")
+    several = usable.groupBy("id").agg(F.min(key).alias("first"), F.max(key).alias("last")).where("first <> last")
+    met = usable.join(materialise(several.select("id", "first"), "ids-of-several-texts"), "id").select("hi", "lo", "first").distinct()
+    node = exact.select("hi", "lo", F.col("node").alias("a"))
+    first = exact.select(F.struct("hi", "lo").alias("first"), F.col("node").alias("b"))
+    return materialise(met.join(node, ["hi", "lo"]).join(first, "first").where("a <> b").select("a", "b"), "links-of-one-id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = 500_000, **settings) -> DataFrame:

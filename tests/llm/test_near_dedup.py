@@ -125,3 +125,12 @@ def test_repeated_rows_are_one_document(spark):
     df = spark.createDataFrame([(5, "some words that are repeated here"), (5, "some words that are repeated here"), (6, "others")], "doc_id long, text string")
     assert sorted(r.doc_id for r in near_duplicates(df).collect()) == [5, 6]
     assert sorted(r.doc_id for r in keep_one(df).collect()) == [5, 6]
+
+
+def test_links_of_all_texts_of_an_id_count(spark):
+    rng = np.random.default_rng(4)
+    w, v = (" ".join(f"{c}{k}" for k in rng.integers(0, 3000, 150)) for c in "wv")
+    rows = [(1, w), (1, v), (2, w + " end"), (3, v + " end"), (4, "another text of its own"), (4, w.replace("w", "u"))]
+    for order in (rows, rows[::-1]):
+        got = {r.doc_id: (r.class_id, r.class_size) for r in near_duplicates(spark.createDataFrame(order, "doc_id long, text string")).collect()}
+        assert got == {1: (1, 3), 2: (1, 3), 3: (1, 3), 4: (4, 1)}
