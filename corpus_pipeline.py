@@ -49,10 +49,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that others keep; ``n_chars`` follows the text."""
-    out = line_dedup(docs)
+    plain, name = _numbered(docs)
+    out = line_dedup(plain, name["doc_id"], name["text"])
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
-    return out.select(*docs.columns)
+        out = out.withColumn(name["n_chars"], F.length(name["text"]).cast(dict(docs.dtypes)["n_chars"]))
+    return out.select(*plain.columns).toDF(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
