@@ -99,24 +99,29 @@ class LineRuns:
         return [name for level in self.levels for name in level]
 
     def _write(self, rows: DataFrame) -> str:
-        """A table of one sorted file per bucket; ``rows`` are dealt by bucket."""
+        """A table of one sorted file per bucket. Rows that come out of merge joins
+        of such tables lie by bucket already, so nothing is shuffled for them."""
         name = f"line_run_{uuid.uuid4().hex}"
         path = scratch_path(self.spark, name)
-        rows.write.bucketBy(self.buckets, "hi").sortBy(*_KEY).option("path", path).saveAsTable(name)
+        rows.repartition(self.buckets, *_KEY).write.bucketBy(self.buckets, *_KEY).sortBy(*_KEY).option("path", path).saveAsTable(name)
         return name
 
+    def _keys(self, name: str) -> DataFrame:
+        """The lines of a run, to be met in a merge join."""
+        return self.spark.table(name).select(*_KEY).hint("merge")
+
     def add(self, lines: DataFrame) -> str:
         """Add a batch of (id, hi, lo). Returns the table of its run: the lines
         that no earlier run holds."""
         counted = lines.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("n_docs"), F.max("id").alias("owner"))
-        name = self._write(counted.repartition(self.buckets, "hi"))
+        name = self._write(counted)
         if self.tables():
             batch = name
             fresh = self.spark.table(batch)
             for run in self.tables():
-                fresh = fresh.join(self.spark.table(run).select(*_KEY), _KEY, "left_anti")
+                fresh = fresh.join(self._keys(run), _KEY, "left_anti")
             name = self._write(fresh)
-            known = self.spark.table(batch).join(self.spark.table(name).select(*_KEY), _KEY, "left_anti")
+            known = self.spark.table(batch).join(self._keys(name), _KEY, "left_anti")
             self.additions.append(self._write(known))
             self._forget([batch])
         if not self.levels:
@@ -133,7 +138,7 @@ class LineRuns:
             rows = self.spark.table(name).select(*_KEY, "n_docs", "owner")
             for more in self.additions:
                 more = self.spark.table(more).select(*_KEY, F.col("n_docs").alias("_n"), F.col("owner").alias("_o"))
-                rows = rows.join(more, _KEY, "left").select(*_KEY, (F.col("n_docs") + F.coalesce("_n", F.lit(0))).alias("n_docs"), F.greatest("owner", "_o").alias("owner"))
+                rows = rows.join(more.hint("merge"), _KEY, "left").select(*_KEY, (F.col("n_docs") + F.coalesce("_n", F.lit(0))).alias("n_docs"), F.greatest("owner", "_o").alias("owner"))
             out = rows if out is None else out.unionByName(rows)
         return out
 
@@ -145,7 +150,7 @@ class LineRuns:
                 if level + 1 == len(self.levels):
                     self.levels.append([])
                 full = self.levels[level]
-                run = self._write(self._together(full).repartition(self.buckets, "hi"))
+                run = self._write(materialise(self._together(full), "compacted"))
                 others = [name for name in self.tables() if name not in full]
                 left = [self._write(self._left_over(run))] if others and self.additions else []
                 self._forget([*full, *self.additions])
@@ -158,12 +163,11 @@ class LineRuns:
         """The additions to lines that ``run`` doesn't hold, summed up."""
         rest = None
         for name in self.additions:
-            some = self.spark.table(name).join(self.spark.table(run).select(*_KEY), _KEY, "left_anti")
+            some = self.spark.table(name).join(self._keys(run), _KEY, "left_anti")
             rest = some if rest is None else rest.unionByName(some)
         # written before it is summed: Spark 4.1 takes a union of bucketed tables for a
         # bucketed table, leaves out the shuffle of the sum, and sums in each part alone
-        summed = materialise(rest, "left-over").groupBy(*_KEY).agg(F.sum("n_docs").alias("n_docs"), F.max("owner").alias("owner"))
-        return summed.repartition(self.buckets, "hi")
+        return materialise(rest, "left-over").groupBy(*_KEY).agg(F.sum("n_docs").alias("n_docs"), F.max("owner").alias("owner"))
 
     def counts(self) -> DataFrame:
         """(hi, lo, n_docs, owner) over everything added so far."""
