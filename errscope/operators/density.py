@@ -1,171 +1,42 @@
 """Neighbour searches and density clustering on vectors.
 
-Exact Euclidean searches over cells around pivots. Every point belongs to the
-cell of its nearest pivot (a bounded sample of the points); a cell knows its
-radius. By the triangle inequality a query needs only the cells with
-``d(query, pivot) - radius <= eps``. A cell is cut into salted parts by its own
-number of points, and the queries of a cell likewise, so dense cells cost more
-tasks, not larger ones. Inside a part distances come from one matrix product;
-what leaves it is either the pairs within the radius, or the k nearest, or a
-spanning forest of the pairs, as the caller needs.
+Exact Euclidean searches over a metric tree (``metric_tree``): a query goes down
+the levels to the leaves that the triangle inequality leaves over, and is held
+against their points with one matrix product. What leaves a task is either the
+pairs within the radius, or the k nearest, or a spanning forest of the pairs, as
+the caller needs.
 """
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import checkpoint_root
+from .metric_tree import LEAF, build_tree, exact_distances, meet, visits
+from .metric_tree import checkpointed as _ckpt
 from .ordering import global_row_number
 
 
-def _ckpt(df: DataFrame) -> DataFrame:
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def as_points(df: DataFrame, id_col: str, vec: str) -> DataFrame:
     """(id, vec array<double>) in the shape the searches expect."""
     return df.select(F.col(id_col).alias("id"), F.col(vec).cast("array<double>").alias("vec"))
 
 
-PIVOTS = 256
-
-
-@dataclass
-class Cells:
-    """Points by cell, and the cells' pivots, radii and counts (at most ``PIVOTS`` rows)."""
-
-    members: DataFrame  # (id, part, vec, cell)
-    pivots: np.ndarray
-    radius: np.ndarray
-    count: np.ndarray
-    one_part: bool  # no key separates the points
-
-    def bound(self, d: np.ndarray, k: int) -> np.ndarray:
-        """For rows of distances to the pivots a radius that holds k points for sure."""
-        if not self.one_part or self.count.sum() < k:
-            return np.full(len(d), np.inf)
-        far = np.where(self.count > 0, d + self.radius, np.inf)
-        order = np.argsort(far, axis=1)
-        first = (np.cumsum(self.count[order], axis=1) >= k).argmax(axis=1)
-        return np.take_along_axis(far, order, axis=1)[np.arange(len(d)), first]
-
-
-def _matrix(column) -> np.ndarray:
-    return np.vstack(column.to_numpy()).astype(np.float64)
-
-
-def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    d2 = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * a @ b.T
-    return np.sqrt(np.maximum(d2, 0.0))
-
-
-def build_cells(points: DataFrame, max_pivots: int = PIVOTS) -> Cells:
-    """Assign (id, vec[, part]) to pivots, the points with the smallest id hashes."""
-    if "part" not in points.columns:
-        points = points.withColumn("part", F.lit(""))
-    points = points.select("id", "part", "vec")
-    n = points.count()
-    wanted = max(1, min(max_pivots, math.ceil(math.sqrt(n))))
-    sample = points.orderBy(F.xxhash64("id"), "id").limit(wanted).select("vec").toPandas()
-    if not len(sample):
-        return Cells(points.withColumn("cell", F.lit(0)), np.zeros((1, 1)), np.zeros(1), np.zeros(1, int), True)
-    pivots = _matrix(sample["vec"])
-
-    def assign(frames):
-        for f in frames:
-            if len(f):
-                yield f.assign(cell=np.argmin(_distances(_matrix(f["vec"]), pivots), axis=1).astype("int32"), far=np.min(_distances(_matrix(f["vec"]), pivots), axis=1))
-
-    schema = T.StructType([*points.schema.fields, T.StructField("cell", T.IntegerType()), T.StructField("far", T.DoubleType())])
-    members = _ckpt(points.mapInPandas(assign, schema))
-    radius, count = np.zeros(len(pivots)), np.zeros(len(pivots), int)
-    for r in members.groupBy("cell").agg(F.max("far").alias("far"), F.count("*").alias("n")).toPandas().itertuples():
-        radius[r.cell], count[r.cell] = r.far * (1 + 1e-9) + 1e-9, r.n
-    one_part = members.select("part").distinct().limit(2).count() < 2
-    return Cells(members.select("id", "part", "vec", "cell"), pivots, radius, count, one_part)
-
-
-def _search(cells: Cells, queries: DataFrame, within: str, found, schema: T.StructType, block: int, own_cell: bool = False, least: int = 0) -> DataFrame:
-    """Meet every query (id, part, vec, reach) with the cells it needs.
-
-    ``within`` names the column that holds a query's radius; an infinite one is
-    replaced by one that holds ``least`` points for sure. ``found`` maps the
-    blocks' (query frame, member frame, distances) to a result frame."""
-    pivots, radius, count = cells.pivots, cells.radius, cells.count
-    facts = Cells(None, pivots, radius, count, cells.one_part)
-
-    def probe(frames):
-        for f in frames:
-            if not len(f):
-                continue
-            d = _distances(_matrix(f["vec"]), pivots)
-            reach = f[within].to_numpy(dtype=float)
-            if least and np.isinf(reach).any():
-                reach = np.minimum(reach, facts.bound(d, least))
-            need = d - radius[None, :] <= reach[:, None] * (1 + 1e-9) + 1e-9
-            if own_cell:
-                need = np.arange(len(pivots))[None, :] == np.argmin(d, axis=1)[:, None]
-            row, cell = np.nonzero(need & (count > 0)[None, :])
-            out = f.iloc[row].assign(cell=cell.astype("int32"))
-            yield out.rename(columns={"id": "id_q", "vec": "vec_q", "part": "part_q"})
-
-    fields = {"id": "id_q", "vec": "vec_q", "part": "part_q"}
-    probe_schema = T.StructType([*[T.StructField(fields.get(x.name, x.name), x.dataType) for x in queries.schema.fields], T.StructField("cell", T.IntegerType())])
-    asked = queries.mapInPandas(probe, probe_schema)
-    parts = F.element_at(F.array(*[F.lit(max(1, math.ceil(int(c) / block))) for c in count]), F.col("cell") + 1)
-    # queries of a cell are as many as its points at most times the cells that reach it; they are salted alike
-    slices = F.element_at(F.array(*[F.lit(max(1, math.ceil(int(c) / block))) for c in count]), F.col("cell") + 1)
-    m = cells.members.select(
-        "cell", F.pmod(F.xxhash64("id"), parts).cast("int").alias("salt"), F.explode(F.sequence(F.lit(0), slices - 1)).alias("slice"), F.col("id").alias("id_p"), F.col("part").alias("part_p"), F.col("vec").alias("vec_p")
-    )
-    q = asked.withColumn("salt", F.explode(F.sequence(F.lit(0), parts - 1))).withColumn("slice", F.pmod(F.xxhash64("id_q"), slices).cast("int"))
-
-    def meet(mem: pd.DataFrame, qry: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({f.name: pd.Series([], dtype=object) for f in schema.fields})
-        if not len(mem) or not len(qry) or "vec_q" not in qry or "vec_p" not in mem:
-            return empty
-        b, outs = _matrix(mem["vec_p"]), []
-        for at in range(0, len(qry), block):
-            some = qry.iloc[at : at + block]
-            d = _distances(_matrix(some["vec_q"]), b)
-            d[some["part_q"].to_numpy()[:, None] != mem["part_p"].to_numpy()[None, :]] = np.inf
-            outs.append(found(some, mem, d))
-        return pd.concat(outs, ignore_index=True) if outs else empty
-
-    keys = ["cell", "salt", "slice"]
-    return m.groupBy(*keys).cogroup(q.groupBy(*keys)).applyInPandas(meet, schema)
-
-
 def _pair_schema(points: DataFrame) -> T.StructType:
     t = points.schema["id"].dataType
     return T.StructType([T.StructField("id_q", t), T.StructField("id_p", t), T.StructField("dist", T.DoubleType())])
 
 
-def _exact(some: pd.DataFrame, mem: pd.DataFrame, qi: np.ndarray, pi: np.ndarray, step: int = 4096) -> np.ndarray:
-    """Distances of single pairs without the rounding of the matrix product, in slices."""
-    a, b = some["vec_q"].to_numpy(), mem["vec_p"].to_numpy()
-    out = np.empty(len(qi))
-    for at in range(0, len(qi), step):
-        i, j = qi[at : at + step], pi[at : at + step]
-        out[at : at + step] = np.sqrt(((np.vstack(a[i]) - np.vstack(b[j])) ** 2).sum(1))
-    return out
-
-
 def _points(points: DataFrame, id_col: str, vec: str) -> DataFrame:
     part = [F.col("part")] if "part" in points.columns else [F.lit("").alias("part")]
     return points.select(F.col(id_col).alias("id"), *part, F.col(vec).cast("array<double>").alias("vec"))
 
 
 def radius_join(
-    points: DataFrame, eps: float, id_col: str = "id", vec: str = "vec", queries: DataFrame | None = None, block: int = 2000
+    points: DataFrame, eps: float, id_col: str = "id", vec: str = "vec", queries: DataFrame | None = None, block: int = LEAF
 ) -> DataFrame:
     """All pairs (id_q, id_p, dist) with ``dist <= eps`` and ``id_q != id_p``.
 
@@ -176,56 +47,65 @@ def radius_join(
     if eps <= 0:
         raise ValueError("eps must be positive")
     pts = _points(points, id_col, vec)
-    cells = build_cells(pts)
+    tree = build_tree(pts, block)
     asked = (pts if queries is None else _points(queries, id_col, vec)).withColumn("reach", F.lit(eps))
 
     def pairs(some, mem, d):
         qi, pi = np.nonzero(d <= eps * (1 + 1e-9) + 1e-7)
-        dist = _exact(some, mem, qi, pi)
+        dist = exact_distances(some, mem, qi, pi)
         idq, idp = some["id_q"].to_numpy()[qi], mem["id_p"].to_numpy()[pi]
         keep = (dist <= eps) & (idq != idp)
         return pd.DataFrame({"id_q": idq[keep], "id_p": idp[keep], "dist": dist[keep]})
 
-    return _search(cells, asked, "reach", pairs, _pair_schema(pts), block)
+    return meet(tree, visits(tree, asked), pairs, _pair_schema(pts))
+
 
+def _nearest_pairs(k: int):
+    """Pairs of every query with its k nearest points of a block; all that tie at the last place."""
 
-def knn(points: DataFrame, k: int, id_col: str = "id", vec: str = "vec", block: int = 2000) -> DataFrame:
+    def nearest(some, mem, d):
+        take = min(k, d.shape[1])
+        if take < d.shape[1]:
+            edge = np.partition(d, take - 1, axis=1)[:, take - 1]
+            qi, pi = np.nonzero(np.isfinite(d) & (d <= edge[:, None] * (1 + 1e-9) + 1e-7))
+        else:
+            qi, pi = np.nonzero(np.isfinite(d))
+        return pd.DataFrame({"id_q": some["id_q"].to_numpy()[qi], "id_p": mem["id_p"].to_numpy()[pi], "dist": exact_distances(some, mem, qi, pi)})
+
+    return nearest
+
+
+def knn(points: DataFrame, k: int, id_col: str = "id", vec: str = "vec", block: int = LEAF) -> DataFrame:
     """Exact k nearest neighbours of every point, itself included
     (id_q, j, id_p, dist) with j = 1..k.
 
-    The search of a point's own cell bounds its k-th distance (where the cell
-    has fewer points, the distances to the pivots do); then the cells within
-    that bound are searched. Each part returns its k nearest only."""
-    pts = _ckpt(_points(points, id_col, vec))
-    cells = build_cells(pts)
-    # no point has more neighbours than its part has points
-    size = pts.groupBy("part").agg(F.count("*").alias("_m"))
-    pts = pts.join(size, "part").select("id", "part", "vec", F.least(F.lit(int(k)), F.col("_m")).cast("int").alias("k"))
+    The search of a point's own leaf bounds its k-th distance (where the leaf
+    has fewer points, the counts of the cells above do); then the leaves within
+    that bound are searched. Each block returns its k nearest only."""
+    k = int(k)
+    pts = _points(points, id_col, vec)
+    return knn_in(build_tree(pts, block), k)
 
-    def nearest(some, mem, d):
-        take = min(k, d.shape[1])
-        pi = np.argpartition(d, take - 1, axis=1)[:, :take] if take < d.shape[1] else np.tile(np.arange(d.shape[1]), (len(d), 1))
-        qi = np.repeat(np.arange(len(d)), take)
-        pi = pi.ravel()
-        # ties at the last place: all of them, so that the smaller id can win
-        edge = d[np.arange(len(d))[:, None], pi.reshape(len(d), -1)].max(axis=1)
-        tied = np.nonzero(np.isfinite(d) & (d <= edge[:, None] * (1 + 1e-9) + 1e-7)) if take < d.shape[1] else (qi, pi)
-        qi, pi = tied
-        finite = np.isfinite(d[qi, pi])
-        qi, pi = qi[finite], pi[finite]
-        return pd.DataFrame({"id_q": some["id_q"].to_numpy()[qi], "id_p": mem["id_p"].to_numpy()[pi], "dist": _exact(some, mem, qi, pi)})
-
-    schema = _pair_schema(pts)
+
+def knn_in(tree, k: int) -> DataFrame:
+    """``knn`` over a tree that is built already."""
+    schema = _pair_schema(tree.members)
     window = Window.partitionBy("id_q").orderBy("dist", "id_p")
 
     def best(found: DataFrame) -> DataFrame:
         return found.withColumn("j", F.row_number().over(window)).where(F.col("j") <= k)
 
-    own = best(_search(cells, pts.withColumn("reach", F.lit(0.0)), "reach", nearest, schema, block, own_cell=True))
-    bound = own.groupBy("id_q").agg(F.max("j").alias("_j"), F.max("dist").alias("_d"))
+    own = tree.members.join(tree.leaves(), "cell")
+    found = best(meet(tree, own.select("id", "part", "vec", "cell", "n"), _nearest_pairs(k), schema))
+    if not tree.levels:  # every part is one leaf
+        return found.select("id_q", "j", "id_p", "dist")
+    # no point has more neighbours than its part has points
+    size = tree.roots.select(F.col("cell").alias("_root"), F.least(F.lit(k), F.col("n")).cast("int").alias("k"))
+    bound = found.groupBy("id_q").agg(F.max("j").alias("_j"), F.max("dist").alias("_d"))
+    asked = tree.members.join(size, F.hex("part") == F.col("_root")).join(bound, F.col("id") == F.col("id_q"), "left")
     reach = F.when(F.col("_j") >= F.col("k"), F.col("_d")).otherwise(F.lit(float("inf")))
-    asked = _ckpt(pts.join(bound, F.col("id") == F.col("id_q"), "left").select("id", "part", "vec", reach.alias("reach")))
-    return best(_search(cells, asked, "reach", nearest, schema, block, least=int(k))).select("id_q", "j", "id_p", "dist")
+    asked = _ckpt(asked.select("id", "part", "vec", reach.alias("reach"), "k"))
+    return best(meet(tree, visits(tree, asked), _nearest_pairs(k), schema)).select("id_q", "j", "id_p", "dist")
 
 
 def k_distance_curve(neigh: DataFrame) -> DataFrame:
@@ -332,13 +212,13 @@ def _forest(n_left: int, n_right: int, qi: np.ndarray, pi: np.ndarray, same: np.
     return np.array(keep, dtype=int)
 
 
-def dbscan(points: DataFrame, eps: float, id_col: str = "id", vec: str = "vec", block: int = 2000) -> DataFrame:
+def dbscan(points: DataFrame, eps: float, id_col: str = "id", vec: str = "vec", block: int = LEAF) -> DataFrame:
     """V10 with min samples 1: every point is core, clusters are the
     connected components of the graph of pairs within ``eps``; no noise.
     Of the pairs only a spanning forest of each block leaves its task."""
     eps = float(eps)
     pts = _points(points, id_col, vec)
-    cells = build_cells(pts)
+    tree = build_tree(pts, block)
 
     def forest(some, mem, d):
         qi, pi = np.nonzero(d <= eps * (1 + 1e-9) + 1e-7)
@@ -346,12 +226,12 @@ def dbscan(points: DataFrame, eps: float, id_col: str = "id", vec: str = "vec",
         if close.any():
             near = np.flatnonzero(close)
             ok = np.ones(len(qi), bool)
-            ok[near] = _exact(some, mem, qi[near], pi[near]) <= eps
+            ok[near] = exact_distances(some, mem, qi[near], pi[near]) <= eps
             qi, pi = qi[ok], pi[ok]
         place = {x: i for i, x in enumerate(some["id_q"])}
         same = np.array([place.get(x, -1) for x in mem["id_p"]])
         keep = _forest(len(some), len(mem), qi, pi, same)
         return pd.DataFrame({"id_q": some["id_q"].to_numpy()[qi[keep]], "id_p": mem["id_p"].to_numpy()[pi[keep]], "dist": d[qi[keep], pi[keep]]})
 
-    edges = _search(cells, pts.withColumn("reach", F.lit(eps)), "reach", forest, _pair_schema(pts), block).where("id_q <> id_p")
+    edges = meet(tree, visits(tree, pts.withColumn("reach", F.lit(eps))), forest, _pair_schema(pts)).where("id_q <> id_p")
     return connected_components(pts.select("id"), edges).withColumnRenamed("id", id_col)

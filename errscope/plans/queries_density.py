@@ -67,12 +67,21 @@ def q_knee_epsilon(spark, sf):
     return spark.range(1).select(F.round(F.lit(eps), 6).alias("epsilon"))
 
 
-@register("radius_join", K_SQL + "SELECT id_q, id_p, round(dist, 6) AS dist FROM pairs")
+#: Radius of ``radius_join``: about the distance of a vector's nearest neighbours.
+RADIUS = 1.1
+
+
+@register(
+    "radius_join",
+    f"""
+SELECT a.vec_id AS id_q, b.vec_id AS id_p, round(list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS dist
+FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id
+WHERE list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) <= {RADIUS}
+""",
+)
 def q_radius_join(spark, sf):
-    """All pairs within the knee epsilon (exact, grid over leading coordinates)."""
-    cells, nb = _knn(spark, sf)
-    eps = D.knee_epsilon(D.k_distance_curve(nb))
-    pairs = D.radius_join(cells, eps)
+    """All pairs of embeddings within a fixed radius (exact, over the metric tree)."""
+    pairs = D.radius_join(_cells(spark, sf), RADIUS)
     return pairs.select("id_q", "id_p", F.round("dist", 6).alias("dist"))
 
 
@@ -101,3 +110,71 @@ def q_agglomerative(spark, sf):
     from ..operators.agglomerative import ward_clusters
 
     return ward_clusters(_cells(spark, sf), 1.0)
+
+
+#: Smallest cluster of ``hdbscan`` over the suppliers, of which the tables hold few.
+SUPPLIERS_OF_A_CLUSTER = 5
+
+# The hierarchy restated over sets of points: what each side of a spanning tree edge
+# holds just before it merges them, which merges join two large sides, and the
+# clusters from the smallest up.
+HDBSCAN_SQL = f"""
+WITH RECURSIVE m AS (SELECT {SUPPLIERS_OF_A_CLUSTER} AS least),
+pts AS (SELECT s_suppkey AS id, CAST(s_acctbal AS DOUBLE) / 1000.0 AS x, CAST(s_nationkey AS DOUBLE) / 2.0 AS y FROM supplier),
+pairs AS MATERIALIZED (
+  SELECT a, b, w, row_number() OVER (ORDER BY w, a, b) AS rk FROM (
+    SELECT p.id AS a, q.id AS b, sqrt((p.x - q.x) * (p.x - q.x) + (p.y - q.y) * (p.y - q.y)) AS w FROM pts p JOIN pts q ON p.id < q.id)),
+grown AS (
+  SELECT 1 AS i, [min(id)] AS seen, NULL::BIGINT AS rk FROM pts
+  UNION ALL
+  SELECT i, list_append(seen, node), rk FROM (
+    SELECT g.i + 1 AS i, g.seen, CASE WHEN list_contains(g.seen, p.a) THEN p.b ELSE p.a END AS node, p.rk, row_number() OVER (ORDER BY p.rk) AS first
+    FROM grown g JOIN pairs p ON list_contains(g.seen, p.a) <> list_contains(g.seen, p.b)) WHERE first = 1),
+tree AS MATERIALIZED (SELECT p.a, p.b, p.w, row_number() OVER (ORDER BY p.rk) AS r FROM pairs p WHERE p.rk IN (SELECT rk FROM grown)),
+reach AS (
+  SELECT r, 'a' AS side, a AS node FROM tree UNION ALL SELECT r, 'b', b FROM tree
+  UNION
+  SELECT s.r, s.side, CASE WHEN t.a = s.node THEN t.b ELSE t.a END FROM reach s JOIN tree t ON t.r < s.r AND (t.a = s.node OR t.b = s.node)),
+held AS MATERIALIZED (SELECT * FROM reach),
+sizes AS (SELECT r, count(*) FILTER (WHERE side = 'a') AS sa, count(*) FILTER (WHERE side = 'b') AS sb FROM held GROUP BY r),
+nodes AS MATERIALIZED (
+  SELECT r, CASE WHEN w > 0 THEN 1 / w ELSE 'inf'::DOUBLE END AS lam, sa, sb, sa + sb AS size, sa >= least AND sb >= least AS splits
+  FROM tree JOIN sizes USING (r), m),
+inner_top AS (
+  SELECT h.r, h.side, max(t.r) AS top FROM held h JOIN tree t ON t.r < h.r AND t.a = h.node GROUP BY h.r, h.side),
+tops AS MATERIALIZED (
+  SELECT r AS top, NULL::BIGINT AS parent, 0.0 AS birth FROM nodes, m WHERE r = (SELECT max(r) FROM nodes) AND size >= least
+  UNION ALL
+  SELECT i.top, n.r, n.lam FROM nodes n JOIN inner_top i ON i.r = n.r WHERE n.splits),
+of_node AS MATERIALIZED (
+  SELECT n.r, min(t.top) AS cluster FROM nodes n JOIN tree e ON e.r = n.r JOIN tops t ON t.top >= n.r JOIN held h ON h.r = t.top AND h.node = e.a GROUP BY n.r),
+gains AS (
+  SELECT c.cluster, sum(CASE WHEN n.lam > t.birth THEN (n.lam - t.birth) * CASE WHEN n.splits THEN n.size
+    ELSE CASE WHEN n.sa < least THEN n.sa ELSE 0 END + CASE WHEN n.sb < least THEN n.sb ELSE 0 END END ELSE 0.0 END) AS stability
+  FROM nodes n JOIN of_node c ON c.r = n.r JOIN tops t ON t.top = c.cluster, m WHERE n.size >= least GROUP BY c.cluster),
+ranked AS MATERIALIZED (
+  SELECT t.top, p.cluster AS above, g.stability, row_number() OVER (ORDER BY t.top) AS k
+  FROM tops t JOIN gains g ON g.cluster = t.top LEFT JOIN of_node p ON p.r = t.parent),
+scored AS (
+  SELECT 0::BIGINT AS k, []::DOUBLE[] AS scores, []::BOOLEAN[] AS own
+  UNION ALL
+  SELECT s.k + 1, list_append(s.scores, greatest(c.stability, c.below)), list_append(s.own, c.above IS NOT NULL AND c.stability >= c.below)
+  FROM (SELECT s.k, s.scores, s.own, c.stability, c.above,
+          coalesce((SELECT sum(s.scores[d.k]) FROM ranked d WHERE d.above = c.top), 0.0) AS below
+        FROM scored s JOIN ranked c ON c.k = s.k + 1) AS c JOIN scored s ON s.k = c.k),
+picked AS (SELECT r.top FROM ranked r, (SELECT own FROM scored ORDER BY k DESC LIMIT 1) WHERE own[r.k]),
+label AS (SELECT p.id, max(k.top) AS kept FROM pts p LEFT JOIN held h ON h.node = p.id LEFT JOIN picked k ON k.top = h.r GROUP BY p.id)
+SELECT id, min(id) OVER (PARTITION BY kept) AS component, kept IS NULL AS noise FROM label
+"""
+
+
+@register("hdbscan", HDBSCAN_SQL)
+def q_hdbscan(spark, sf):
+    """Hierarchical density clusters of the suppliers by balance and nation."""
+    from ..operators.hdbscan import hdbscan
+    from ..sources.tables import read_table
+
+    x = F.col("s_acctbal").cast("double") / 1000.0
+    y = F.col("s_nationkey").cast("double") / 2.0
+    points = read_table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.array(x, y).alias("vec"))
+    return hdbscan(points, SUPPLIERS_OF_A_CLUSTER)
