@@ -10,10 +10,16 @@ remaining group, absorb every remaining group whose token similarity to it is
    ``n - ceil(t*n) + 1`` items of each; a length filter is part of the join
    condition. Candidates are verified with the built-in ``levenshtein`` on
    strings holding one character per token of the pair.
-2. ``leader_assignment`` resolves the loop in rounds: a group is a leader
-   when no higher-priority neighbour is a leader; a group joins the
-   highest-priority leader among its higher-priority neighbours. This is
-   exactly the sequential result for the same priority order.
+2. ``leader_clustering`` takes undecided groups in blocks of falling priority.
+   A block is as large as its prefix items allow for a number of candidates in
+   proportion to its groups. ``leader_assignment`` resolves the loop within the
+   block, in rounds: a group is a leader when no higher-priority neighbour is a
+   leader; a group joins the highest-priority leader among its higher-priority
+   neighbours. Then all groups that are still undecided probe an inverted
+   prefix index that holds the block's new leaders only. They were similar to no
+   earlier leader, so the first of these that they are similar to is theirs.
+   This is exactly the sequential result for the same priority order, and m
+   similar groups cost about m pairs, not m squared.
 """
 
 from __future__ import annotations
@@ -26,6 +32,7 @@ from pyspark.sql import functions as F
 from ..functions.similarity import ratio
 from ..session import checkpoint_root
 from . import tokens as K
+from .ordering import global_row_number
 
 EPS = 1e-9
 
@@ -42,8 +49,8 @@ def _pair_codes(a, b):
     return enc(a), enc(b)
 
 
-def candidate_pairs(groups: DataFrame, threshold: float, key: str = "hash", seq: str = "sequence", by: Sequence[str] = ()) -> DataFrame:
-    """Prefix-filter candidates (by..., key_a, key_b) with key_a < key_b."""
+def prefix_items(groups: DataFrame, threshold: float, key: str = "hash", seq: str = "sequence", by: Sequence[str] = ()) -> DataFrame:
+    """(by..., key, len, token, occ): the first items of each sequence, rarest first."""
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be in (0, 1]")
     g = groups.select(*by, key, F.size(seq).alias("len"), seq)
@@ -54,24 +61,28 @@ def candidate_pairs(groups: DataFrame, threshold: float, key: str = "hash", seq:
         "r", F.row_number().over(Window.partitionBy(*by, key).orderBy("tf", "token", "occ"))
     )
     plen = F.col("len") - F.ceil(F.col("len") * F.lit(threshold) - F.lit(EPS)) + 1
-    prefix = ranked.where(F.col("r") <= plen).select(*by, key, "len", "token", "occ")
-    a = prefix.select(*by, F.col(key).alias("key_a"), F.col("len").alias("len_a"), "token", "occ")
-    b = prefix.select(*by, F.col(key).alias("key_b"), F.col("len").alias("len_b"), "token", "occ")
-    cond = [*by, "token", "occ"]
-    pairs = a.join(b, cond).where(
-        (F.col("key_a") < F.col("key_b"))
-        & (F.least("len_a", "len_b") >= F.greatest("len_a", "len_b") * F.lit(threshold) - F.lit(EPS))
-    )
-    return pairs.select(*by, "key_a", "key_b").distinct()
+    return ranked.where(F.col("r") <= plen).select(*by, key, "len", "token", "occ")
 
 
-def similarity_join(
-    groups: DataFrame, threshold: float = 0.8, key: str = "hash", seq: str = "sequence", by: Sequence[str] = ()
-) -> DataFrame:
-    """All pairs (by..., key_a, key_b, similarity) with token similarity >= threshold.
+def _meeting(left: DataFrame, right: DataFrame, threshold: float, key: str, by: Sequence[str]) -> DataFrame:
+    """(by..., key_a, key_b): sequences of two tables of prefix items that share
+    one and may be similar by their lengths."""
+    a = left.select(*by, F.col(key).alias("key_a"), F.col("len").alias("len_a"), "token", "occ")
+    b = right.select(*by, F.col(key).alias("key_b"), F.col("len").alias("len_b"), "token", "occ")
+    near = F.least("len_a", "len_b") >= F.greatest("len_a", "len_b") * F.lit(threshold) - F.lit(EPS)
+    return a.join(b, [*by, "token", "occ"]).where(near & (F.col("key_a") != F.col("key_b"))).select(*by, "key_a", "key_b")
+
+
+def candidate_pairs(groups: DataFrame, threshold: float, key: str = "hash", seq: str = "sequence", by: Sequence[str] = ()) -> DataFrame:
+    """Prefix-filter candidates (by..., key_a, key_b) with key_a < key_b."""
+    prefix = prefix_items(groups, threshold, key, seq, by)
+    return _meeting(prefix, prefix, threshold, key, by).where(F.col("key_a") < F.col("key_b")).distinct()
+
+
+def verified_pairs(cand: DataFrame, groups: DataFrame, threshold: float, key: str = "hash", seq: str = "sequence", by: Sequence[str] = ()) -> DataFrame:
+    """(by..., key_a, key_b, similarity) of the candidates that are similar enough.
 
     Tokens are numbered within each pair, so the vocabulary may have any size."""
-    cand = candidate_pairs(groups, threshold, key, seq, by)
     ga = groups.select(*by, F.col(key).alias("key_a"), F.col(seq).alias("seq_a"))
     gb = groups.select(*by, F.col(key).alias("key_b"), F.col(seq).alias("seq_b"))
     j = cand.join(ga, [*by, "key_a"]).join(gb, [*by, "key_b"])
@@ -85,6 +96,13 @@ def similarity_join(
     return j.select(*by, "key_a", "key_b", "similarity")
 
 
+def similarity_join(
+    groups: DataFrame, threshold: float = 0.8, key: str = "hash", seq: str = "sequence", by: Sequence[str] = ()
+) -> DataFrame:
+    """All pairs (by..., key_a, key_b, similarity) with token similarity >= threshold."""
+    return verified_pairs(candidate_pairs(groups, threshold, key, seq, by), groups, threshold, key, seq, by)
+
+
 def leader_assignment(
     groups: DataFrame,
     edges: DataFrame,
@@ -157,11 +175,75 @@ def leader_assignment(
     )
 
 
+#: A block may have this many candidates for each of its groups, and this many in any case.
+PAIRS_PER_GROUP = 64
+PAIRS_AT_LEAST = 1_000_000
+
+
+def leaders_in_blocks(
+    groups: DataFrame,
+    accuracy: float = 0.8,
+    key: str = "hash",
+    seq: str = "sequence",
+    weight: str = "cluster_size",
+    by: Sequence[str] = (),
+    pairs_per_group: int = PAIRS_PER_GROUP,
+    pairs_at_least: int = PAIRS_AT_LEAST,
+) -> tuple[DataFrame, int]:
+    """((by..., key, leader) of all groups, number of pairs that were verified)."""
+    prefix = _ckpt(prefix_items(groups, accuracy, key, seq, by))
+    ids = [*by, key]
+    left = groups.select(*ids, weight)
+    total = left.count()
+    done, pairs, share = None, 0, 1.0
+    ranked = False
+    while total:
+        block = left
+        while True:
+            if share < 1:
+                if not ranked:
+                    # places in the order of priority, which cut blocks off
+                    left = _ckpt(global_row_number(left.withColumn("_w", -F.col(weight)), ["_w", key, *by], "_place").drop("_w"))
+                    ranked = True
+                cut = left.agg(F.percentile_approx("_place", share, 10_000)).first()[0]
+                block = left.where(F.col("_place") <= cut)
+            size = block.count() if share < 1 else total
+            items = prefix if share == 1 and done is None else prefix.join(block.select(*ids), ids, "left_semi")
+            met = items.groupBy(*by, "token", "occ").agg(F.count("*").alias("_n")).agg(F.sum(F.col("_n") * (F.col("_n") - 1) / 2)).first()[0] or 0
+            if met <= max(pairs_at_least, pairs_per_group * size) or size <= 2:
+                break
+            share = max(share / 4, 1.5 / total)
+        members = groups.join(block.select(*ids), ids, "left_semi")
+        cand = _ckpt(_meeting(items, items, accuracy, key, by).where(F.col("key_a") < F.col("key_b")).distinct())
+        pairs += cand.count()
+        edges = verified_pairs(cand, members, accuracy, key, seq, by)
+        found = leader_assignment(members, edges, key, weight, by)
+        found = _ckpt(found)
+        done = found if done is None else done.unionByName(found)
+        if size == total:
+            break
+        rest = left.join(block.select(*ids), ids, "left_anti")
+        leaders = found.where(F.col(key) == F.col("leader")).select(*ids)
+        probed = _meeting(prefix.join(leaders, ids, "left_semi"), prefix.join(rest.select(*ids), ids, "left_semi"), accuracy, key, by).distinct()
+        probed = _ckpt(probed)
+        pairs += probed.count()
+        near = verified_pairs(probed, groups, accuracy, key, seq, by)
+        order = groups.select(*by, F.col(key).alias("key_a"), F.col(weight).alias("_w"))
+        joined = near.join(order, [*by, "key_a"]).groupBy(*by, "key_b").agg(F.min_by("key_a", F.struct(-F.col("_w"), F.col("key_a"))).alias("leader"))
+        joined = _ckpt(joined.select(*by, F.col("key_b").alias(key), "leader"))
+        done = done.unionByName(joined)
+        left = _ckpt(rest.join(joined.select(*ids), ids, "left_anti"))
+        total = left.count()
+        share = min(1.0, share * 4)
+    if done is None:
+        done = groups.select(*ids, F.col(key).alias("leader"))
+    return done, pairs
+
+
 def leader_clustering(
     groups: DataFrame, accuracy: float = 0.8, key: str = "hash", seq: str = "sequence", weight: str = "cluster_size", by: Sequence[str] = ()
 ) -> DataFrame:
     """V14/V15 assignment: groups with their leader key. ``groups`` is read
     several times, so callers pass a checkpointed or written table."""
-    edges = similarity_join(groups, accuracy, key, seq, by)
-    assign = leader_assignment(groups, edges, key, weight, by)
+    assign, _ = leaders_in_blocks(groups, accuracy, key, seq, weight, by)
     return groups.join(assign, [*by, key])

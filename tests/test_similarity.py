@@ -101,3 +101,34 @@ def test_empty_sequence_is_its_own_cluster(spark):
     df = spark.createDataFrame(groups, "hash string, cluster_size long, sequence array<string>")
     got = {r.hash: r.leader for r in S.leader_clustering(df, 0.8).collect()}
     assert got == {"a": "a", "b": "b", "c": "a"}
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+@pytest.mark.parametrize("least", [0, 40])
+def test_blocks_of_falling_priority_equal_the_loop(spark, seed, least):
+    groups = random_groups(seed, 70)
+    df = spark.createDataFrame(groups, "hash string, cluster_size int, sequence array<string>")
+    found, _ = S.leaders_in_blocks(df, 0.7, pairs_per_group=1, pairs_at_least=least)
+    assert {r.hash: r.leader for r in found.collect()} == sequential(groups, 0.7)
+
+
+def test_blocks_within_keys(spark):
+    rows = [(site, *g) for site, seed in (("a", 5), ("b", 6), (None, 7)) for g in random_groups(seed, 40)]
+    df = spark.createDataFrame(rows, "site string, hash string, cluster_size int, sequence array<string>").where("site is not null")
+    found, _ = S.leaders_in_blocks(df, 0.7, by=["site"], pairs_per_group=1, pairs_at_least=10)
+    got = {(r.site, r.hash): r.leader for r in found.collect()}
+    want = {(s, h): lead for s in "ab" for h, lead in sequential([g[1:] for g in rows if g[0] == s], 0.7).items()}
+    assert got == want
+
+
+def test_similar_groups_cost_pairs_in_proportion(spark):
+    """m groups of one cluster: every one is held against its leader, not against the others."""
+    words = [f"w{i}" for i in range(20)]
+    cost = []
+    for m in (400, 1600):
+        groups = [(f"h{i:05d}", m - i, [*words[: i % 20], f"x{i}", *words[i % 20 + 1 :]]) for i in range(m)]
+        df = spark.createDataFrame(groups, "hash string, cluster_size int, sequence array<string>").checkpoint()
+        found, pairs = S.leaders_in_blocks(df, 0.8, pairs_per_group=8, pairs_at_least=100)
+        assert {r.leader for r in found.collect()} == {"h00000"}
+        cost.append(pairs / m)
+    assert cost[1] < 2 * cost[0] and cost[1] < 10
