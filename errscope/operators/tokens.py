@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import keep_alpha_tokens, lower_tokens
+from ..session import written
 
 
 def explode_tokens(df: DataFrame, tokens: str, keys: Sequence[str]) -> DataFrame:
@@ -37,6 +38,7 @@ def frequent_token_sequences(
 ) -> DataFrame:
     """(by..., id, out): tokens whose corpus count is >= ``min_count``, in order.
 
+    The tokens are written once, as both the count and the filter read them.
     With ``min_count`` 2 a rare token occurs once, so the count by token also
     tells in which row it stands: only rare tokens go back to their rows, whose
     arrays are filtered. Above 2 the frequent tokens are marked by a join and
@@ -44,12 +46,9 @@ def frequent_token_sequences(
     keys = [*by, id_col]
     if min_count <= 1:
         return df.select(*keys, F.col(tokens).alias(out))
+    df = written(df.select(*keys, tokens), "tokens")
     if min_count == 2:
-        ex = df.select(*keys, F.explode(tokens).alias("token"))
-        once = ex.groupBy(*by, "token").agg(F.count("*").alias("_n"), F.min(id_col).alias(id_col)).where("_n = 1")
-        rare = once.groupBy(*keys).agg(F.collect_list("token").alias("_rare"))
-        kept = F.when(F.col("_rare").isNull(), F.col(tokens)).otherwise(F.filter(tokens, lambda t: ~F.array_contains("_rare", t)))
-        return df.select(*keys, tokens).join(rare, keys, "left").select(*keys, kept.alias(out))
+        return _without_rare(df, tokens, keys, by, id_col, out).select(*keys, out)
     ex = explode_tokens(df, tokens, keys)
     frequent = (
         term_frequency(df, tokens, by).where(F.col("frequency") >= min_count).select(*by, "token", F.lit(True).alias("_keep"))
@@ -59,21 +58,29 @@ def frequent_token_sequences(
     return marked.groupBy(*keys).agg(F.sort_array(F.collect_list(kept)).alias("_pt")).select(*keys, F.col("_pt.t").alias(out))
 
 
+def _without_rare(df: DataFrame, tokens: str, keys: Sequence[str], by: Sequence[str], id_col: str, out: str) -> DataFrame:
+    """``df`` with its tokens that occur once in all left out of ``out``."""
+    ex = df.select(*keys, F.explode(tokens).alias("token"))
+    once = ex.groupBy(*by, "token").agg(F.count("*").alias("_n"), F.min(id_col).alias(id_col)).where("_n = 1")
+    rare = once.groupBy(*keys).agg(F.collect_list("token").alias("_rare"))
+    kept = F.when(F.col("_rare").isNull(), F.col(tokens)).otherwise(F.filter(tokens, lambda t: ~F.array_contains("_rare", t)))
+    return df.join(rare, list(keys), "left").withColumn(out, kept).drop("_rare")
+
+
 def drop_rare_tokens(
     df: DataFrame, tokens: str, id_col: str, by: Sequence[str] = (), min_count: int = 2, out: str | None = None
 ) -> DataFrame:
     """T3 (with J8): keep tokens whose total count over the corpus is >= ``min_count``.
 
     Order is kept; a row whose tokens are all rare (or that has none) keeps an
-    empty array (left join back, Q19)."""
+    empty array (Q19)."""
     out = out or tokens
     keys = [*by, id_col]
+    empty = F.array().cast("array<string>")
+    if min_count == 2:
+        return _without_rare(written(df, "tokens"), tokens, keys, by, id_col, out).withColumn(out, F.coalesce(out, empty))
     rebuilt = frequent_token_sequences(df, tokens, id_col, by, min_count, "_kept")
-    return (
-        df.join(rebuilt, keys, "left")
-        .withColumn(out, F.coalesce(F.col("_kept"), F.array().cast("array<string>")))
-        .drop("_kept")
-    )
+    return df.join(rebuilt, keys, "left").withColumn(out, F.coalesce(F.col("_kept"), empty)).drop("_kept")
 
 
 def vocabulary_semi_join(df: DataFrame, tokens: str, id_col: str, vocab: DataFrame, out: str | None = None) -> DataFrame:

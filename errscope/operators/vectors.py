@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.constants import SPACER
 from ..functions.text import clean_message, tokenize_message
+from .embedding import current_version, load, store, train_word_vectors
 from .grouping import distinct_sequences
 
 
@@ -48,17 +50,22 @@ def word2vec_create(
     return w2v.fit(df.select(tokens))
 
 
-def append_corpus(new: DataFrame, corpus_path: str, tokens: str = "sequence") -> None:
-    """Add sequences to a stored training corpus."""
-    new.select(F.col(tokens).alias("tokens")).write.mode("append").parquet(corpus_path)
+def vector_table(model: Word2VecModel, df: DataFrame, tokens: str = "sequence") -> DataFrame:
+    """(word, vec, out, n): a fitted model as the table that training can go on from."""
+    counts = vector_vocabulary_counts(df, tokens).withColumnRenamed("count", "n")
+    rows = model.getVectors().select("word", vector_to_array("vector", "float32").alias("vec"))
+    zeros = F.array_repeat(F.lit(0.0).cast("float"), model.getVectorSize())
+    return rows.join(counts, "word").select("word", "vec", zeros.alias("out"), "n")
 
 
-def word2vec_update(spark, corpus_path: str, new: DataFrame, tokens: str = "sequence", iterations: int = 30, **kw) -> Word2VecModel:
-    """V2: Spark cannot continue training a model; the training corpus is kept
-    as a table, the new sequences are appended, and the model is refitted."""
-    append_corpus(new, corpus_path, tokens)
-    corpus = spark.read.parquet(corpus_path).withColumnRenamed("tokens", tokens)
-    return word2vec_create(corpus, tokens, iterations=iterations, **kw)
+def word2vec_update(spark, path: str, new: DataFrame, tokens: str = "sequence", iterations: int = 30, window: int = 7, **kw) -> DataFrame:
+    """V2: go on training the model stored at ``path`` with the new sequences (a
+    model is created where none is stored) and store the result as its next
+    version. The texts of earlier trainings are not read again."""
+    stored = None if current_version(spark, path) is None else load(spark, path)
+    model, _ = train_word_vectors(new, stored, tokens, window=window, passes=iterations, **kw)
+    store(model, path)
+    return load(spark, path)
 
 
 def save_model(model, path: str) -> str:
@@ -104,21 +111,3 @@ def pca_reduce(df: DataFrame, k: int, width: int, vec: str = "vector", out: str
         return df.withColumn(out, F.col(vec)), None
     model = PCA(k=k, inputCol=vec, outputCol=out).fit(df.select(vec))
     return model.transform(df), model
-
-
-def document_vectors(model: Word2VecModel, docs: DataFrame, doc_col: str, tokens: str = "sequence") -> DataFrame:
-    """V6 substitute (Spark has no doc2vec): IDF-weighted mean of the word
-    vectors of each document (``Summarizer`` mean with a weight column)."""
-    from pyspark.ml.stat import Summarizer
-
-    words = model.getVectors().withColumnRenamed("word", "token")
-    ex = docs.select(doc_col, F.explode(tokens).alias("token"))
-    n_docs = docs.agg(F.count("*")).scalar()
-    dfreq = ex.distinct().groupBy("token").agg(F.count("*").alias("df"))
-    w = ex.join(dfreq, "token").withColumn("idf", F.log(n_docs.cast("double") / F.col("df")) + 1).join(words, "token")
-    means = w.groupBy(doc_col).agg(Summarizer.mean(F.col("vector"), F.col("idf")).alias("_m"))
-    # a document without known words gets the zero vector (as in V4)
-    from pyspark.ml.functions import array_to_vector
-
-    zero = array_to_vector(F.array_repeat(F.lit(0.0), model.getVectorSize()))
-    return docs.select(doc_col).join(means, doc_col, "left").select(doc_col, F.coalesce("_m", zero).alias("doc_vector"))

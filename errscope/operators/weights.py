@@ -58,11 +58,22 @@ def mask_heavy_terms(docs: DataFrame, doc_col: str, tokens: str, weights: DataFr
 
 def tfidf_normalised(docs: DataFrame, doc_col: str, tokens: str) -> DataFrame:
     """F8: raw count x log2(N / df), L2-normalised per document; zero weights dropped."""
-    counts = doc_term_counts(docs, doc_col, tokens)
+    return tfidf_apply(docs, doc_col, tokens, tfidf_model(docs, doc_col, tokens))
+
+
+def tfidf_model(docs: DataFrame, doc_col: str, tokens: str) -> DataFrame:
+    """(term, df, n_docs): what F8 learns from a corpus. ``embedding.store`` and
+    ``load`` keep it as a versioned table (S14)."""
     n_docs = docs.agg(F.count("*")).scalar()
-    dfreq = document_frequency(counts)
-    w = counts.join(dfreq, "term").withColumn("_w", F.col("count") * F.log2(n_docs.cast("double") / F.col("df")))
-    w = w.where(F.abs(F.col("_w")) > 1e-12)
+    return document_frequency(doc_term_counts(docs, doc_col, tokens)).withColumn("n_docs", n_docs)
+
+
+def tfidf_apply(docs: DataFrame, doc_col: str, tokens: str, model: DataFrame) -> DataFrame:
+    """F8 with the frequencies of a model: (doc, term, weight) of documents that
+    its corpus need not hold. Terms that the model doesn't know have no weight."""
+    counts = doc_term_counts(docs, doc_col, tokens)
+    idf = F.log2(F.col("n_docs").cast("double") / F.col("df"))
+    w = counts.join(model, "term").withColumn("_w", F.col("count") * idf).where(F.abs(F.col("_w")) > 1e-12)
     norm = w.groupBy(doc_col).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norm"))
     return w.join(norm, doc_col).select(doc_col, "term", (F.col("_w") / F.col("_norm")).alias("weight"))
 

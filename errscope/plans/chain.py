@@ -26,7 +26,7 @@ class ChainSettings:
     tokenizer_type: str = "conservative"
     matching_accuracy: float = 0.8
     clustering_type: str = "SIMILARITY"  # or "ML"
-    algorithm: str = "dbscan"  # dbscan | hierarchical
+    algorithm: str = "dbscan"  # dbscan | hdbscan | hierarchical
     epsilon: float | None = None  # radius of dbscan; None: the knee of the k-distance curve
     add_placeholder: bool = False
     min_count: int = 2  # tokens seen fewer times are dropped before hashing
@@ -35,7 +35,6 @@ class ChainSettings:
     w2v_iterations: int = 10
     mode: str = "create"  # create | update | process
     model_path: str | None = None
-    corpus_path: str | None = None
     phrases_as_array: bool = False
     extra: dict = field(default_factory=dict)
 
@@ -52,14 +51,12 @@ class ChainRun:
 def _check(st: ChainSettings) -> None:
     if st.clustering_type.upper() not in ("SIMILARITY", "ML"):
         raise ValueError(f"unknown clustering type {st.clustering_type!r}")
-    if st.algorithm not in ("dbscan", "hierarchical"):
-        raise ValueError(f"unknown algorithm {st.algorithm!r}; there are dbscan and hierarchical")
+    if st.algorithm not in ("dbscan", "hdbscan", "hierarchical"):
+        raise ValueError(f"unknown algorithm {st.algorithm!r}; there are dbscan, hdbscan and hierarchical")
     if st.mode not in ("create", "update", "process"):
         raise ValueError(f"unknown mode {st.mode!r}")
-    if st.mode == "update" and not st.corpus_path:
-        raise ValueError("mode update needs the corpus_path of the earlier training")
-    if st.mode == "process" and not st.model_path:
-        raise ValueError("mode process needs a model_path")
+    if st.mode in ("update", "process") and not st.model_path:
+        raise ValueError(f"mode {st.mode} needs a model_path")
 
 
 def cluster_messages(

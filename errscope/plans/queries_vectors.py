@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from ..operators import embedding as E
 from ..operators import grouping as G
+from ..operators import similarity as S
 from ..operators import tokens as K
 from ..operators import vectors as V
 from ..session import scratch_path
@@ -65,6 +67,31 @@ def q_sentence_vectors(spark, sf):
     return sv.select("hash", F.forall(vector_to_array("vector"), lambda x: x == 0).alias("is_zero"))
 
 
+@register(
+    "mean_vectors",
+    MSG_GROUPS_SQL
+    + """
+, tok AS (SELECT hash, len(sequence) AS n, unnest(sequence) AS t FROM groups),
+known AS (SELECT vec_id, embedding FROM embeddings),
+met AS (SELECT hash, n, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS d FROM tok LEFT JOIN known ON vec_id = length(t)),
+sums AS (SELECT hash, n, d, sum(CAST(x AS DOUBLE)) / n AS x FROM met WHERE d <= 3 GROUP BY hash, n, d)
+SELECT g.hash, d.d::INTEGER AS place, coalesce(round(s.x, 6), 0.0) AS x
+FROM groups g CROSS JOIN (SELECT unnest([1, 2, 3]) AS d) d LEFT JOIN sums s ON s.hash = g.hash AND s.d = d.d
+""",
+)
+def q_mean_vectors(spark, sf):
+    """V3 + V4: a stored model (the vector of a word is the embedding numbered by its
+    length) is loaded, and gives every group the mean of its words; its first three numbers."""
+    groups = S._ckpt(message_groups(spark, sf))
+    words = K.vocabulary(groups, "sequence").select(F.col("token").alias("word"), F.length("token").cast("long").alias("vec_id"))
+    vectors = fx.vectors(spark, sf).select("vec_id", F.col("embedding").alias("vec"))
+    path = scratch_path(spark, "named-vectors")
+    E.store(words.join(vectors, "vec_id").select("word", "vec"), path)
+    means = E.mean_vectors(E.load(spark, path), groups)
+    each = means.select("hash", F.posexplode(F.slice("vector", 1, 3)).alias("place", "x"))
+    return each.select("hash", (F.col("place") + 1).alias("place"), (F.round("x", 6) + 0.0).alias("x"))
+
+
 @register(
     "word2vec_update",
     MSG_GROUPS_SQL
@@ -75,12 +102,12 @@ SELECT DISTINCT word FROM (SELECT unnest(sequence) AS word FROM groups UNION ALL
 """,
 )
 def q_word2vec_update(spark, sf):
-    """V2: the prose groups are a stored corpus, the turn groups update it; the vocabulary is that of both."""
-    corpus = scratch_path(spark, "w2v-corpus")
-    V.append_corpus(message_groups(spark, sf), corpus)
+    """V2: the model of the prose groups is stored, the turn groups go on training it; the vocabulary is that of both."""
+    path = scratch_path(spark, "word-vectors")
+    groups = S._ckpt(message_groups(spark, sf))
+    E.store(V.vector_table(V.word2vec_create(groups), groups), path)
     turns = G.group_equal_messages(G.prepare_sequences(fx.turns(spark, sf)))
-    model = V.word2vec_update(spark, corpus, turns)
-    return model.getVectors().select("word")
+    return V.word2vec_update(spark, path, turns).select("word")
 
 
 @register("word2vec_apply")
@@ -105,8 +132,7 @@ def q_pca_reduce(spark, sf):
 
 @register("document_vectors")
 def q_document_vectors(spark, sf):
-    """V6 (substitute): IDF-weighted mean word vector per group."""
-    groups = message_groups(spark, sf)
-    model = V.word2vec_create(groups)
-    dv = V.document_vectors(model, groups, "hash")
-    return dv.select("hash", vector_to_array("doc_vector").alias("doc_vector"))
+    """V6: a trained vector of every group (paragraph vectors of 50 numbers, 5 passes)."""
+    docs, _, _ = E.train_document_vectors(message_groups(spark, sf), "hash", size=50, passes=5)
+    return docs
+

@@ -9,6 +9,8 @@ from ..functions.constants import PLACEHOLDER, TOKEN_STOP_LIST
 from ..operators import grouping as G
 from ..operators import tokens as K
 from ..operators import weights as W
+from ..operators.embedding import load, store
+from ..session import scratch_path
 from ..sources import fixtures as fx
 from .duck import sequences_ctes, with_fixtures
 from .queries_basic import SEP, _duck_list, _duck_tokenize
@@ -127,6 +129,28 @@ def q_tfidf_normalised(spark, sf):
     return w.select("msg_id", "term", F.round("weight", 9).alias("weight"))
 
 
+@register(
+    "tfidf_apply",
+    TERMS_SQL
+    + """
+, learnt AS (SELECT msg_id FROM turns WHERE src_site = 'user'),
+model AS (SELECT term, count(*) AS df FROM counts JOIN learnt USING (msg_id) GROUP BY term),
+w AS (SELECT c.msg_id, c.term, c.cnt * log2((SELECT count(*) FROM learnt) / m.df) AS w FROM counts c JOIN model m USING (term)),
+w2 AS (SELECT * FROM w WHERE abs(w) > 1e-12),
+nrm AS (SELECT msg_id, sqrt(sum(w * w)) AS nrm FROM w2 GROUP BY msg_id)
+SELECT msg_id, term, round(w / nrm, 9) AS weight FROM w2 JOIN nrm USING (msg_id)
+""",
+)
+def q_tfidf_apply(spark, sf):
+    """S14 + F8: the frequencies of what users wrote are stored, and weigh the turns of all roles."""
+    docs = _turn_docs(spark, sf)
+    users = fx.turns(spark, sf).where("src_site = 'user'").select("msg_id")
+    path = scratch_path(spark, "term-weights")
+    store(W.tfidf_model(docs.join(users, "msg_id", "left_semi"), "msg_id", "tk"), path)
+    w = W.tfidf_apply(docs, "msg_id", "tk", load(spark, path))
+    return w.select("msg_id", "term", F.round("weight", 9).alias("weight"))
+
+
 TM = "templated_messages"
 SITE_SQL = with_fixtures(TM, extra=sequences_ctes(TM, by=("src_site",))) + """
 , sd AS (SELECT src_site, string_agg(array_to_string(sequence, ' '), '. ' ORDER BY hash) AS text

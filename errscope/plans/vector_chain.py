@@ -4,26 +4,28 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import density as D
+from ..operators import embedding as E
 from ..operators import tokens as K
 from ..operators import vectors as V
+from ..session import scratch_path
 
 
-def _model(groups: DataFrame, st):
+def _model(groups: DataFrame, st) -> DataFrame:
+    """The table of word vectors that the run uses; a trained one is stored under ``model_path``."""
     spark = groups.sparkSession
     if st.mode == "process":
-        return V.word2vec_apply(st.model_path)
+        return E.load(spark, st.model_path)
     if st.mode == "update":
-        model = V.word2vec_update(spark, st.corpus_path, groups, size=st.w2v_size, window=st.w2v_window)
-    else:
-        model = V.word2vec_create(groups, size=st.w2v_size, window=st.w2v_window, iterations=st.w2v_iterations)
-    if st.model_path:
-        V.save_model(model, st.model_path)
-    return model
+        return V.word2vec_update(spark, st.model_path, groups, size=st.w2v_size, window=st.w2v_window)
+    model = V.word2vec_create(groups, size=st.w2v_size, window=st.w2v_window, iterations=st.w2v_iterations)
+    path = st.model_path or scratch_path(spark, "word2vec.model")
+    E.store(V.vector_table(model, groups), path)
+    return E.load(spark, path)
 
 
 def vector_clusters(groups: DataFrame, st, by=()):
@@ -32,9 +34,10 @@ def vector_clusters(groups: DataFrame, st, by=()):
     With ``by`` keys the word vectors are shared; the searches and clusters stay
     within a key, and the epsilon is one for the whole run."""
     model = _model(groups, st)
-    sv = V.sentence_vectors(model, groups)
+    size = E.width(model) or st.w2v_size
+    sv = E.mean_vectors(model, groups).withColumn("vector", array_to_vector("vector"))
     k = groups.sparkSession.range(1).select(V.embedding_size(K.vocabulary(groups, "sequence"), cap=st.w2v_size)).first()[0]
-    red, _ = V.pca_reduce(sv, max(1, int(k)), model.getVectorSize())
+    red, _ = V.pca_reduce(sv, max(1, int(k)), size)
     key = F.concat_ws("|", *[F.col(c).cast("string") for c in by]) if by else F.lit("")
     cells = D._ckpt(red.select(F.concat_ws("|", key, "hash").alias("id"), key.alias("part"), vector_to_array("reduced").alias("vec"), *by, "hash"))
     points = cells.select("id", "part", "vec")
@@ -42,6 +45,10 @@ def vector_clusters(groups: DataFrame, st, by=()):
         from ..operators.agglomerative import ward_clusters
 
         labels = ward_clusters(points, threshold=st.extra.get("distance_threshold", 0.1))
+    elif st.algorithm == "hdbscan":
+        from ..operators.hdbscan import hdbscan
+
+        labels = hdbscan(points, st.extra.get("min_cluster_size", 100)).select("id", "component")
     else:
         eps = st.epsilon
         if eps is None:

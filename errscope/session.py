@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job in the package relies on. They only touch planning
 # behaviour (AQE, skew handling, broadcast sizing), never results.
@@ -78,3 +78,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the checkpoint folder for written intermediate tables."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table below the checkpoint folder, for plans that read it more
+    than once: its expressions are evaluated once, and a lost executor costs a re-read."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

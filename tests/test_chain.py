@@ -15,6 +15,7 @@ from tests.conftest import SF_SMALL
         ChainSettings(clustering_type="ML", w2v_size=16, w2v_iterations=1),
         ChainSettings(clustering_type="ML", w2v_size=16, w2v_iterations=1, epsilon=0.05),
         ChainSettings(clustering_type="ML", algorithm="hierarchical", w2v_size=16, w2v_iterations=1),
+        ChainSettings(clustering_type="ML", algorithm="hdbscan", w2v_size=16, w2v_iterations=1, extra={"min_cluster_size": 3}),
     ],
 )
 def test_every_message_labelled_once(spark, settings):
@@ -36,7 +37,18 @@ def test_vector_path_by_key_stays_within_the_key(spark):
     assert run.clusters.count() == run.clusters.select("src_site").distinct().count()  # a wide radius: one cluster a site
 
 
-@pytest.mark.parametrize("wrong", [dict(algorithm="hdbscan"), dict(clustering_type="other"), dict(clustering_type="ML", mode="update"), dict(clustering_type="ML", mode="process")])
+@pytest.mark.parametrize("wrong", [dict(algorithm="kmeans"), dict(clustering_type="other"), dict(clustering_type="ML", mode="update"), dict(clustering_type="ML", mode="process")])
 def test_unknown_settings_are_errors(spark, wrong):
     with pytest.raises(ValueError):
         cluster_messages(fx.templated_messages(spark, SF_SMALL), settings=ChainSettings(**wrong))
+
+
+def test_stored_model_is_updated_and_applied(spark, tmp_path):
+    from errscope.operators import embedding as E
+
+    path, tm = str(tmp_path / "model"), fx.templated_messages(spark, SF_SMALL)
+    st = dict(clustering_type="ML", w2v_size=12, w2v_iterations=1, model_path=path, epsilon=0.5)
+    for mode, version in (("create", 1), ("update", 2), ("process", 2)):
+        run = cluster_messages(tm, settings=ChainSettings(mode=mode, **st), with_patterns=False)
+        assert run.clusters.agg(F.sum("cluster_size")).first()[0] == tm.count()
+        assert E.current_version(spark, path) == version and run.strategy == path
