@@ -13,7 +13,7 @@ from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources import readers as R
 from .chain import ChainSettings, cluster_messages
-from .daily import daily_report, label_published, message_envelope, publish_batches, published_projection
+from .daily import daily_report, label_published, message_envelope, publish_batches, published_projection, read_batches
 from .duck import leader_ctes, sequences_ctes, uuid_sql, with_fixtures
 from .queries_cluster import STATS_SQL, tm_clusters
 from .registry import register
@@ -225,11 +225,11 @@ FROM (SELECT msg_id, row_number() OVER (ORDER BY timestamp, msg_id) - 1 AS rn FR
 """,
 )
 def q_publish_batches(spark, sf):
-    """Batches of 1000 rows written one folder per batch, read back."""
+    """Batches of 1000 rows sent in portions, read back."""
     tm = fx.templated_messages(spark, sf).select("msg_id", "timestamp", "error_message")
     path = publish_batches(tm, scratch_path(spark, "publish"), ["timestamp", "msg_id"], 1000)
-    back = spark.read.json(path)
-    return back.groupBy(F.col("batch").cast("long").alias("batch")).agg(
+    back = read_batches(spark, path)
+    return back.groupBy("batch").agg(
         F.count("*").alias("n_rows"), F.min(F.get_json_object("message", "$.data.msg_id").cast("long")).alias("first_id")
     )
 
