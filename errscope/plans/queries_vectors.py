@@ -71,9 +71,9 @@ def q_sentence_vectors(spark, sf):
     "mean_vectors",
     MSG_GROUPS_SQL
     + """
-, tok AS (SELECT hash, len(sequence) AS n, unnest(sequence) AS t FROM groups),
+, toks AS (SELECT hash, len(sequence) AS n, unnest(sequence) AS t FROM groups),
 known AS (SELECT vec_id, embedding FROM embeddings),
-met AS (SELECT hash, n, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS d FROM tok LEFT JOIN known ON vec_id = length(t)),
+met AS (SELECT hash, n, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS d FROM toks LEFT JOIN known ON vec_id = length(t)),
 sums AS (SELECT hash, n, d, sum(CAST(x AS DOUBLE)) / n AS x FROM met WHERE d <= 3 GROUP BY hash, n, d)
 SELECT g.hash, d.d::INTEGER AS place, coalesce(round(s.x, 6), 0.0) AS x
 FROM groups g CROSS JOIN (SELECT unnest([1, 2, 3]) AS d) d LEFT JOIN sums s ON s.hash = g.hash AND s.d = d.d
