@@ -107,7 +107,7 @@ def q_word2vec_update(spark, sf):
     groups = S._ckpt(message_groups(spark, sf))
     E.store(V.vector_table(V.word2vec_create(groups), groups), path)
     turns = G.group_equal_messages(G.prepare_sequences(fx.turns(spark, sf)))
-    return V.word2vec_update(spark, path, turns).select("word")
+    return V.word2vec_update(spark, path, turns, chunk=4000).select("word")
 
 
 @register("word2vec_apply")
