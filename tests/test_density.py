@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from errscope.operators import density as D
 
@@ -108,3 +109,49 @@ def test_radius_join_with_salted_blocks_is_monotone_and_exact(cloud):
         want = {(i, j) for i, j in zip(*np.nonzero(d <= eps)) if i != j}
         got = {(r.id_q, r.id_p) for r in D.radius_join(df, eps, block=30).collect()}
         assert got == want
+
+
+@pytest.mark.parametrize("k", [3, 40])
+def test_knn_over_blocks_with_repeated_ids(spark, cloud, k):
+    """Several blocks of leaves: every list is whole, in order, and of one id."""
+    x, df = cloud
+    d = brute(x)
+    twice = df.unionByName(df.where("id < 5"))
+    for points, ids in ((df, np.arange(len(x))), (twice, np.concatenate([np.arange(len(x)), np.arange(5)]))):
+        got = {}
+        for r in D.knn(points, k, block=12).collect():
+            got.setdefault(r.id_q, {})[r.j] = (r.dist, r.id_p)
+        assert set(got) == set(range(len(x)))
+        for q, found in got.items():
+            assert sorted(found) == list(range(1, k + 1))
+            pool = sorted([(d[q, p], p) for p in ids for _ in range(int((ids == q).sum()))])
+            assert np.allclose([found[j][0] for j in range(1, k + 1)], [w for w, _ in pool[:k]], atol=1e-9)
+
+
+def test_components_over_blocks(cloud):
+    x, df = cloud
+    whole = {r.id: r.component for r in D.dbscan(df, 0.9).collect()}
+    assert {r.id: r.component for r in D.dbscan(df, 0.9, block=12).collect()} == whole
+
+
+def test_no_task_holds_all_queries_of_a_leaf(spark):
+    """Vectors without clusters need every leaf: a block is bounded all the same, and a leaf goes to a block once."""
+    from errscope.operators.metric_tree import build_tree
+    from errscope.operators.sweep import BLOCK_LEAVES, needed_leaves, query_blocks
+
+    x = np.random.default_rng(3).normal(size=(1500, 24))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vec array<double>").withColumn("part", F.lit(""))
+    tree = build_tree(df, leaf=40)
+    bins = query_blocks(tree, BLOCK_LEAVES * 40).persist()
+    sizes = [r.n for r in tree.members.join(bins, "cell").groupBy("bin").agg((F.count("*") / F.first("parts")).alias("n")).collect()]
+    assert len(sizes) > 4 and max(sizes) <= 2 * BLOCK_LEAVES * 40
+    asked = needed_leaves(tree, bins, D._same_reach(tree, 5.0))
+    sent = asked.join(tree.leaves(), "cell").agg(F.sum("n")).collect()[0][0]
+    assert sent <= len(sizes) * len(x)
+
+
+def test_groups_join_over_shared_points():
+    from errscope.operators.sweep import joined
+
+    got = joined(np.arange(5), np.array([0, 3, 3, 4]), np.array([0, 0, 1, 1]), 2)
+    assert got.tolist() == [0, 1, 2, 0, 0]
