@@ -97,6 +97,17 @@ def test_mean_vectors_and_awkward_rows(spark, model):
     assert E.train_word_vectors(none, passes=1)[0].count() == 0 and E.train_document_vectors(none, "id", passes=1)[0].count() == 0
 
 
+def test_mean_vectors_send_a_vector_once_to_a_chunk(spark, model):
+    """Texts that repeat their words in many chunks, and a word with two rows."""
+    found, _ = model
+    vec = {r.word: np.array(r.vec) for r in found.collect()}
+    rows = texts(5, 60) + [(60, ["t0w1"] * 500)]
+    got = {r.id: r.vector for r in E.mean_vectors(found, corpus(spark, rows), chunk=50).collect()}
+    assert all(np.allclose(got[i], np.mean([vec[w] for w in t], axis=0), atol=1e-6) for i, t in rows)
+    both = found.unionByName(found.where("word = 't0w1'"))
+    assert np.allclose(E.mean_vectors(both, corpus(spark, [rows[-1]])).first().vector, 2 * vec["t0w1"], atol=1e-6)
+
+
 def test_descent_follows_the_gradient():
     """One step equals the gradient of the loss, found by differences."""
     rng = np.random.default_rng(0)
