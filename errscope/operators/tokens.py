@@ -84,10 +84,14 @@ def drop_rare_tokens(
 
 
 def vocabulary_semi_join(df: DataFrame, tokens: str, id_col: str, vocab: DataFrame, out: str | None = None) -> DataFrame:
-    """Keep tokens whose lower-case form is in ``vocab(token)``; order kept."""
+    """Keep tokens whose lower-case form is in ``vocab(token)``; order kept.
+
+    The vocabulary is written first: an aggregation right below the join would keep
+    Spark from splitting the partitions that very common tokens fill."""
     out = out or tokens
+    words = written(vocab.select(F.col("token").alias("_low")).distinct(), "words")
     ex = explode_tokens(df, tokens, [id_col]).withColumn("_low", F.lower("token"))
-    kept = ex.join(vocab.select(F.col("token").alias("_low")).distinct(), "_low", "left_semi")
+    kept = ex.join(words, "_low", "left_semi")
     rebuilt = reassemble(kept, [id_col], "_kept")
     return (
         df.join(rebuilt, id_col, "left")

@@ -110,3 +110,27 @@ def test_cluster_uuid_is_stable(spark):
     df = spark.createDataFrame([("k",), ("k",)], "s string")
     ids = {r.u for r in df.select(X.cluster_uuid(F.col("s")).alias("u")).collect()}
     assert len(ids) == 1 and len(next(iter(ids))) == 36
+
+
+def test_common_tokens_of_the_semi_join_are_split(spark):
+    """The partition of a token that most rows hold goes to several tasks."""
+    from errscope.operators import tokens as K
+
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        df = spark.range(4000).repartition(8).selectExpr("id AS msg_id", "array('The', concat('w', id % 900), 'gone', 'the') AS tk")
+        vocab = spark.range(900).selectExpr("concat('w', id) AS token").unionByName(spark.range(5).selectExpr("'the' AS token"))
+        out = K.vocabulary_semi_join(df, "tk", "msg_id", vocab, out="kept")
+        assert all(r.kept == ["The", f"w{r.msg_id % 900}", "the"] for r in out.collect())
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in conf:
+            spark.conf.unset(key)
