@@ -128,3 +128,32 @@ def test_descent_follows_the_gradient():
             slope = (loss(*shifted) - loss(vec, out, docs)) / 1e-6
             step = (moved[i] - x[i]) / 1e-3
             assert abs(step + slope) < 1e-3 * max(1, abs(slope))
+
+
+def test_word_vectors_are_a_table(spark, tmp_path):
+    """Creating, storing and applying a model goes by tables: no fitted object on the driver."""
+    from errscope.operators import vectors as V
+
+    rows = [*texts(7, 60), (60, ["once"]), (61, []), (62, None)]
+    model = V.word2vec_create(corpus(spark, rows), size=8, window=3, iterations=6)
+    assert model.columns == ["word", "vec", "out", "n"]
+    seen = {}
+    for _, t in rows:
+        for w in t or []:
+            seen[w] = seen.get(w, 0) + 1
+    assert {r.word: r.n for r in model.collect()} == seen and {len(r.vec) for r in model.collect()} == {8}
+    again = V.word2vec_apply(spark, V.save_model(model, str(tmp_path / "named")))
+    zero = {r.id: not any(r.vector) for r in V.sentence_vectors(again, corpus(spark, rows)).collect()}
+    assert {i for i, z in zero.items() if z} == {61, 62}
+
+
+def test_a_turn_returns_one_row_for_a_word(spark):
+    """Rows of chunks are averaged before they are written, by a word's occurrences in each."""
+    docs = E._numbered(corpus(spark, texts(9, 40)), "sequence").select("row", "tokens")
+    counts = E._counts(docs)
+    state = E.with_start(counts, "word", 4, 1, "vec").withColumn("out", F.array_repeat(F.lit(0.0).cast("float"), 4)).persist()
+    start = {r.word: r for r in state.collect()}
+    got = E._turn(docs, state, 7, 3, 4, 3, 2, [0.0, 0.0], 5, False).collect()
+    words = [r for r in got if r.row == -1]
+    assert len(words) == len(start) and all(r.n == start[r.word].seen and np.allclose(r.vec, start[r.word].vec, atol=1e-7) for r in words)
+    assert sorted(r.row for r in got if r.row < -1) == [-3] * 7 + [-2] * 7
