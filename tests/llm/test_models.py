@@ -13,7 +13,7 @@ import pytest
 from errscope.llm.common import hash_words, in_fold
 from errscope.llm.lm_scoring import END, best_classes, encoded, exchange, likelihood, lm_scoring, train_class_model
 from errscope.llm.mixing import mixed, mixing_rates, solve_rates
-from errscope.llm.toxicity import Shape, best_threshold, toxicity, train_toxicity
+from errscope.llm.toxicity import Shape, _buckets_seen, best_threshold, labelled_words, toxicity, train_toxicity
 from pyspark.sql import functions as F
 
 from .conftest import LOWER
@@ -71,6 +71,19 @@ def test_toxicity_awkward_rows(spark, edge_docs, no_docs, no_labels, insults):
     assert out.columns == ["doc_id", "score", "predicted"] and out.count() == 8
 
 
+def test_toxicity_learns_from_every_row(spark):
+    """Words of a few toxic rows among many, and of rows of 9,000 words, enter the model."""
+    rng = random.Random(6)
+    plain = [(i, " ".join(f"w{rng.randrange(50)}" for _ in range(5)), int(i % 2)) for i in range(9000)]
+    rows = [(i, t + (" vermin" if y else ""), y) for i, t, y in plain] + [(10_000 + i, "w1 " * 9000 + "longword", 1) for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    seen = _buckets_seen(labelled_words(docs, docs, "doc_id", "text", "toxic", SMALL), SMALL)
+    word = lambda w: int(hash_words([w])[0] & np.uint64(SMALL.buckets - 1))
+    assert seen[0, 1, word("vermin")] == 4500 and seen[0, 0, word("vermin")] == 0 and seen[0, 1, word("longword")] == 8
+    got = toxicity(docs, train_toxicity(docs, docs, shape=SMALL, epochs=1)).select("toxic", "predicted").collect()
+    assert np.mean([r.toxic == r.predicted for r in got]) > 0.99
+
+
 # ------------------------------------------------------------------ scoring
 def _tokens(text):
     return SPACE.findall((text or "").translate(LOWER)) + [""]
