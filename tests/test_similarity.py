@@ -132,3 +132,38 @@ def test_similar_groups_cost_pairs_in_proportion(spark):
         assert {r.leader for r in found.collect()} == {"h00000"}
         cost.append(pairs / m)
     assert cost[1] < 2 * cost[0] and cost[1] < 10
+
+
+@pytest.mark.parametrize("t", [0.8, 0.6, 0.52, 1.0])
+def test_similarity_join_by_grams_is_complete(spark, t):
+    """Long and short sequences with repeated tokens: grams and single tokens together find all pairs."""
+    rnd = random.Random(11)
+    groups = [(f"h{i:03d}", 1, [rnd.choice("abc") for _ in range(rnd.randint(0, 6))]) for i in range(60)]
+    for i in range(60, 140):
+        s = list(rnd.choice(groups[:5] + groups[60:])[2]) + [rnd.choice("abcdefgh") for _ in range(rnd.randint(0, 12))]
+        groups.append((f"h{i:03d}", 1, s))
+    df = spark.createDataFrame(groups, "hash string, cluster_size long, sequence array<string>")
+    got = {(r.key_a, r.key_b): r.similarity for r in S.similarity_join(df, t).collect()}
+    want = {(a[0], b[0]): sim(a[2], b[2]) for a in groups for b in groups if a[0] < b[0] and (a[2] or b[2]) and sim(a[2], b[2]) >= t}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in got)
+
+
+def test_common_words_bring_no_candidates(spark):
+    """Sequences drawn from the same 400 words: no pair is similar, few may be compared."""
+    rnd = random.Random(5)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(f"h{i:04d}", 1, [rnd.choice(words) for _ in range(40)]) for i in range(600)]
+    df = spark.createDataFrame(rows, "hash string, cluster_size long, sequence array<string>").checkpoint()
+    assert S.candidate_pairs(df, 0.8).count() < 600 * 20
+
+
+def test_pair_codes_number_tokens_once(spark):
+    """Two sequences of 20,000 tokens are coded in one pass each."""
+    import time
+
+    rows = [([f"t{i}" for i in range(20_000)], [f"t{i}" for i in range(20_000, 0, -1)])]
+    ca, cb = S._pair_codes(F.col("a"), F.col("b"))
+    began = time.time()
+    got = spark.createDataFrame(rows, "a array<string>, b array<string>").select(ca.alias("a"), cb.alias("b")).first()
+    assert time.time() - began < 20
+    assert len(set(got.a)) == len(set(got.b)) == 20_000 and got.a[1:] == got.b[:0:-1]
