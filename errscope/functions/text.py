@@ -6,6 +6,8 @@ projection and stay in whole-stage code generation.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,11 +25,22 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _from_run_start(pattern: str) -> str:
+    """A rule that begins with a run of a character class, tried only where such a run
+    begins and without giving characters of it back: tried inside a word, a run that
+    does not match is read again from each of its characters. The first match begins
+    where its run does, and what follows the run is not of its class, so the matches are the same."""
+    run = re.match(r"(\[[^\]]+\])([*+])(?=[_\\])", pattern)
+    if run is None:
+        return pattern
+    return f"(?<!{run[1]}){run[1]}{run[2]}+{pattern[run.end():]}"
+
+
 def clean_message(c) -> Column:
     """The six substitutions, in order; each match becomes one space."""
     out = _col(c)
     for pattern in CLEANING_RULES:
-        out = F.regexp_replace(out, pattern, " ")
+        out = F.regexp_replace(out, _from_run_start(pattern), " ")
     return out
 
 

@@ -134,3 +134,28 @@ def test_common_tokens_of_the_semi_join_are_split(spark):
     finally:
         for key in conf:
             spark.conf.unset(key)
+
+
+def test_cleaning_equals_the_rules_as_written(spark):
+    """Rules tried from the start of a run only find what the rules themselves find."""
+    import random
+
+    from errscope.functions.constants import CLEANING_RULES
+
+    rnd = random.Random(3)
+    texts = ["".join(rnd.choice("aZ_.|:;-9é٣ ß0/<>\n\tx_😀") for _ in range(rnd.randint(0, 30))) for _ in range(20_000)]
+    df = spark.createDataFrame([(t,) for t in texts], "m string")
+    plain = F.col("m")
+    for rule in CLEANING_RULES:
+        plain = F.regexp_replace(plain, rule, " ")
+    assert df.where(~plain.eqNullSafe(X.clean_message("m"))).count() == 0
+
+
+def test_cleaning_reads_a_long_run_once(spark):
+    import time
+
+    df = spark.createDataFrame([("a" * 200_000 + " b" + ":" * 200_000,)], "m string")
+    assert df.select(F.length(X.clean_message(F.lit("warm up")))).first()
+    began = time.time()
+    assert df.select(F.length(X.clean_message("m")).alias("n")).first().n == 200_003
+    assert time.time() - began < 5
