@@ -96,6 +96,21 @@ def _alignment(start: pd.Series, seq: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"ratio": ratios, "matched": matched})
 
 
+def _shapes(level: DataFrame, start: DataFrame, cl: list) -> DataFrame:
+    """(cluster..., _start, _shape, _k): the distinct sequences ``_s`` of a cluster with one
+    marker for all tokens that its start has not, and how many they are.
+
+    Those tokens match nothing, so which ones they are does not change an alignment."""
+    # longer than any token of the start, so none of them
+    marked = start.withColumn("_other", F.concat(F.array_join("_start", ""), F.lit("?")))
+
+    def shape(t):
+        return F.when(F.array_contains("_start", t) | t.isNull(), t).otherwise(F.col("_other"))
+
+    shaped = level.join(marked, cl).select(*cl, "_start", F.transform("_s", shape).alias("_shape"))
+    return shaped.groupBy(*cl, "_shape").agg(F.count("*").alias("_k"), F.first("_start").alias("_start"))
+
+
 def common_pattern(
     df: DataFrame,
     cluster_cols: Sequence[str],
@@ -107,8 +122,8 @@ def common_pattern(
     """M1 (gated) / M5 (ungated): (cluster..., pattern array<string>).
 
     The heaviest distinct sequence of a cluster (tie: the smallest) is aligned
-    with each other one in that one's own row. The pattern keeps the positions
-    that all of them match (M1: all with a ratio over 0.5), counted by an
+    with each other one; those that differ only in tokens it has not are aligned
+    once, in a row of their own. The pattern keeps the positions that all of them match (M1: all with a ratio over 0.5), counted by an
     ordinary aggregation, so neither the order of rows nor the size of a cluster
     matters. With ``add_placeholder`` the wildcard stands where positions between
     kept ones were lost. If nothing but punctuation is left, the pattern is the
@@ -117,10 +132,10 @@ def common_pattern(
     w = F.sum(weight) if weight else F.count("*")
     level = df.groupBy(*cl, F.coalesce(F.col(tokens), F.array().cast("array<string>")).alias("_s")).agg(w.cast("long").alias("_w"))
     start = level.groupBy(*cl).agg(F.min_by("_s", F.struct(-F.col("_w"), F.col("_s"))).alias("_start"))
-    aligned = level.join(start, cl).select(*cl, F.pandas_udf(_alignment, _ALIGNMENT)("_start", "_s").alias("_a"))
+    aligned = _shapes(level, start, cl).select(*cl, "_k", F.pandas_udf(_alignment, _ALIGNMENT)("_start", "_shape").alias("_a"))
     aligned = aligned.where(F.col("_a.ratio") > 0.5) if gated else aligned
     # position -1 counts the sequences themselves
-    counts = aligned.select(*cl, F.explode(F.concat(F.array(F.lit(-1)), "_a.matched")).alias("_p")).groupBy(*cl, "_p").agg(F.count("*").alias("_n"))
+    counts = aligned.select(*cl, "_k", F.explode(F.concat(F.array(F.lit(-1)), "_a.matched")).alias("_p")).groupBy(*cl, "_p").agg(F.sum("_k").alias("_n"))
     kept = counts.groupBy(*cl).agg(F.sort_array(F.collect_list(F.struct("_p", "_n"))).alias("_l"))
     everywhere = F.filter("_l", lambda x: (x["_p"] >= 0) & (x["_n"] == F.element_at("_l", 1)["_n"]))
     kept = kept.select(*cl, F.transform(everywhere, lambda x: x["_p"]).alias("_kept"))

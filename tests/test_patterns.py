@@ -1,7 +1,9 @@
 """Pattern mining: order-free common patterns and the native M2/M3/M4/M6."""
 
+import difflib
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from errscope.functions.constants import WILDCARD
@@ -59,3 +61,34 @@ def test_phrases_rank_longer_phrases_first(spark):
     ph = PT.common_phrases(df, ["k"], "tk").orderBy(F.desc("score"), "phrase").collect()
     assert [r.phrase for r in ph] == ["connection refused", "peer"]
     assert ph[0].score == 4.0 and ph[1].score == 1.0
+
+
+@pytest.mark.parametrize("gated", [True, False])
+def test_sequences_of_one_shape_are_aligned_once(spark, gated):
+    """Sequences that differ in tokens of their own only are one alignment, and the pattern is that of all."""
+    rnd = random.Random(9)
+    rows = []
+    for i in range(600):
+        for c, words in (("a", "copy of X failed at Y now X"), ("b", "x y x X z y Y x"), ("c", "A B X Y D")):
+            some = [f"{w}{i}" if w in "XY" else w for w in words.split()]
+            if i % 3 == 0:
+                some.insert(rnd.randrange(len(some)), f"new{i}")
+            if i % 50 == 0:
+                some = [f"own{i}_{k}" for k in range(4)] + some[:1]
+            rows.append((c, some))
+    df = spark.createDataFrame(rows, "c string, tk array<string>")
+    level = df.groupBy("c", F.col("tk").alias("_s")).agg(F.count("*").alias("_w"))
+    start = level.groupBy("c").agg(F.min("_s").alias("_start"))
+    shapes = PT._shapes(level, start, ["c"])
+    assert shapes.count() < 60 and shapes.agg(F.sum("_k")).first()[0] == level.count()
+    got = {r.c: r.pattern for r in PT.common_pattern(df, ["c"], "tk", gated=gated).collect()}
+    for c in "abc":
+        seqs = sorted({tuple(s) for k, s in rows if k == c})
+        first = min(seqs)
+        kept = set(range(len(first)))
+        for s in seqs:
+            m = difflib.SequenceMatcher(None, list(first), list(s))
+            if not gated or m.ratio() > 0.5:
+                kept &= {i for b in m.get_matching_blocks() for i in range(b.a, b.a + b.size)}
+        want = [first[i] for i in sorted(kept)]
+        assert got[c] == (list(first) if gated and not want else want)
