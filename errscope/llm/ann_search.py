@@ -26,7 +26,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -145,42 +144,81 @@ def _limit(bound: np.ndarray, seen: int, width: int, margin: float) -> np.ndarra
     return bound * ((1 + margin / np.sqrt(seen)) ** 2 if seen < width else 1) + 1e-9
 
 
-def _vectors(column: pd.Series, width: int) -> np.ndarray:
-    return np.stack(column.to_list()).astype(np.float64) if len(column) else np.zeros((0, width))
+SLICE = 256  # queries that are held against a shard at once
+PAIRS = 500_000  # of which so many pairs of a list at once
 
 
-def _search(index, k: int, block: int, margin: float):
-    """Function of two cogrouped frames: the rows of the lists of one shard,
-    and the queries that probe some of them."""
-
-    def run(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        idx = index.value
-        width = len(idx.rotation) - 1
-        original, asked = _vectors(rows["vec"], width), _vectors(queries["vec"], width)
-        names, ids, lists = queries["id"].to_numpy(), rows["id"].to_numpy(), rows["list"].to_numpy()
-        rotated, rotated_queries = idx.lifted(original, False), idx.lifted(asked, True)
-        probes = [np.asarray(x) for x in queries["lists"]]
+def _scores(asked: np.ndarray, rows: np.ndarray, q: np.ndarray, r: np.ndarray, step: int = 16_384) -> np.ndarray:
+    """Inner products of single pairs, in slices."""
+    out = np.empty(len(q))
+    for at in range(0, len(q), step):
+        out[at : at + step] = np.einsum("ij,ij->i", asked[q[at : at + step]], rows[r[at : at + step]])
+    return out
+
+
+class _Shard:
+    """The rows of the lists of one shard, which queries pass by in slices."""
+
+    def __init__(self, idx: Index, ids: np.ndarray, lists: np.ndarray, rows: np.ndarray, k: int, block: int, margin: float):
+        self.idx, self.ids, self.rows, self.k, self.block, self.margin = idx, ids, rows, k, block, margin
+        self.rotated = idx.lifted(rows, False)
+        order = np.argsort(lists, kind="stable")
+        self.members = {int(lists[some[0]]): some for some in np.split(order, np.flatnonzero(np.diff(lists[order])) + 1)}
+
+    def search(self, asked: np.ndarray, probes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, row, score): the k best rows of each query in the lists that it probes."""
+        k, rotated_queries = self.k, self.idx.lifted(asked, True)
         prober = np.repeat(np.arange(len(probes)), [len(x) for x in probes])
-        probed = np.concatenate(probes) if probes else np.zeros(0, int)
-        scale = np.sqrt((asked**2).sum(1) * idx.longest)
+        probed = np.concatenate(probes)
+        scale = np.sqrt((asked**2).sum(1) * self.idx.longest)
         bound = np.full(len(asked), np.inf)
         best_q, best_r, best_s = np.zeros(0, int), np.zeros(0, int), np.zeros(0)
-        for one in np.unique(lists):
-            who, members = prober[probed == one], np.flatnonzero(lists == one)
-            for some in np.array_split(who, -(-len(who) * len(members) // 4_000_000) or 1):
+        for one in sorted(self.members):
+            who, members = prober[probed == one], self.members[one]
+            for some in np.array_split(who, min(len(who), -(-len(who) * len(members) // PAIRS)) or 1):
                 if not len(some):
                     continue
-                q, r = adaptive_scan(rotated_queries[some], rotated[members], bound[some], block, margin)
+                q, r = adaptive_scan(rotated_queries[some], self.rotated[members], bound[some], self.block, self.margin)
                 q, r = some[q], members[r]
-                score = np.einsum("ij,ij->i", asked[q], original[r])
+                score = _scores(asked, self.rows, q, r)
                 best_q, best_r, best_s = np.append(best_q, q), np.append(best_r, r), np.append(best_s, score)
-                keep = _trim(best_q, ids[best_r], best_s, k)
+                keep = _trim(best_q, self.ids[best_r], best_s, k)
                 best_q, best_r, best_s = best_q[keep], best_r[keep], best_s[keep]
                 last = np.flatnonzero(np.bincount(best_q, minlength=len(asked)) == k)
                 worst = np.full(len(asked), np.inf)
                 np.minimum.at(worst, best_q, best_s)
                 bound[last] = np.maximum(0, 2 - 2 * worst[last] / scale[last])
-        return pd.DataFrame({"query_id": names[best_q], "vec_id": ids[best_r], "score": best_s})
+        return best_q, best_r, best_s
+
+
+def _search(index, k: int, block: int, margin: float):
+    """Function of batches (shard, side, id, vec, lists) sorted by shard and side: the rows
+    of a shard's lists (side 0), then the queries that probe some of them. A task holds
+    the rows of one shard and a slice of its queries, however many queries there are."""
+
+    def run(batches):
+        now, rows, shard = None, [], None
+        for batch in batches:
+            number, side = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            cuts = np.flatnonzero((np.diff(number) != 0) | (np.diff(side) != 0)) + 1
+            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(number)]):
+                if hi == lo:
+                    continue
+                if number[lo] != now:
+                    now, rows, shard = number[lo], [], None
+                if side[lo] == 0:
+                    some = batch.slice(lo, hi - lo)
+                    rows.append((some.column(2).to_numpy(), some.column(4).flatten().to_numpy(), _rows_of(some.column(3))))
+                    continue
+                if not rows:
+                    continue
+                if shard is None:
+                    shard, rows = _Shard(index.value, *(np.concatenate(c) for c in zip(*rows)), k, block, margin), [None]
+                for at in range(lo, hi, SLICE):
+                    some = batch.slice(at, min(SLICE, hi - at))
+                    probes = np.split(some.column(4).flatten().to_numpy(), np.cumsum(some.column(4).value_lengths().to_numpy())[:-1])
+                    q, r, score = shard.search(_rows_of(some.column(3)), probes)
+                    yield pa.RecordBatch.from_arrays([pa.array(some.column(2).to_numpy()[q]), pa.array(shard.ids[r]), pa.array(score)], names=["query_id", "vec_id", "score"])
 
     return run
 
@@ -208,6 +246,13 @@ def exact_search(vectors: DataFrame, queries: np.ndarray, query_ids: np.ndarray,
     return vectors.select("id", "vec").mapInArrow(run, _FIELDS)
 
 
+def _sliced(batches, rows: int):
+    """The batches in slices of at most ``rows`` rows, as what is made of a row may be long."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _rows_of(column: pa.Array) -> np.ndarray:
     """A list column of equal lengths as a matrix."""
     return np.asarray(column.flatten(), dtype=np.float64).reshape(len(column), -1)
@@ -242,7 +287,7 @@ def _members(vectors: DataFrame, index: Index) -> DataFrame:
     shared = vectors.sparkSession.sparkContext.broadcast(index)
 
     def run(batches):
-        for batch in batches:
+        for batch in _sliced(batches, 1024):
             lists = shared.value.nearest_lists(shared.value.lifted(_rows_of(batch.column(1)), False), 1)[:, 0]
             yield pa.RecordBatch.from_arrays([pa.array(lists.astype(np.int32)), batch.column(0), batch.column(1)], names=["list", "id", "vec"])
 
@@ -258,7 +303,7 @@ def _probes(queries: DataFrame, index: Index, sizes: np.ndarray, part_rows: int,
     def run(batches):
         idx, sizes = shared.value
         parts = -(-sizes // part_rows)
-        for batch in batches:
+        for batch in _sliced(batches, SLICE):
             lists = idx.nearest_lists(idx.lifted(_rows_of(batch.column(1)), True), len(sizes))
             row, shard, own = [], [], []
             for i, order in enumerate(lists):
@@ -324,7 +369,10 @@ def ann_search(
     distinct = asked.groupBy(*same).agg(F.min("id").alias("id"), F.first("vec").alias("vec"))
     distinct = materialise(distinct, "query-vectors")
     probes = _probes(distinct, index, sizes, part_rows, shards, 4 * (k + 1))
-    found = members.groupBy("shard").cogroup(probes.groupBy("shard")).applyInPandas(_search(spark.sparkContext.broadcast(index), k + 1, block, margin), _FIELDS)
+    side = lambda df, n, lists: df.select("shard", F.lit(n).alias("side"), "id", "vec", lists)
+    passing = side(members, 0, F.array("list").alias("lists")).unionByName(side(probes, 1, F.col("lists")))
+    passing = passing.repartition(min(2 * shards, 4096), "shard").sortWithinPartitions("shard", "side")
+    found = passing.mapInArrow(_search(spark.sparkContext.broadcast(index), k + 1, block, margin), _FIELDS)
     found = nearest(found, k + 1).withColumnRenamed("query_id", "searched").drop("rank")
 
     # every query row takes the answer of its vector, without itself

@@ -78,3 +78,36 @@ def test_awkward_vectors(spark):
     got = _result(ann_search(df, F.col("vec_id") % 20 == 0))
     assert got == {0: [(20, 2.5), (20, 2.5)], 20: [(0, 2.5)]}
     assert ann_search(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_memory_of_a_shard_does_not_follow_its_queries():
+    """Queries pass by the rows of a shard in slices, and pairs are scored in slices."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+    from errscope.llm.ann_search import Index, _search
+
+    rng = np.random.default_rng(4)
+    rows, asked = rng.normal(size=(1000, 64)), rng.normal(size=(6000, 64))
+    index = Index(float((rows**2).sum(1).max()), np.eye(65), np.zeros((1, 65)), 1)
+
+    def batches(ids, x, side):
+        for at in range(0, len(ids), 2000):
+            some, of_list = x[at : at + 2000], np.zeros(len(x[at : at + 2000]), np.int32)
+            number, vec = np.zeros(len(some), np.int32), pa.ListArray.from_arrays(np.arange(len(some) + 1, dtype=np.int32) * 64, some.ravel())
+            lists = pa.ListArray.from_arrays(np.arange(len(some) + 1, dtype=np.int32), pa.array(of_list))
+            yield pa.RecordBatch.from_arrays([pa.array(number), pa.array(number + side), pa.array(ids[at : at + 2000]), vec, lists], names=["shard", "side", "id", "vec", "lists"])
+
+    ids, names = np.arange(1000), 10_000 + np.arange(6000)
+    tracemalloc.start()
+    found = {}
+    for out in _search(SimpleNamespace(value=index), 5, 16, 2.1)(part for side in (batches(ids, rows, 0), batches(names, asked, 1)) for part in side):
+        for q, r, s in zip(*(c.to_numpy() for c in out.columns)):
+            found.setdefault(q, []).append((r, s))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    score = asked[:50] @ rows.T
+    for q in range(50):
+        assert [r for r, _ in sorted(found[10_000 + q], key=lambda f: -f[1])] == np.argsort(-score[q])[:5].tolist()
+    assert len(found) == 6000 and peak < 60e6
