@@ -52,3 +52,26 @@ def test_stored_model_is_updated_and_applied(spark, tmp_path):
         run = cluster_messages(tm, settings=ChainSettings(mode=mode, **st), with_patterns=False)
         assert run.clusters.agg(F.sum("cluster_size")).first()[0] == tm.count()
         assert E.current_version(spark, path) == version and run.strategy == path
+
+
+def test_regroup_gives_every_id_and_phrase_of_a_label(spark, monkeypatch):
+    """A row has a label's ids and its phrases, best first; long lists go on in further rows."""
+    from errscope.plans import queries_jobs
+    from errscope.plans.chain import regrouped
+
+    texts = ["copy of the input file failed", "copy of the output file failed", "no answer from the host", "copy of the input file failed"]
+    rows = spark.createDataFrame([(i, texts[i % 4]) for i in range(20)], "msg_id long, error_message string")
+    st = ChainSettings(clustering_type="ML", w2v_size=8, w2v_iterations=1, epsilon=50.0)
+    run = cluster_messages(rows, settings=st)
+    best = [r.phrase for r in run.phrases.orderBy(F.desc("score"), "phrase").collect()]
+    whole = regrouped(run).collect()
+    assert len(whole) == 1 and whole[0].piece == 0 and whole[0].ids == list(range(20)) and len(best) > 3
+    assert whole[0].common_phrases == best and whole[0].cluster_size == whole[0].n_ids == 20
+    parts = sorted(regrouped(run, most=3).collect(), key=lambda r: r.piece)
+    assert [i for r in parts for i in r.ids] == list(range(20)) and [p for r in parts for p in r.common_phrases] == best
+    assert len(parts) == 7 and {r.pattern for r in parts} == {whole[0].pattern}
+
+    monkeypatch.setattr(queries_jobs.fx, "messages", lambda spark, sf: rows)
+    monkeypatch.setattr(queries_jobs, "ChainSettings", lambda **kw: st)
+    got = queries_jobs.q_cluster_regroup(spark, "").collect()
+    assert sorted(i for r in got for i in r.ids) == list(range(20)) and got[0].common_phrases == best and got[0].tokenized_pattern
