@@ -159,3 +159,39 @@ def test_cleaning_reads_a_long_run_once(spark):
     began = time.time()
     assert df.select(F.length(X.clean_message("m")).alias("n")).first().n == 200_003
     assert time.time() - began < 5
+
+
+def test_semi_join_sends_a_token_of_a_row_once(spark, monkeypatch):
+    """What is shuffled follows the distinct tokens of a row; rows of one id, rows without one and long rows come out as before."""
+    from errscope.operators import tokens as K
+
+    monkeypatch.setattr(K, "LONG", 6)
+    vocab = spark.createDataFrame([("a",), ("b",)], "token string")
+    rows = [(1, ["A", " ", "x", " ", "b"]), (2, ["x"]), (3, ["b", "a"]), (3, ["a", "x", "b"]), (None, ["a"]), (4, []), (5, None), (6, ["a", None, "x"] * 4)]
+    df = spark.createDataFrame(rows, "id int, tk array<string>")
+    got = sorted(((r.id, r.kept) for r in K.vocabulary_semi_join(df, "tk", "id", vocab, out="kept").collect()), key=str)
+    both = ["a", "b", "a", "b"]  # by place, then by token
+    assert got == sorted([(1, ["A", "b"]), (2, []), (3, both), (3, both), (None, []), (4, []), (5, []), (6, ["a"] * 4)], key=str)
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        many = spark.range(50).selectExpr("id", "array_repeat('a', 100) AS tk")
+        monkeypatch.setattr(K, "LONG", 2000)
+        out = K.vocabulary_semi_join(many, "tk", "id", vocab, out="kept")
+        plan = out._jdf.queryExecution().executedPlan()
+        assert all(len(r.kept) == 100 for r in out.collect())
+        assert "array_distinct" in plan.toString()
+        assert "Exchange" not in K.terms_vocabulary(many, "tk")._jdf.queryExecution().executedPlan().toString().split("Generate")[1]  # no sequence is shuffled
+    finally:
+        for key in conf:
+            spark.conf.unset(key)
+
+
+def test_terms_vocabulary_counts_over_distinct_sequences(spark):
+    from errscope.operators import tokens as K
+
+    rows = [["Once", "x1"], ["Once", "x1"], ["two", "TWO"], ["here", "z"], ["There", "here"], None, [], ["zu", None], [",", ","]]
+    got = K.terms_vocabulary(spark.createDataFrame([(r,) for r in rows], "tk array<string>"), "tk").collect()
+    assert sorted(r.token for r in got) == ["here", "two"]
