@@ -157,3 +157,15 @@ def test_a_turn_returns_one_row_for_a_word(spark):
     words = [r for r in got if r.row == -1]
     assert len(words) == len(start) and all(r.n == start[r.word].seen and np.allclose(r.vec, start[r.word].vec, atol=1e-7) for r in words)
     assert sorted(r.row for r in got if r.row < -1) == [-3] * 7 + [-2] * 7
+
+
+def test_mean_vectors_send_a_row_once(spark, model):
+    """Rows leave their chunk with their means; no join by row follows."""
+    found = model[0]
+    df = corpus(spark, [(1, ["t0w1", None, "unknown"]), (2, []), (3, None)]).selectExpr("*", "id * 2 AS twice")
+    out = E.mean_vectors(found, df)
+    vec = {r.word: np.array(r.vec) for r in found.collect()}
+    got = {r.id: (r.twice, np.array(r.vector)) for r in out.collect()}
+    assert {k: v[0] for k, v in got.items()} == {1: 2, 2: 4, 3: 6} and out.columns == [*df.columns, "vector"]
+    assert np.allclose(got[1][1], vec["t0w1"] / 3) and not got[2][1].any() and not got[3][1].any()
+    assert "_row" not in out._jdf.queryExecution().optimizedPlan().toString().split("FlatMapCoGroups")[0]
