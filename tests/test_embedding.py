@@ -169,3 +169,24 @@ def test_mean_vectors_send_a_row_once(spark, model):
     assert {k: v[0] for k, v in got.items()} == {1: 2, 2: 4, 3: 6} and out.columns == [*df.columns, "vector"]
     assert np.allclose(got[1][1], vec["t0w1"] / 3) and not got[2][1].any() and not got[3][1].any()
     assert "_row" not in out._jdf.queryExecution().optimizedPlan().toString().split("FlatMapCoGroups")[0]
+
+
+def test_first_turn_draws_the_starts_within_chunks(spark, monkeypatch):
+    """No vector is written or sent before the first turn, and what is trained is the same."""
+    drawn = E.with_start
+    asked = []
+    monkeypatch.setattr(E, "with_start", lambda *a: asked.append(a[1]) or drawn(*a))
+    docs = corpus(spark, texts(3, 30))
+    words, losses = E.train_word_vectors(docs, size=6, passes=2, chunk=60)
+    assert asked == []
+
+    def sent(counts, size, seed, passes):
+        return drawn(counts, "word", size, seed, "vec").withColumn("out", F.array_repeat(F.lit(0.0).cast("float"), size))
+
+    got = {r.word: (r.vec, r.out, r.n) for r in words.collect()}
+    monkeypatch.setattr(E, "_first_state", sent)
+    again, before = E.train_word_vectors(docs, size=6, passes=2, chunk=60)
+    assert np.allclose(losses, before)
+    for r in again.collect():
+        assert np.allclose(got[r.word][0], r.vec, atol=1e-5) and np.allclose(got[r.word][1], r.out, atol=1e-5) and got[r.word][2] == r.n
+    assert E.train_word_vectors(docs, size=6, passes=0)[0].first().vec is not None
